@@ -1,0 +1,127 @@
+"""All tables from raw rows to marts, each built once and read back."""
+
+from __future__ import annotations
+
+from functools import cached_property
+
+from pyspark.sql import DataFrame
+
+from ledgerloom.plans import checks, gold, marts
+from ledgerloom.plans.silver import silver
+from ledgerloom.scratch import Scratch
+
+LAYERS = {
+    "silver": ("silver_ecommerce",),
+    "gold": ("dim_customers", "dim_products", "dim_date", "fact_sales"),
+    "marts": ("mart_invoices", "mart_rfm_snapshot", "mart_rfm_movement"),
+}
+
+
+class Pipeline:
+    """A table is computed and written under ``root`` when first asked for.
+
+    Silver has four readers and every mart reads the same fact, so each is stored rather
+    than recomputed. Building again under the same root replaces the tables.
+    """
+
+    def __init__(
+        self,
+        raw: DataFrame,
+        countries: DataFrame,
+        root: str | None = None,
+        calendar_start: str = gold.CALENDAR_START,
+        calendar_end: str = gold.CALENDAR_END,
+    ):
+        self.spark = raw.sparkSession
+        self.raw = raw
+        self.countries = countries
+        self.scratch = Scratch(self.spark)
+        self.root = root or self.scratch.root
+        self.calendar = (calendar_start, calendar_end)
+
+    def _stored(self, layer: str, name: str, df: DataFrame) -> DataFrame:
+        path = f"{self.root}/{layer}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    @cached_property
+    def silver_ecommerce(self) -> DataFrame:
+        return self._stored("silver", "silver_ecommerce", silver(self.raw))
+
+    @cached_property
+    def dim_customers(self) -> DataFrame:
+        return self._stored("gold", "dim_customers", gold.dim_customers(self.silver_ecommerce))
+
+    @cached_property
+    def dim_products(self) -> DataFrame:
+        return self._stored("gold", "dim_products", gold.dim_products(self.silver_ecommerce))
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return self._stored("gold", "dim_date", gold.dim_date(self.spark, *self.calendar))
+
+    @cached_property
+    def fact_sales(self) -> DataFrame:
+        return self._stored("gold", "fact_sales", gold.fact_sales(self.silver_ecommerce))
+
+    @cached_property
+    def mart_invoices(self) -> DataFrame:
+        df = marts.mart_invoices(
+            self.fact_sales, self.dim_customers, self.dim_products, self.dim_date, self.countries
+        )
+        return self._stored("marts", "mart_invoices", df)
+
+    @cached_property
+    def mart_rfm_snapshot(self) -> DataFrame:
+        df = marts.mart_rfm_snapshot(self.fact_sales, self.dim_date, self.scratch)
+        return self._stored("marts", "mart_rfm_snapshot", df)
+
+    @cached_property
+    def mart_rfm_movement(self) -> DataFrame:
+        """Stored in (customer, month) order, so that readers of one customer skip files."""
+        order = ["customer_id", "snapshot_month"]
+        df = marts.mart_rfm_movement(self.mart_rfm_snapshot)
+        laid_out = df.repartitionByRange(*order).sortWithinPartitions(*order)
+        return self._stored("marts", "mart_rfm_movement", laid_out)
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {name: getattr(self, name) for names in LAYERS.values() for name in names}
+
+    def create_views(self) -> None:
+        for name, df in self.tables().items():
+            df.createOrReplaceTempView(name)
+
+    def create_tables(self) -> None:
+        """Register the stored files as ``<layer>.<table>`` in the catalog."""
+        for layer, names in LAYERS.items():
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+            for name in names:
+                getattr(self, name)
+                self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
+                self.spark.catalog.createTable(
+                    f"{layer}.{name}", path=f"{self.root}/{layer}/{name}", source="parquet"
+                )
+
+    def check_report(self) -> DataFrame:
+        """One row per declared check; months must lie within the calendar."""
+        start, end = self.calendar
+        months = (start[:8] + "01", end[:8] + "01")
+        return checks.check_report(
+            {
+                "raw_ecommerce": (self.raw, checks.raw_checks()),
+                "silver_ecommerce": (self.silver_ecommerce, checks.silver_checks()),
+                "dim_customers": (self.dim_customers, checks.dim_customers_checks()),
+                "dim_products": (self.dim_products, checks.dim_products_checks()),
+                "dim_date": (self.dim_date, checks.dim_date_checks()),
+                "fact_sales": (self.fact_sales, checks.fact_sales_checks()),
+                "mart_invoices": (self.mart_invoices, checks.mart_invoices_checks()),
+                "mart_rfm_snapshot": (
+                    self.mart_rfm_snapshot,
+                    checks.mart_rfm_snapshot_checks(months),
+                ),
+                "mart_rfm_movement": (
+                    self.mart_rfm_movement,
+                    checks.mart_rfm_movement_checks(),
+                ),
+            }
+        )
