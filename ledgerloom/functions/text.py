@@ -15,9 +15,11 @@ NULL_KEY_PART = "_dbt_utils_surrogate_key_null_"
 def whole_number(text: Column) -> Column:
     """Text to INT, rounding half away from zero; null when not a number or out of range.
 
-    A plain string-to-int cast rejects '2.5' and '1e2', which a warehouse accepts.
+    A plain string-to-int cast rejects '2.5' and '1e2', which a warehouse accepts, so text
+    it rejects goes through a decimal. Digits only, the common case, never get there.
     """
-    return F.round(text.try_cast("decimal(38,10)")).try_cast("int")
+    rounded = F.round(text.try_cast("decimal(38,10)")).try_cast("int")
+    return F.coalesce(text.try_cast("int"), rounded)
 
 
 def normal_code(code: Column) -> Column:

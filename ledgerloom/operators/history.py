@@ -47,7 +47,7 @@ def to_date_by_month(lines: DataFrame) -> DataFrame:
         F.lead("order_month").over(by_customer).alias("next_month"),
         F.max("last_order").over(so_far).alias("most_recent_order"),
         F.sum("new_orders").over(so_far).alias("number_of_orders"),
-        F.sum("spend").over(so_far).cast("decimal(38,4)").alias("total_spent"),
+        F.sum("spend").over(so_far).cast("double").alias("total_spent"),
     )
 
     months = lines.agg(F.sort_array(F.collect_set("order_month"))).scalar()

@@ -27,6 +27,14 @@ SCORED = {
 }
 
 
+def locate_customers(customers: DataFrame, countries: DataFrame) -> DataFrame:
+    """Customers with the two-letter code of their country, null where it is not listed."""
+    codes = countries.select(F.col("en").alias("country"), F.col("alpha2").alias("country_code"))
+    return customers.join(codes, "country", "left").select(
+        "customer_id", "country", "country_code"
+    )
+
+
 def mart_invoices(
     fact: DataFrame,
     customers: DataFrame,
@@ -40,9 +48,7 @@ def mart_invoices(
     hint: Spark does it for stored dimensions under its size threshold, and otherwise
     sort-merges, where the adaptive skew join splits hot customers and products.
     """
-    located = customers.join(
-        countries.select("alpha2", F.col("en").alias("country")), "country", "left"
-    ).select("customer_id", "country", F.col("alpha2").alias("country_code"))
+    located = locate_customers(customers, countries)
     days = dates.select(
         "date_id", F.col("date").alias("invoice_date"), "month_name", "year", "quarter"
     )
@@ -107,14 +113,16 @@ def score_across_tasks(base: DataFrame, scratch: Scratch) -> DataFrame:
     movement needs them.
     """
     key = ["customer_id", "snapshot_month"]
-    long = base.select(*key, *[F.col(m).cast("decimal(38,4)") for m in SCORED.values()]).unpivot(
-        key, list(SCORED.values()), "measure", "value"
-    )
+    # Numbered rather than named: the number leads every comparison of the sort.
+    measures = dict(enumerate(SCORED.values()))
+    long = base.select(
+        *key, F.posexplode(F.array(*[F.col(m).cast("double") for m in measures.values()]))
+    ).toDF(*key, "measure", "value")
     placed = ranked(long, ["value", "customer_id"], scratch, within=["measure", "snapshot_month"])
     scored = placed.withColumn("score", tile(BUCKETS, F.col("rank"), F.col("group_rows")))
 
-    def pick(column: str, measure: str):
-        return F.max(F.when(F.col("measure") == measure, F.col(column)))
+    def pick(column: str, number: int):
+        return F.max(F.when(F.col("measure") == number, F.col(column)))
 
     types = {f.name: f.dataType for f in base.schema}
     return (
@@ -122,8 +130,8 @@ def score_across_tasks(base: DataFrame, scratch: Scratch) -> DataFrame:
         scored.repartition("customer_id")
         .groupBy(*key)
         .agg(
-            *[pick("value", m).cast(types[m]).alias(m) for m in SCORED.values()],
-            *[pick("score", m).alias(score) for score, m in SCORED.items()],
+            *[pick("value", i).cast(types[m]).alias(m) for i, m in measures.items()],
+            *[pick("score", i).alias(score) for i, score in enumerate(SCORED)],
         )
     )
 
@@ -135,7 +143,7 @@ def label_scores(scored: DataFrame) -> DataFrame:
         "snapshot_month",
         "most_recent_order",
         "number_of_orders",
-        F.col("total_spent").cast("double").alias("total_spent"),
+        "total_spent",
         *SCORED,
         (recency + frequency + monetary).alias("rfm_total_score"),
         customer_segment(recency, frequency, monetary).alias("customer_segment"),

@@ -5,7 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-REVENUE = F.sum(F.col("total_price").cast("decimal(18,4)")).cast("double").alias("revenue")
+
+def _money(column: str) -> Column:
+    """A sum that does not depend on the order of addition."""
+    return F.sum(F.col(column).cast("decimal(18,4)"))
+
+
+def _revenue() -> Column:
+    return _money("total_price").cast("double").alias("revenue")
 
 
 def headline_totals(invoices: DataFrame) -> DataFrame:
@@ -15,7 +22,7 @@ def headline_totals(invoices: DataFrame) -> DataFrame:
     rows they read.
     """
     per_invoice = invoices.groupBy("invoice_no", "customer_id").agg(
-        F.sum(F.col("total_price").cast("decimal(18,4)")).alias("spend")
+        _money("total_price").alias("spend")
     )
     totals = per_invoice.agg(
         F.sum("spend").cast("double").alias("revenue"),
@@ -26,16 +33,16 @@ def headline_totals(invoices: DataFrame) -> DataFrame:
 
 
 def revenue_by_month(invoices: DataFrame) -> DataFrame:
-    return invoices.groupBy("year", "month_name").agg(REVENUE)
+    return invoices.groupBy("year", "month_name").agg(_revenue())
 
 
 def top_products(invoices: DataFrame, k: int = 10) -> DataFrame:
-    totals = invoices.groupBy("stock_code", "description").agg(REVENUE)
+    totals = invoices.groupBy("stock_code", "description").agg(_revenue())
     return totals.orderBy(F.desc("revenue"), F.asc_nulls_last("stock_code")).limit(k)
 
 
 def top_countries(invoices: DataFrame, k: int = 10) -> DataFrame:
-    totals = invoices.groupBy("country").agg(REVENUE)
+    totals = invoices.groupBy("country").agg(_revenue())
     return totals.orderBy(F.desc("revenue"), F.asc_nulls_last("country")).limit(k)
 
 

@@ -28,7 +28,8 @@ def sample_raw(spark: SparkSession, folder: str) -> DataFrame:
         .join(nations, nation_key == F.col("n_nationkey"))
         .select("o_orderkey", "o_custkey", "o_orderdate", "n_name")
     )
-    joined = lines.join(headers, key == F.col("o_orderkey")).join(
+    # Both sides grow with the data: merged, which also spreads a one-piece file over tasks.
+    joined = lines.join(headers.hint("merge"), key == F.col("o_orderkey")).join(
         parts, part == F.col("p_partkey")
     )
 
