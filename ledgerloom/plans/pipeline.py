@@ -35,8 +35,7 @@ class Pipeline:
         self.spark = raw.sparkSession
         self.raw = raw
         self.countries = countries
-        self.scratch = Scratch(self.spark)
-        self.root = root or self.scratch.root
+        self.root = root or Scratch(self.spark).root
         self.calendar = (calendar_start, calendar_end)
 
     def _stored(self, layer: str, name: str, df: DataFrame) -> DataFrame:
@@ -73,8 +72,9 @@ class Pipeline:
 
     @cached_property
     def mart_rfm_snapshot(self) -> DataFrame:
-        df = marts.mart_rfm_snapshot(self.fact_sales, self.dim_date, self.scratch)
-        return self._stored("marts", "mart_rfm_snapshot", df)
+        with Scratch(self.spark) as scratch:
+            df = marts.mart_rfm_snapshot(self.fact_sales, self.dim_date, scratch)
+            return self._stored("marts", "mart_rfm_snapshot", df)
 
     @cached_property
     def mart_rfm_movement(self) -> DataFrame:

@@ -26,12 +26,28 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder from whatever file system the path names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 class Scratch:
-    """A fresh subfolder per run; each kept table gets its own path inside it."""
+    """A fresh subfolder per use; each kept table gets its own path inside it.
+
+    As a context manager it removes the subfolder at the end: everything computed from
+    the kept tables must be written by then.
+    """
 
-    def __init__(self, spark: SparkSession, root: str | None = None):
+    def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.root = root or f"{shared_folder(spark)}/ledgerloom/{uuid.uuid4().hex}"
+        self.root = f"{shared_folder(spark)}/ledgerloom/{uuid.uuid4().hex}"
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *exc: object) -> None:
+        delete_folder(self.spark, self.root)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = self.path(name)

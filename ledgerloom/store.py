@@ -19,14 +19,13 @@ from ledgerloom.operators import absent_rows, with_row_ids
 from ledgerloom.plans import normalised
 from ledgerloom.plans.checks import check_table, require, stored_checks
 from ledgerloom.schemas import STORE
-from ledgerloom.scratch import Scratch
+from ledgerloom.scratch import Scratch, delete_folder
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str, scratch: Scratch | None = None):
+    def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.scratch = scratch or Scratch(spark)
 
     # ── reading ──────────────────────────────────────────────────────────────
 
@@ -64,35 +63,42 @@ class Store:
         """Insert what is new in ``silver`` into all four tables, or into none."""
         runs = self.committed_runs()
         run_id = uuid.uuid4().hex
-        source = normalised.silver_columns(silver)
+        try:
+            with Scratch(self.spark) as scratch:
+                self._write_run(normalised.silver_columns(silver), runs, run_id, scratch)
+            for name in STORE:
+                self._check(name, runs, run_id)
+            self._commit(len(runs), run_id)
+        except Exception:
+            for name in STORE:
+                delete_folder(self.spark, self._folder(name, run_id))
+            raise
+        return run_id
 
-        customers = self.scratch.keep(normalised.customers(source), "customers")
-        products = self.scratch.keep(normalised.products(source), "products")
-        orders = self.scratch.keep(normalised.orders(source, customers), "orders")
-        batches = {
+    def _write_run(
+        self, source: DataFrame, runs: list[str], run_id: str, scratch: Scratch
+    ) -> None:
+        """Parents are stored once: they are inserted and also guard their children."""
+        customers = scratch.keep(normalised.customers(source), "customers")
+        products = scratch.keep(normalised.products(source), "products")
+        orders = scratch.keep(normalised.orders(source, customers), "orders")
+        items = normalised.order_items(source, orders, products)
+        for name, batch in {
             "customers": customers,
             "products": products,
             "orders": orders,
-            "order_items": normalised.order_items(source, orders, products),
-        }
-        for name, batch in batches.items():
-            self._write_new(name, batch, runs, run_id)
-        for name in STORE:
-            self._check(name, runs, run_id)
-        self._commit(len(runs), run_id)
-        return run_id
-
-    def _write_new(self, name: str, batch: DataFrame, runs: list[str], run_id: str) -> None:
-        spec, target = STORE[name], self._read(name, runs)
-        # The other batches are unique on their key; lines are so if silver is.
-        order = ("quantity", "unit_price", "total_price") if name == "order_items" else ()
-        new = absent_rows(batch, target, spec.key, order)
-        if "id" in spec.schema.fieldNames():
-            last = target.agg(F.max("id")).first()[0] or 0
-            new = with_row_ids(new, spec.key, self.scratch, after=last)
-        # Money columns that do not fit raise here, as they do in a database.
-        typed = new.select(*[F.col(f.name).cast(f.dataType) for f in spec.schema])
-        typed.write.parquet(self._folder(name, run_id))
+            "order_items": items,
+        }.items():
+            spec, target = STORE[name], self._read(name, runs)
+            # The other batches are unique on their key; lines are so if silver is.
+            order = ("quantity", "unit_price", "total_price") if batch is items else ()
+            new = absent_rows(batch, target, spec.key, order)
+            if "id" in spec.schema.fieldNames():
+                last = target.agg(F.max("id")).first()[0] or 0
+                new = with_row_ids(new, spec.key, scratch, after=last)
+            # Money columns that do not fit raise here, as they do in a database.
+            typed = new.select(*[F.col(f.name).cast(f.dataType) for f in spec.schema])
+            typed.write.parquet(self._folder(name, run_id))
 
     def _check(self, name: str, runs: list[str], run_id: str) -> None:
         """New rows are absent from the target, so keys need checking among them only."""
