@@ -1,7 +1,7 @@
 """Reusable DataFrame operators."""
 
 from ledgerloom.operators.calendar import calendar, date_spine
-from ledgerloom.operators.first import first_per_key
+from ledgerloom.operators.first import first_per_key, with_values
 from ledgerloom.operators.history import to_date_by_month
 from ledgerloom.operators.incremental import absent_rows, insert_if_absent, orphans
 from ledgerloom.operators.ranking import ranked, tile, with_row_ids
@@ -16,5 +16,6 @@ __all__ = [
     "ranked",
     "tile",
     "to_date_by_month",
+    "with_values",
     "with_row_ids",
 ]

@@ -3,11 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def with_values(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows with a value in every given column; unlike ``dropna`` this reaches the scan."""
+    return df.filter(reduce(and_, [F.col(c).isNotNull() for c in columns]))
+
+
 def first_per_key(
     df: DataFrame, keys: Sequence[Column | str], order: Sequence[str]
 ) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.first import with_values
+
 SPEND = "decimal(18,4)"
 
 
@@ -12,31 +14,34 @@ def to_date_by_month(lines: DataFrame) -> DataFrame:
     """Each customer's history up to each month, from ``lines`` with an ``order_month``.
 
     The plain form joins every line to every later month. Here lines shrink to one row
-    per customer and active month first, running windows go over those, and each row is
-    then repeated for the months until the customer's next active one. The month list
-    holds one entry per calendar month that has any line.
+    per customer and active month, running windows go over those, and each row is then
+    repeated for the months until the customer's next active one. The month list holds
+    one entry per calendar month that has any line.
 
-    No step groups raw lines by customer alone: lines combine on the map side, and an
-    invoice counts in its first month only, which makes the distinct count a sum.
+    Distinct orders to date become a sum by counting each invoice in its first month
+    only. Both groupings, by invoice and by month, come from one scan and one shuffle,
+    combined on the map side: no step gathers raw lines by customer alone.
     """
-    lines = lines.filter(F.col("customer_id").isNotNull() & F.col("order_month").isNotNull())
+    lines = with_values(lines, "customer_id", "order_month")
 
-    per_invoice = lines.groupBy("customer_id", "invoice_no", "order_month").agg(
+    by_invoice, by_month = ["customer_id", "invoice_no"], ["customer_id", "order_month"]
+    grouped = lines.groupingSets(
+        [[F.col(c) for c in by_invoice], [F.col(c) for c in by_month]],
+        "customer_id",
+        "invoice_no",
+        "order_month",
+    ).agg(
+        F.grouping("invoice_no").alias("is_month"),
+        F.min(lines["order_month"]).alias("first_month"),
         F.max("date_id").alias("last_order"),
         # Decimal, so that the sum does not depend on the order of addition.
         F.sum(F.when(F.col("total_price") > 0, F.col("total_price").cast(SPEND))).alias("spend"),
     )
-    by_invoice = Window.partitionBy("customer_id", "invoice_no").orderBy("order_month")
-    is_new = (F.row_number().over(by_invoice) == 1) & F.col("invoice_no").isNotNull()
-
-    per_month = (
-        per_invoice.withColumn("is_new", is_new.cast("int"))
-        .groupBy("customer_id", "order_month")
-        .agg(
-            F.max("last_order").alias("last_order"),
-            F.sum("is_new").alias("new_orders"),
-            F.sum("spend").alias("spend"),
-        )
+    is_month = F.col("is_month") == 1
+    per_month = grouped.groupBy("customer_id", F.col("first_month").alias("order_month")).agg(
+        F.max(F.when(is_month, F.col("last_order"))).alias("last_order"),
+        F.count(F.when(~is_month, F.col("invoice_no"))).alias("new_orders"),
+        F.sum(F.when(is_month, F.col("spend"))).alias("spend"),
     )
 
     by_customer = Window.partitionBy("customer_id").orderBy("order_month")

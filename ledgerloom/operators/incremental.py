@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.first import first_per_key
+from ledgerloom.operators.first import first_per_key, with_values
 
 
 def absent_rows(
@@ -36,7 +36,7 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -
     Child rows combine per value before the join, so a hot value is one row in it.
     """
     values = (
-        child.filter(F.col(column).isNotNull())
+        with_values(child, column)
         .groupBy(F.col(column).alias("value"))
         .agg(F.count("*").alias("child_rows"))
     )

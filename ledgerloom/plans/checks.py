@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.labels import MOVEMENTS, SEGMENTS
-from ledgerloom.operators import orphans
+from ledgerloom.operators import orphans, with_values
 from ledgerloom.schemas import RAW, SILVER, StoredTable
 
 REPORT = T.StructType(
@@ -107,7 +107,7 @@ def column_type(column: str, type_name: str) -> SchemaCheck:
 
 def duplicates(df: DataFrame, columns: tuple[str, ...], ignore_nulls: bool = False) -> DataFrame:
     """Key values held by more than one row, with their ``occurrences``."""
-    rows = df.dropna(subset=list(columns)) if ignore_nulls else df
+    rows = with_values(df, *columns) if ignore_nulls else df
     return (
         rows.groupBy(*columns)
         .agg(F.count("*").alias("occurrences"))

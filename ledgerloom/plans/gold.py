@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import date_key, is_sellable, normal_code, surrogate_key
-from ledgerloom.operators import calendar, date_spine, first_per_key
+from ledgerloom.operators import calendar, date_spine, first_per_key, with_values
 
 # The calendar of the original data set, end excluded.
 CALENDAR_START, CALENDAR_END = "2010-12-01", "2011-12-10"
@@ -14,7 +14,7 @@ CALENDAR_START, CALENDAR_END = "2010-12-01", "2011-12-10"
 
 def dim_customers(silver: DataFrame) -> DataFrame:
     """Each customer with the country first seen."""
-    seen = silver.filter(F.col("customer_id").isNotNull()).select(
+    seen = with_values(silver, "customer_id").select(
         "customer_id", "country", "invoice_date"
     )
     return first_per_key(seen, ["customer_id"], ["invoice_date", "country"]).drop("invoice_date")

@@ -11,7 +11,7 @@ from ledgerloom.functions import (
     segment_movement,
     segment_transition,
 )
-from ledgerloom.operators import ranked, tile, to_date_by_month
+from ledgerloom.operators import ranked, tile, to_date_by_month, with_values
 from ledgerloom.scratch import Scratch
 
 BUCKETS = 5
@@ -27,12 +27,10 @@ SCORED = {
 }
 
 
-def locate_customers(customers: DataFrame, countries: DataFrame) -> DataFrame:
-    """Customers with the two-letter code of their country, null where it is not listed."""
+def with_country_code(df: DataFrame, countries: DataFrame) -> DataFrame:
+    """Add the two-letter code of ``country``, null where it is not listed."""
     codes = countries.select(F.col("en").alias("country"), F.col("alpha2").alias("country_code"))
-    return customers.join(codes, "country", "left").select(
-        "customer_id", "country", "country_code"
-    )
+    return df.join(codes, "country", "left")
 
 
 def mart_invoices(
@@ -44,44 +42,43 @@ def mart_invoices(
 ) -> DataFrame:
     """Sales lines with their product, customer and calendar attributes.
 
-    Country codes are looked up per customer, not per line. No side is broadcast by
-    hint: Spark does it for stored dimensions under its size threshold, and otherwise
-    sort-merges, where the adaptive skew join splits hot customers and products.
+    Each side is joined as it is stored, so Spark knows its size when it plans: it
+    broadcasts those under its threshold, and then lines do not move at all. It merges
+    the others, where the adaptive skew join splits hot customers and products.
     """
-    located = locate_customers(customers, countries)
     days = dates.select(
         "date_id", F.col("date").alias("invoice_date"), "month_name", "year", "quarter"
     )
-    status = F.when(F.col("customer_id").isNull(), "Cancelled").otherwise("Shipped")
-    return (
+    joined = (
         fact.drop("unit_price")
         .join(days, "date_id", "left")
-        .join(located, "customer_id", "left")
+        .join(customers, "customer_id", "left")
         .join(products, "stock_code", "left")
-        .select(
-            "sales_id",
-            "invoice_no",
-            status.alias("status"),
-            "stock_code",
-            "description",
-            "unit_price",
-            "quantity",
-            "total_price",
-            "customer_id",
-            "country",
-            "country_code",
-            "invoice_date",
-            "month_name",
-            "year",
-            "quarter",
-        )
+    )
+    status = F.when(F.col("customer_id").isNull(), "Cancelled").otherwise("Shipped")
+    return with_country_code(joined, countries).select(
+        "sales_id",
+        "invoice_no",
+        status.alias("status"),
+        "stock_code",
+        "description",
+        "unit_price",
+        "quantity",
+        "total_price",
+        "customer_id",
+        "country",
+        "country_code",
+        "invoice_date",
+        "month_name",
+        "year",
+        "quarter",
     )
 
 
 def order_months(fact: DataFrame, dates: DataFrame) -> DataFrame:
     """Sales of known customers with their calendar month; days off the calendar drop out."""
     months = dates.select("date_id", month_of(F.col("date")).alias("order_month"))
-    return fact.filter(F.col("customer_id").isNotNull()).join(months, "date_id")
+    return with_values(fact, "customer_id").join(months, "date_id")
 
 
 def month_spine(fact: DataFrame, dates: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import first_per_key
+from ledgerloom.operators import first_per_key, with_values
 from ledgerloom.schemas import SILVER
 
 
@@ -19,15 +19,15 @@ def silver_columns(silver: DataFrame) -> DataFrame:
 
 
 def customers(silver: DataFrame) -> DataFrame:
-    rows = silver.select("customer_id", "country", "invoice_date").dropna(
-        subset=["customer_id", "country"]
+    rows = with_values(silver, "customer_id", "country").select(
+        "customer_id", "country", "invoice_date"
     )
     return first_per_key(rows, ["customer_id"], ["invoice_date", "country"]).drop("invoice_date")
 
 
 def products(silver: DataFrame) -> DataFrame:
-    rows = silver.select("stock_code", "description", "unit_price", "invoice_date").dropna(
-        subset=["stock_code"]
+    rows = with_values(silver, "stock_code").select(
+        "stock_code", "description", "unit_price", "invoice_date"
     )
     order = ["invoice_date", "description", "unit_price"]
     return first_per_key(rows, ["stock_code"], order).drop("invoice_date")
@@ -39,8 +39,8 @@ def orders(silver: DataFrame, customers: DataFrame) -> DataFrame:
     The first row is chosen before customers are looked at: an invoice that starts with
     an unknown customer is left out even when a later row has a known one.
     """
-    rows = silver.select("invoice_no", "customer_id", "invoice_date").dropna(
-        subset=["invoice_no", "invoice_date"]
+    rows = with_values(silver, "invoice_no", "invoice_date").select(
+        "invoice_no", "customer_id", "invoice_date"
     )
     first = first_per_key(rows, ["invoice_no"], ["invoice_date", "customer_id"])
     return first.join(customers.select("customer_id"), "customer_id", "left_semi").select(
@@ -50,9 +50,7 @@ def orders(silver: DataFrame, customers: DataFrame) -> DataFrame:
 
 def order_items(silver: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """Lines with a quantity whose invoice and product are both loaded."""
-    rows = silver.select(
-        "invoice_no", "stock_code", "quantity", "unit_price", "total_price"
-    ).dropna(subset=["quantity"])
+    rows = with_values(silver, "quantity")
     return (
         rows.join(orders.select("invoice_no"), "invoice_no", "left_semi")
         .join(products.select("stock_code"), "stock_code", "left_semi")

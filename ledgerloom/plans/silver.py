@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import parse_invoice_time, whole_number
-from ledgerloom.operators import first_per_key
+from ledgerloom.operators import first_per_key, with_values
 
 
 def clean(raw: DataFrame) -> DataFrame:
     """Raw text rows to typed ones; rows without keys or a positive sale are dropped."""
-    typed = raw.filter(F.col("InvoiceNo").isNotNull() & F.col("StockCode").isNotNull()).select(
+    typed = with_values(raw, "InvoiceNo", "StockCode").select(
         F.col("InvoiceNo").alias("invoice_no"),
         F.col("StockCode").alias("stock_code"),
         F.trim("Description").alias("description"),
