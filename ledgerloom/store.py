@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import absent_rows, with_row_ids
 from ledgerloom.plans import normalised
-from ledgerloom.plans.checks import check_table, require, stored_checks
+from ledgerloom.plans.checks import check_report, require, stored_checks
 from ledgerloom.schemas import STORE
 from ledgerloom.scratch import Scratch, delete_folder
 
@@ -47,7 +47,9 @@ class Store:
     def _read(self, table: str, runs: list[str]) -> DataFrame:
         schema = STORE[table].schema
         if not runs:
-            return self.spark.createDataFrame([], schema)
+            # Known to be empty when planned, so that joins with it fold away.
+            nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+            return self.spark.range(0).select(*nothing).filter(F.lit(False))
         return self.spark.read.schema(schema).parquet(*[self._folder(table, r) for r in runs])
 
     def table(self, name: str) -> DataFrame:
@@ -66,8 +68,7 @@ class Store:
         try:
             with Scratch(self.spark) as scratch:
                 self._write_run(normalised.silver_columns(silver), runs, run_id, scratch)
-            for name in STORE:
-                self._check(name, runs, run_id)
+            self._check_run(runs, run_id)
             self._commit(len(runs), run_id)
         except Exception:
             for name in STORE:
@@ -100,12 +101,17 @@ class Store:
             typed = new.select(*[F.col(f.name).cast(f.dataType) for f in spec.schema])
             typed.write.parquet(self._folder(name, run_id))
 
-    def _check(self, name: str, runs: list[str], run_id: str) -> None:
+    def _check_run(self, runs: list[str], run_id: str) -> None:
         """New rows are absent from the target, so keys need checking among them only."""
-        spec = STORE[name]
-        parents = {p: self._read(p, [*runs, run_id]) for p in spec.parents.values()}
-        new = self._read(name, [run_id])
-        require(check_table(name, new, stored_checks(spec, parents)))
+        parents = {name: self._read(name, [*runs, run_id]) for name in STORE}
+        require(
+            check_report(
+                {
+                    name: (self._read(name, [run_id]), stored_checks(spec, parents))
+                    for name, spec in STORE.items()
+                }
+            )
+        )
 
     def _commit(self, seq: int, run_id: str) -> None:
         line = self.spark.createDataFrame([(seq, run_id)], "seq long, run_id string")

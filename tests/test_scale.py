@@ -14,6 +14,7 @@ from ledgerloom.operators import first_per_key
 from ledgerloom.plans import gold, marts, normalised
 from ledgerloom.scratch import Scratch
 from ledgerloom.session import shuffle_pieces
+from ledgerloom.sources import default_countries
 
 FOLDER = "/root/testdata/sf0.001"
 has_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no sample tables")
@@ -114,6 +115,12 @@ def test_stored_columns_and_filters_reach_the_scan(spark, hot_silver):
     assert "PushedFilters: [IsNotNull(customer_id)]" in text
 
 
+def test_the_shipped_country_list_is_broadcast_without_a_shuffle(spark, scratch):
+    lines = scratch.keep(spark.range(10).select(F.lit("France").alias("country")), "lines")
+    text = plan(marts.with_country_code(lines, default_countries(spark)))
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+
+
 def test_scratch_goes_away(spark):
     with Scratch(spark) as scratch:
         scratch.keep(spark.range(3), "x")
