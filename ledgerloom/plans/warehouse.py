@@ -17,7 +17,7 @@ LAYERS = {
 }
 
 
-class Pipeline:
+class Warehouse:
     """A table is computed and written under ``root`` when first asked for.
 
     Silver has four readers and every mart reads the same fact, so each is stored rather

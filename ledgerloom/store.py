@@ -9,10 +9,9 @@ same batch adds no rows. Rows are never rewritten. One load at a time: there is
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import absent_rows, with_row_ids
@@ -22,6 +21,10 @@ from ledgerloom.schemas import STORE
 from ledgerloom.scratch import Scratch, delete_folder
 
 
+# ``last_id`` is the highest line id so far, which the next load continues from.
+COMMIT = "seq long, run_id string, last_id long"
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -33,13 +36,16 @@ class Store:
     def _log(self) -> str:
         return f"{self.root}/_commits"
 
-    def committed_runs(self) -> list[str]:
-        """Run ids in commit order; one short line per load ever made."""
+    def _commits(self) -> list[Row]:
+        """One short line per load ever made, in order."""
         try:
-            log = self.spark.read.schema("seq long, run_id string").json(self._log)
+            log = self.spark.read.schema(COMMIT).json(self._log)
         except AnalysisException:  # nothing has been committed yet
             return []
-        return [r.run_id for r in log.orderBy("seq").collect()]
+        return log.orderBy("seq").collect()
+
+    def committed_runs(self) -> list[str]:
+        return [c.run_id for c in self._commits()]
 
     def _folder(self, table: str, run_id: str) -> str:
         return f"{self.root}/{table}/run_id={run_id}"
@@ -63,13 +69,16 @@ class Store:
 
     def load(self, silver: DataFrame) -> str:
         """Insert what is new in ``silver`` into all four tables, or into none."""
-        runs = self.committed_runs()
-        run_id = uuid.uuid4().hex
+        commits = self._commits()
+        runs, run_id = [c.run_id for c in commits], uuid.uuid4().hex
+        last_id = commits[-1].last_id if commits else 0
         try:
             with Scratch(self.spark) as scratch:
-                self._write_run(normalised.silver_columns(silver), runs, run_id, scratch)
+                source = normalised.silver_columns(silver)
+                self._write_run(source, runs, run_id, last_id, scratch)
             self._check_run(runs, run_id)
-            self._commit(len(runs), run_id)
+            newest = self._read("order_items", [run_id]).agg(F.max("id")).first()[0]
+            self._commit(len(runs), run_id, newest or last_id)
         except Exception:
             for name in STORE:
                 delete_folder(self.spark, self._folder(name, run_id))
@@ -77,7 +86,7 @@ class Store:
         return run_id
 
     def _write_run(
-        self, source: DataFrame, runs: list[str], run_id: str, scratch: Scratch
+        self, source: DataFrame, runs: list[str], run_id: str, last_id: int, scratch: Scratch
     ) -> None:
         """Parents are stored once: they are inserted and also guard their children."""
         customers = scratch.keep(normalised.customers(source), "customers")
@@ -95,8 +104,7 @@ class Store:
             order = ("quantity", "unit_price", "total_price") if batch is items else ()
             new = absent_rows(batch, target, spec.key, order)
             if "id" in spec.schema.fieldNames():
-                last = target.agg(F.max("id")).first()[0] or 0
-                new = with_row_ids(new, spec.key, scratch, after=last)
+                new = with_row_ids(new, spec.key, scratch, after=last_id)
             # Money columns that do not fit raise here, as they do in a database.
             typed = new.select(*[F.col(f.name).cast(f.dataType) for f in spec.schema])
             typed.write.parquet(self._folder(name, run_id))
@@ -113,17 +121,13 @@ class Store:
             )
         )
 
-    def _commit(self, seq: int, run_id: str) -> None:
-        line = self.spark.createDataFrame([(seq, run_id)], "seq long, run_id string")
+    def _commit(self, seq: int, run_id: str, last_id: int) -> None:
+        line = self.spark.createDataFrame([(seq, run_id, last_id)], COMMIT)
         line.coalesce(1).write.mode("append").json(self._log)
 
 
-def load_store(
-    silver: DataFrame, root: str, log: Callable[[str], None] | None = None
-) -> DataFrame:
+def load_store(silver: DataFrame, root: str) -> DataFrame:
     """Load and report the row counts of the four tables."""
     store = Store(silver.sparkSession, root)
-    run_id = store.load(silver)
-    if log:
-        log(f"committed run {run_id}")
+    store.load(silver)
     return store.row_counts()

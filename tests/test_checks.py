@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from ledgerloom.plans import checks, gold, marts
-from ledgerloom.plans.pipeline import LAYERS, Pipeline
+from ledgerloom.plans.warehouse import LAYERS, Warehouse
 from ledgerloom.plans.silver import silver
 from ledgerloom.schemas import STORE
 from ledgerloom.sources import default_countries
@@ -103,17 +103,17 @@ def test_clean_data_passes_every_check(spark, raw):
          "StockCode": f"SKU{c}", "UnitPrice": str(c + 1.5)}
         for c in range(7) for m in range(1, 5)
     ]
-    pipeline = Pipeline(raw(*lines), default_countries(spark))
-    report = pipeline.check_report()
+    warehouse = Warehouse(raw(*lines), default_countries(spark))
+    report = warehouse.check_report()
     assert report.count() == 85
     assert rows(report.filter(~F.col("passed"))) == []
     checks.require(report)
 
 
 def test_tables_are_reachable_by_name(spark, raw, scratch):
-    pipeline = Pipeline(raw({}), default_countries(spark), root=scratch.path("tables"))
-    pipeline.create_views()
-    pipeline.create_tables()
+    warehouse = Warehouse(raw({}), default_countries(spark), root=scratch.path("tables"))
+    warehouse.create_views()
+    warehouse.create_tables()
     for layer, names in LAYERS.items():
         for name in names:
             assert spark.table(name).count() == spark.table(f"{layer}.{name}").count() > 0
@@ -124,5 +124,22 @@ def test_tables_are_reachable_by_name(spark, raw, scratch):
 def test_rebuilding_replaces_tables(spark, raw, scratch):
     root = scratch.path("tables")
     countries = default_countries(spark)
-    assert Pipeline(raw({}, {"StockCode": "B2"}), countries, root).fact_sales.count() == 2
-    assert Pipeline(raw({}), countries, root).fact_sales.count() == 1
+    assert Warehouse(raw({}, {"StockCode": "B2"}), countries, root).fact_sales.count() == 2
+    assert Warehouse(raw({}), countries, root).fact_sales.count() == 1
+
+
+def test_movement_is_stored_in_customer_order(spark, raw, scratch):
+    lines = [
+        {"InvoiceNo": f"I{m}{c}", "CustomerID": f"C{c:02}", "InvoiceDate": f"{m}/1/2011 8:00"}
+        for c in range(40) for m in (1, 3)
+    ]
+    warehouse = Warehouse(raw(*lines), default_countries(spark), root=scratch.path("tables"))
+    stored = warehouse.mart_rfm_movement.select(
+        F.input_file_name().alias("file"), "customer_id", "snapshot_month"
+    ).collect()
+    files = {}
+    for file, *key in stored:
+        files.setdefault(file, []).append(key)
+    assert all(keys == sorted(keys) for keys in files.values())
+    in_order = sorted(files.values())
+    assert all(a[-1] < b[0] for a, b in zip(in_order, in_order[1:]))

@@ -12,7 +12,7 @@ import __spark_entry__ as entry
 from conftest import plan, rows
 from ledgerloom.operators import first_per_key
 from ledgerloom.plans import gold, marts, normalised
-from ledgerloom.scratch import Scratch
+from ledgerloom.scratch import Scratch, shared_folder
 from ledgerloom.session import shuffle_pieces
 from ledgerloom.sources import default_countries
 
@@ -129,6 +129,17 @@ def test_scratch_goes_away(spark):
     assert not os.path.exists(folder)
 
 
+def test_a_cluster_must_name_its_shared_folder():
+    class Session:
+        def __init__(self, **settings):
+            self.conf = {k.replace("_", "."): v for k, v in settings.items()}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session(spark_master="yarn"))
+    named = Session(spark_master="yarn", spark_checkpoint_dir="hdfs:///shared/")
+    assert shared_folder(named) == "hdfs:///shared"
+
+
 def test_shuffle_pieces_follow_the_input():
     assert shuffle_pieces(1) == 200
     assert shuffle_pieces(2 * 1024**4) == 8192
