@@ -28,13 +28,16 @@ class RawLoad:
         return loaded.select("loaded", rejected.scalar().alias("rejected"))
 
 
-def scan_raw(spark: SparkSession, folder: str, header: bool = True) -> DataFrame:
+def scan_raw(
+    spark: SparkSession, folder: str, header: bool = True, encoding: str = "UTF-8"
+) -> DataFrame:
     """Every ``*.csv`` in ``folder`` as text; lines with too few or too many fields
     keep their source text in ``_bad_line``."""
     schema = T.StructType([*RAW.fields, T.StructField(BAD_LINE, T.StringType())])
     reader = (
         spark.read.schema(schema)
         .option("header", header)
+        .option("encoding", encoding)
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD_LINE)
@@ -51,14 +54,20 @@ def scan_raw(spark: SparkSession, folder: str, header: bool = True) -> DataFrame
     return df
 
 
-def load_raw(spark: SparkSession, folder: str, target: str, header: bool = True) -> RawLoad:
+def load_raw(
+    spark: SparkSession,
+    folder: str,
+    target: str,
+    header: bool = True,
+    encoding: str = "UTF-8",
+) -> RawLoad:
     """Parse the files once into a table at ``target``, split by whether the line was good.
 
     Good rows and rejects are then separate folders of a columnar table, so counting or
     reading either one does not parse the text again.
     """
     (
-        scan_raw(spark, folder, header)
+        scan_raw(spark, folder, header, encoding)
         .withColumn("rejected", F.col(BAD_LINE).isNotNull())
         .write.mode("overwrite")
         .partitionBy("rejected")

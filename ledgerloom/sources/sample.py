@@ -56,7 +56,10 @@ def sample_raw(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.col("l_quantity").cast("int").cast("string"))
         .alias("Quantity"),
         F.concat(
-            F.date_format(day, "M/d/yyyy"), F.lit(" "), (line % 2 + 9).cast("string"), F.lit(":30")
+            F.concat_ws("/", *[part_of(day).cast("string") for part_of in (F.month, F.day, F.year)]),
+            F.lit(" "),
+            (line % 2 + 9).cast("string"),
+            F.lit(":30"),
         ).alias("InvoiceDate"),
         F.when(part % 89 == 6, "0")
         .when(part % 83 == 5, "x")

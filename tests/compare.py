@@ -64,8 +64,9 @@ def main() -> int:
     spark = build_session(
         "compare",
         spark__master="local[8]",
-        spark__sql__shuffle__partitions="8",
+        spark__sql__shuffle__partitions=os.environ.get("COMPARE_PARTITIONS", "8"),
         spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
         spark__driver__memory="12g",
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -32,6 +32,15 @@ def test_bad_lines_are_kept_apart(spark, tmp_path, scratch):
     assert rows(load.counts()) == [(3, 2)]
 
 
+def test_other_encodings(spark, tmp_path, scratch):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    text = f"{HEADER}\n{GOOD.replace('WHITE HOLDER', '£1 CAFÉ MUG')}\n"
+    (folder / "a.csv").write_bytes(text.encode("latin-1"))
+    load = load_raw(spark, str(folder), scratch.path("bronze"), encoding="ISO-8859-1")
+    assert rows(load.rows, "Description") == [("£1 CAFÉ MUG",)]
+
+
 def test_loading_again_replaces(spark, tmp_path, scratch):
     target = scratch.path("bronze")
     write(tmp_path / "in", "a.csv", HEADER, GOOD)
