@@ -14,7 +14,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import absent_rows, with_row_ids
+from ledgerloom.operators import absent_rows, with_row_ids, with_values
 from ledgerloom.plans import normalised
 from ledgerloom.plans.checks import check_report, require, stored_checks
 from ledgerloom.schemas import STORE
@@ -92,22 +92,27 @@ class Store:
         customers = scratch.keep(normalised.customers(source), "customers")
         products = scratch.keep(normalised.products(source), "products")
         orders = scratch.keep(normalised.orders(source, customers), "orders")
-        items = normalised.order_items(source, orders, products)
-        for name, batch in {
-            "customers": customers,
-            "products": products,
-            "orders": orders,
-            "order_items": items,
-        }.items():
-            spec, target = STORE[name], self._read(name, runs)
-            # The other batches are unique on their key; lines are so if silver is.
-            order = ("quantity", "unit_price", "total_price") if batch is items else ()
-            new = absent_rows(batch, target, spec.key, order)
-            if "id" in spec.schema.fieldNames():
-                new = with_row_ids(new, spec.key, scratch, after=last_id)
-            # Money columns that do not fit raise here, as they do in a database.
-            typed = new.select(*[F.col(f.name).cast(f.dataType) for f in spec.schema])
-            typed.write.parquet(self._folder(name, run_id))
+        parents = {"customers": customers, "products": products, "orders": orders}
+        for name, batch in parents.items():
+            new = absent_rows(batch, self._read(name, runs), STORE[name].key)
+            self._append(name, new, run_id)
+
+        # Lines already stored go first: a rerun looks up few invoices and products. What
+        # follows each lookup is a shuffle on something else, so a hot invoice can be split.
+        key = STORE["order_items"].key
+        lines = absent_rows(
+            with_values(source, "quantity"),
+            self._read("order_items", runs),
+            key,
+            ("quantity", "unit_price", "total_price"),
+        )
+        items = normalised.order_items(lines, orders, products)
+        self._append("order_items", with_row_ids(items, key, scratch, after=last_id), run_id)
+
+    def _append(self, name: str, new: DataFrame, run_id: str) -> None:
+        """Money columns that do not fit raise here, as they do in a database."""
+        typed = new.select(*[F.col(f.name).cast(f.dataType) for f in STORE[name].schema])
+        typed.write.parquet(self._folder(name, run_id))
 
     def _check_run(self, runs: list[str], run_id: str) -> None:
         """New rows are absent from the target, so keys need checking among them only."""

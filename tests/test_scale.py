@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import plan, rows
-from ledgerloom.operators import first_per_key
+from ledgerloom.operators import absent_rows, first_per_key
 from ledgerloom.plans import gold, marts, normalised
 from ledgerloom.scratch import Scratch, shared_folder
 from ledgerloom.session import shuffle_pieces
@@ -101,6 +101,19 @@ def test_hot_invoices_are_split_in_order_items(spark, hot_silver, scratch):
     assert items.count() == hot_silver.count()
 
 
+def test_hot_invoices_are_split_when_loading(spark, hot_silver, scratch):
+    """Lines not stored yet, looked up and numbered as the store does it."""
+    lines = hot_silver.withColumn("stock_code", F.col("description"))
+    orders = scratch.keep(lines.select("invoice_no").distinct(), "orders")
+    products = scratch.keep(lines.select("stock_code").distinct(), "products")
+    stored = scratch.keep(lines.filter("description < '4'"), "stored")
+    key = ["invoice_no", "stock_code"]
+    new = absent_rows(lines, stored, key, ["quantity"])
+    items = normalised.order_items(new, orders, products).repartitionByRange(*key)
+    assert is_split(items)
+    assert items.count() == lines.filter("description >= '4'").count()
+
+
 def test_split_scores_with_a_hot_customer(spark, hot_silver, scratch):
     fact = scratch.keep(gold.fact_sales(hot_silver), "fact")
     dates = gold.dim_date(spark)

@@ -102,6 +102,12 @@ def test_second_batch_continues_ids_and_keeps_old_rows(spark, four_lines, silver
     assert names["SKU001"] == "Product A"
 
 
+def test_repeated_lines_are_stored_once(spark, silver_rows, scratch):
+    store = Store(spark, scratch.path("store"))
+    store.load(silver_rows(dict(quantity=None), dict(quantity=3), dict(quantity=2), dict(quantity=2)))
+    assert rows(store.table("order_items"), "id", "quantity") == [(1, 2)]
+
+
 def test_stored_types(spark, silver_rows, scratch):
     store = Store(spark, scratch.path("store"))
     store.load(silver_rows(dict(unit_price=2.675, total_price=2.675)))
