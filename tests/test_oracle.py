@@ -19,7 +19,7 @@ def con():
 
 
 def test_every_query_has_a_twin():
-    assert entry.queries().keys() == entry.oracle_sql().keys()
+    assert entry.QUERIES.keys() <= entry.oracle_sql().keys() <= entry.queries().keys()
 
 
 @pytest.mark.parametrize("name", sorted(entry.QUERIES))
