@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import sharding, url_templates
-from ledgerloom.llm.common import table
+from public_tokenizers import path as tokenizer_path
+
+from ledgerloom.llm import langid, packing, sharding, url_templates
+from ledgerloom.llm.common import HELD_OUT, fold, held_out, table
 from ledgerloom.scratch import Scratch
 
 SHARDS = 40
@@ -21,6 +23,32 @@ URL_RULES = (
 )
 
 
+# Packing: vocabulary file and closing id of the contract.
+TOKENIZER, END_ID = "word_bpe_49k.json", 2
+
+
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = langid.fit(docs.filter(fold(F.col("doc_id")) != HELD_OUT))
+    return langid.predict(docs, model, ["doc_id"]).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    pieces = packing.packed(docs, tokenizer_path(TOKENIZER), END_ID, Scratch(spark).keep)
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
 def op7_url_templates(spark: SparkSession, folder: str) -> DataFrame:
     return url_templates.url_verdicts(
         table(spark, folder, "pages"), URL_RULES, Scratch(spark).keep
@@ -49,8 +77,10 @@ def op8_hilbert_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_language_id": op2_language_id,
     "op7_url_templates": op7_url_templates,
     "op8_hilbert_sharding": op8_hilbert_sharding,
+    "op10_packing": op10_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
