@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from public_tokenizers import path as tokenizer_path
 
-from ledgerloom.llm import langid, packing, sharding, url_templates
+from ledgerloom.llm import langid, packing, sharding, sql, url_templates, warc
 from ledgerloom.llm.common import HELD_OUT, fold, held_out, table
 from ledgerloom.scratch import Scratch
 
@@ -27,6 +27,15 @@ URL_RULES = (
 TOKENIZER, END_ID = "word_bpe_49k.json", 2
 
 
+# Pages carry no capture date.
+CAPTURED = "2024-01-01T00:00:00Z"
+
+
+def op1_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    records = warc.responses(table(spark, folder, "pages"), CAPTURED)
+    return warc.derivatives(records, ["page_id"])
+
+
 def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = langid.fit(docs.filter(fold(F.col("doc_id")) != HELD_OUT))
@@ -77,10 +86,11 @@ def op8_hilbert_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc_derivatives": op1_warc_derivatives,
     "op2_language_id": op2_language_id,
     "op7_url_templates": op7_url_templates,
     "op8_hilbert_sharding": op8_hilbert_sharding,
     "op10_packing": op10_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = {"op1_warc_derivatives": sql.warc_derivatives(CAPTURED)}
