@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from public_tokenizers import path as tokenizer_path
 
-from ledgerloom.llm import langid, packing, sharding, sql, url_templates, warc
+from ledgerloom.llm import kdtree, langid, packing, sharding, sql, url_templates, warc
 from ledgerloom.llm.common import HELD_OUT, fold, held_out, table
 from ledgerloom.scratch import Scratch
 
@@ -58,6 +58,16 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_kd_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return kdtree.top_k(
+        table(spark, folder, "embeddings"),
+        F.col("vec_id") % 20 == 0,
+        Scratch(spark).keep,
+        k=20,
+        scale=64,
+    )
+
+
 def op7_url_templates(spark: SparkSession, folder: str) -> DataFrame:
     return url_templates.url_verdicts(
         table(spark, folder, "pages"), URL_RULES, Scratch(spark).keep
@@ -88,9 +98,13 @@ def op8_hilbert_sharding(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_warc_derivatives": op1_warc_derivatives,
     "op2_language_id": op2_language_id,
+    "op4_kd_topk": op4_kd_topk,
     "op7_url_templates": op7_url_templates,
     "op8_hilbert_sharding": op8_hilbert_sharding,
     "op10_packing": op10_packing,
 }
 
-ORACLE_SQL = {"op1_warc_derivatives": sql.warc_derivatives(CAPTURED)}
+ORACLE_SQL = {
+    "op1_warc_derivatives": sql.warc_derivatives(CAPTURED),
+    "op4_kd_topk": sql.TOP_K,
+}

@@ -101,3 +101,22 @@ WITH stored AS (
   FROM blocks
 )
 SELECT *, {header} AS header FROM records"""
+
+
+TOP_K = """
+WITH vectors AS (
+  SELECT row_number() OVER () AS row, vec_id,
+    list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS vector
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), ranked AS (
+  SELECT q.vec_id AS query_id, d.vec_id,
+    CAST(list_inner_product(q.vector, d.vector) AS BIGINT) AS score,
+    CAST(row_number() OVER (
+      PARTITION BY q.row ORDER BY list_inner_product(q.vector, d.vector) DESC, d.vec_id
+    ) AS INTEGER) AS rank
+  FROM vectors q JOIN vectors d ON q.row <> d.row
+  WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20"""
