@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from public_tokenizers import path as tokenizer_path
 
-from ledgerloom.llm import kdtree, langid, packing, sharding, sql, url_templates, warc
+from ledgerloom.llm import kdtree, langid, packing, secrets, sharding, sql, url_templates, warc
 from ledgerloom.llm.common import HELD_OUT, fold, held_out, table
 from ledgerloom.scratch import Scratch
 
@@ -68,6 +68,24 @@ def op4_kd_topk(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = secrets.find(docs, Scratch(spark).keep)
+
+    def of(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("spans", lambda s: s["place"] < len(secrets.BASE))
+    return found.select(
+        "row.doc_id",
+        of("assign").alias("n_assign"),
+        of("access").alias("n_access"),
+        of("hex").alias("n_hex"),
+        F.sha2(secrets.described(base), 256).alias("base_sha256"),
+        secrets.described(F.col("spans")).alias("spans"),
+    )
+
+
 def op7_url_templates(spark: SparkSession, folder: str) -> DataFrame:
     return url_templates.url_verdicts(
         table(spark, folder, "pages"), URL_RULES, Scratch(spark).keep
@@ -99,6 +117,7 @@ QUERIES = {
     "op1_warc_derivatives": op1_warc_derivatives,
     "op2_language_id": op2_language_id,
     "op4_kd_topk": op4_kd_topk,
+    "op6_secret_scan": op6_secret_scan,
     "op7_url_templates": op7_url_templates,
     "op8_hilbert_sharding": op8_hilbert_sharding,
     "op10_packing": op10_packing,
@@ -107,4 +126,5 @@ QUERIES = {
 ORACLE_SQL = {
     "op1_warc_derivatives": sql.warc_derivatives(CAPTURED),
     "op4_kd_topk": sql.TOP_K,
+    "op6_secret_scan": sql.secret_scan(),
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ledgerloom.llm import warc
+from ledgerloom.llm import secrets, warc
 
 
 def _text(value: str) -> str:
@@ -120,3 +120,43 @@ WITH vectors AS (
   WHERE q.vec_id % 20 = 0
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20"""
+
+
+def secret_scan() -> str:
+    kinds = " UNION ALL ".join(
+        f"""
+  SELECT rid, '{rule.kind}' AS kind, {place} AS place, {rule.least} AS least,
+    string_split_regex(text, {_text(rule.pattern)}) AS gaps,
+    regexp_extract_all(text, {_text(rule.pattern)}, 0) AS matches,
+    regexp_extract_all(text, {_text(rule.pattern)}, {rule.group}) AS judged
+  FROM docs"""
+        for place, rule in enumerate(secrets.RULES)
+    )
+    described = "kind || ':' || begin || ':' || finish"
+    return f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents
+), kinds AS ({kinds}
+), pieces AS (
+  SELECT rid, kind, place, least, i, length(gaps[i]) AS gap, length(matches[i]) AS own,
+    length(judged[i]) AS size
+  FROM (SELECT *, unnest(range(1, len(matches) + 1)) AS i FROM kinds)
+), placed AS (
+  SELECT *, CAST(sum(gap + own) OVER (PARTITION BY rid, kind ORDER BY i) AS BIGINT) AS finish
+  FROM pieces
+), spans AS (
+  SELECT rid, kind, place, finish - own AS begin, finish FROM placed WHERE size >= least
+), grouped AS (
+  SELECT rid,
+    count(*) FILTER (WHERE kind = 'assign') AS n_assign,
+    count(*) FILTER (WHERE kind = 'access') AS n_access,
+    count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+    string_agg({described}, ',' ORDER BY begin, place)
+      FILTER (WHERE place < {len(secrets.BASE)}) AS base,
+    string_agg({described}, ',' ORDER BY begin, place) AS spans
+  FROM spans GROUP BY rid
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access,
+  coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans
+FROM docs LEFT JOIN grouped USING (rid)"""
