@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from public_tokenizers import path as tokenizer_path
 
-from ledgerloom.llm import kdtree, langid, packing, secrets, sharding, sql, url_templates, warc
+from ledgerloom.llm import decontaminate, kdtree, langid, packing, secrets, sharding, sql, url_templates, warc
 from ledgerloom.llm.common import HELD_OUT, fold, held_out, table
 from ledgerloom.scratch import Scratch
 
@@ -58,6 +58,19 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.scan(docs, table(spark, folder, "benchmark"), Scratch(spark).keep)
+    return found.select(
+        "row.doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        decontaminate.contaminated(F.col("n_words"), F.col("n_hit")).alias("contaminated"),
+    )
+
+
 def op4_kd_topk(spark: SparkSession, folder: str) -> DataFrame:
     return kdtree.top_k(
         table(spark, folder, "embeddings"),
@@ -116,6 +129,7 @@ def op8_hilbert_sharding(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_warc_derivatives": op1_warc_derivatives,
     "op2_language_id": op2_language_id,
+    "op3_decontamination": op3_decontamination,
     "op4_kd_topk": op4_kd_topk,
     "op6_secret_scan": op6_secret_scan,
     "op7_url_templates": op7_url_templates,
@@ -125,6 +139,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_warc_derivatives": sql.warc_derivatives(CAPTURED),
+    "op3_decontamination": sql.DECONTAMINATION,
     "op4_kd_topk": sql.TOP_K,
     "op6_secret_scan": sql.secret_scan(),
 }

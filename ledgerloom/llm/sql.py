@@ -160,3 +160,41 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
   coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
   coalesce(spans, '') AS spans
 FROM docs LEFT JOIN grouped USING (rid)"""
+
+
+_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+    r"'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+
+DECONTAMINATION = f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, {_WORDS} AS words FROM documents
+), items AS (
+  SELECT item_id, words, least(len(words), 13) AS n
+  FROM (SELECT item_id, {_WORDS} AS words FROM benchmark) WHERE len(words) > 0
+), item_windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(words[s : s + n - 1], ' ') AS text
+  FROM (SELECT *, unnest(range(1, len(words) - n + 2)) AS s FROM items)
+), doc_windows AS (
+  SELECT rid, n, s, array_to_string(words[s : s + n - 1], ' ') AS text
+  FROM (
+    SELECT rid, words, n, unnest(range(1, len(words) - n + 2)) AS s
+    FROM docs CROSS JOIN (SELECT DISTINCT n FROM item_windows) WHERE len(words) >= n
+  )
+), found AS (
+  SELECT d.rid, d.s, d.n, i.item_id FROM doc_windows d JOIN item_windows i USING (n, text)
+), hit AS (
+  SELECT rid, count(DISTINCT p) AS n_hit
+  FROM (SELECT rid, unnest(range(s, s + n)) AS p FROM found) GROUP BY rid
+), named AS (
+  SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (
+    SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM found WHERE item_id IS NOT NULL
+  ) GROUP BY rid
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+  coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(listed, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM docs LEFT JOIN hit USING (rid) LEFT JOIN named USING (rid)"""
