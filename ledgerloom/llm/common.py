@@ -33,6 +33,18 @@ def text_key(text: Column) -> Column:
     return F.md5(F.coalesce(text, F.lit("")))
 
 
+def text_slices(text: str, size: int = 1 << 20) -> Iterator[str]:
+    """Cut a long text at blanks, so that no word is cut; its words stay in memory by slice."""
+    at = 0
+    while at < len(text):
+        end = at + size
+        if end < len(text):
+            blank = text.find(" ", end)
+            end = len(text) if blank < 0 else blank
+        yield text[at:end]
+        at = end
+
+
 def blocks(lengths: Sequence[int], limit: int) -> Iterator[tuple[int, int]]:
     """Cut rows into runs of about ``limit`` characters; a longer row is a run of its own."""
     start, size = 0, 0

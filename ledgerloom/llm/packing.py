@@ -27,13 +27,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.common import text_slices
+
 WINDOW = 4096
 SHARD_TOKENS = 1 << 21
 QUERY_TERMS = 12
 NEIGHBOURS = 16  # taken from one search; a window that needs more searches again
 K1, B = 1.2, 0.75
 CACHED_WORDS = 300_000
-TEXT_SLICE = 1 << 20
 SEQUENCE_BITS = 40  # sequences a task may number
 
 
@@ -68,16 +69,7 @@ class Encoder:
 
     def ids(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        out, at = [], 0
-        text = text.replace("\n", " ")
-        while at < len(text):
-            end = at + TEXT_SLICE
-            if end < len(text):
-                blank = text.find(" ", end)
-                end = len(text) if blank < 0 else blank
-            out.append(self._words(text[at:end].split(" ")))
-            at = end
-        return b"".join(out)
+        return b"".join([self._words(s.split(" ")) for s in text_slices(text.replace("\n", " "))])
 
 
 def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:

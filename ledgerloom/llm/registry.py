@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from public_tokenizers import path as tokenizer_path
 
-from ledgerloom.llm import decontaminate, kdtree, langid, packing, secrets, sharding, sql, url_templates, warc
+from ledgerloom.llm import decontaminate, kdtree, langid, packing, secrets, sharding, sql, toxicity, url_templates, warc
 from ledgerloom.llm.common import HELD_OUT, fold, held_out, table
 from ledgerloom.scratch import Scratch
 
@@ -27,6 +27,8 @@ URL_RULES = (
 TOKENIZER, END_ID = "word_bpe_49k.json", 2
 
 
+TOXIC_AT = 0.7
+
 # Pages carry no capture date.
 CAPTURED = "2024-01-01T00:00:00Z"
 
@@ -81,6 +83,19 @@ def op4_kd_topk(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    learned = table(spark, folder, "labels").filter(fold(F.col("doc_id")) != HELD_OUT)
+    model = toxicity.fit(docs, learned, Scratch(spark).keep)
+    return toxicity.predict(docs, model).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC_AT).cast("int").alias("predicted"),
+        "evidence",
+    )
+
+
 def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = secrets.find(docs, Scratch(spark).keep)
@@ -131,6 +146,7 @@ QUERIES = {
     "op2_language_id": op2_language_id,
     "op3_decontamination": op3_decontamination,
     "op4_kd_topk": op4_kd_topk,
+    "op5_toxicity": op5_toxicity,
     "op6_secret_scan": op6_secret_scan,
     "op7_url_templates": op7_url_templates,
     "op8_hilbert_sharding": op8_hilbert_sharding,
