@@ -17,9 +17,11 @@ rows.
 from __future__ import annotations
 
 import os
+import string
 from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
+from unicodedata import normalize
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +36,7 @@ SHARD_TOKENS = 1 << 21
 QUERY_TERMS = 12
 NEIGHBOURS = 16  # taken from one search; a window that needs more searches again
 K1, B = 1.2, 0.75
-CACHED_WORDS = 300_000
+CACHED_WORDS = 500_000
 SEQUENCE_BITS = 40  # sequences a task may number
 
 
@@ -53,6 +55,47 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.known: dict[str, bytes] = {"": b""}
 
+    def _learn(self, words: list[str]) -> None:
+        """Encode words not met before.
+
+        Closing ASCII punctuation after a letter is a part of its own, and case does not
+        matter, so many new words need no encoding. Words of letters alone are parts of
+        one kind and are encoded together.
+        """
+        known, split = self.known, []
+        plain: dict[str, None] = {}
+        other: dict[str, None] = {}
+        for word in words:
+            stem = word.rstrip(string.punctuation)
+            tail = word[len(stem) :]
+            # Some letters end in a mark when normalised, which joins the punctuation.
+            if not (tail and normalize("NFC", stem[-1:]).lower().isalpha()):
+                stem, tail = word, ""
+            if stem.isascii():
+                stem = stem.lower()
+            if stem not in known:
+                (plain if stem.isalpha() else other)[stem] = None
+            if tail not in known:
+                other[tail] = None
+            split.append((word, stem, tail))
+        if plain:
+            joined = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
+            numbers = joined.word_ids
+            if numbers[-1] + 1 == len(plain):
+                parts: list[array] = [array("I") for _ in plain]
+                for i, number in zip(joined.ids, numbers):
+                    parts[number].append(i)
+                known.update(zip(plain, map(array.tobytes, parts)))
+            else:  # some letter falls apart when normalised
+                other |= plain
+        for word, e in zip(
+            other, self.tokenizer.encode_batch_fast(list(other), add_special_tokens=False)
+        ):
+            known[word] = array("I", e.ids).tobytes()
+        for word, stem, tail in split:
+            if word != stem:
+                known[word] = known[stem] + known[tail]
+
     def _words(self, words: list[str]) -> bytes:
         known = self.known
         try:
@@ -62,9 +105,7 @@ class Encoder:
         if len(known) > CACHED_WORDS:
             known.clear()
             known[""] = b""
-        new = [w for w in dict.fromkeys(words) if w not in known]
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[w] = array("I", e.ids).tobytes()
+        self._learn([w for w in dict.fromkeys(words) if w not in known])
         return b"".join([known[w] for w in words])
 
     def ids(self, text: str) -> bytes:
