@@ -7,7 +7,19 @@ from pyspark.sql import functions as F
 
 from public_tokenizers import path as tokenizer_path
 
-from ledgerloom.llm import decontaminate, kdtree, langid, packing, secrets, sharding, sql, toxicity, url_templates, warc
+from ledgerloom.llm import (
+    decontaminate,
+    jaccard_join,
+    kdtree,
+    langid,
+    packing,
+    secrets,
+    sharding,
+    sql,
+    toxicity,
+    url_templates,
+    warc,
+)
 from ledgerloom.llm.common import HELD_OUT, fold, held_out, table
 from ledgerloom.scratch import Scratch
 
@@ -46,6 +58,11 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return jaccard_join.jaccard_join(docs, Scratch(spark), size=4, percent=85)
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     pieces = packing.packed(docs, tokenizer_path(TOKENIZER), END_ID, Scratch(spark).keep)
@@ -150,6 +167,7 @@ QUERIES = {
     "op6_secret_scan": op6_secret_scan,
     "op7_url_templates": op7_url_templates,
     "op8_hilbert_sharding": op8_hilbert_sharding,
+    "op9_ngram_join": op9_ngram_join,
     "op10_packing": op10_packing,
 }
 
