@@ -461,9 +461,12 @@ def jaccard_join(docs: DataFrame, scratch: Scratch, size: int, percent: int) ->
     """(doc_id, n_shingles, component_id, n_links) of every row of ``docs``."""
     law, keep = Law(percent), scratch.keep
     texts = docs.select("doc_id", "text")
-    schema = docs.select("doc_id").schema.add("n", "long").add("cls", "binary")
+    kind = docs.schema["doc_id"].dataType.simpleString()
     scanned = keep(
-        texts.mapInArrow(_scan(size), schema.add("token", "long").add("times", "long")), "scanned"
+        texts.mapInArrow(
+            _scan(size), f"doc_id {kind}, n long, cls binary, token long, times long"
+        ),
+        "scanned",
     )
     rows = scanned.filter("n IS NOT NULL").select("doc_id", "n", "cls")
     whole = rows.agg(F.count("*").alias("docs"), F.sum("n").alias("tokens")).first()

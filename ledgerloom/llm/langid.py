@@ -159,7 +159,7 @@ def score_texts(texts: list[str | None], model: Model, table: np.ndarray):
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of ``docs`` with ``lang_pred`` and ``score``."""
+    """(row, lang_pred, score): the columns ``keep`` of ``docs`` as a struct, predicted."""
     broadcast = docs.sparkSession.sparkContext.broadcast(tuple(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,15 +167,16 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                found = score_texts(part["_text"].to_pylist(), model, table)
+                found = score_texts(part["text"].to_pylist(), model, table)
                 yield pa.RecordBatch.from_arrays(
-                    [part[c] for c in range(len(keep))]
-                    + [
+                    [
+                        part["row"],
                         pa.array([f[0] for f in found], pa.string()),
                         pa.array([f[1] for f in found], pa.float64()),
                     ],
-                    names=[*keep, "lang_pred", "score"],
+                    names=["row", "lang_pred", "score"],
                 )
 
-    schema = docs.select(*keep).schema.add("lang_pred", "string").add("score", "double")
-    return docs.select(*keep, F.col("text").alias("_text")).mapInArrow(run, schema)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), "text")
+    schema = rows.select("row").schema.add("lang_pred", "string").add("score", "double")
+    return rows.mapInArrow(run, schema)

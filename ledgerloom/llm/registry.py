@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from public_tokenizers import path as tokenizer_path
-
+import corpus_pipeline
 from ledgerloom.llm import (
     decontaminate,
     jaccard_join,
@@ -34,7 +34,6 @@ URL_RULES = (
     url_templates.Rule("com", "/de/", "block"),
 )
 
-
 # Packing: vocabulary file and closing id of the contract.
 TOKENIZER, END_ID = "word_bpe_49k.json", 2
 
@@ -54,7 +53,7 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = langid.fit(docs.filter(fold(F.col("doc_id")) != HELD_OUT))
     return langid.predict(docs, model, ["doc_id"]).select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+        "row.doc_id", held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", "score"
     )
 
 
@@ -169,6 +168,7 @@ QUERIES = {
     "op8_hilbert_sharding": op8_hilbert_sharding,
     "op9_ngram_join": op9_ngram_join,
     "op10_packing": op10_packing,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {
