@@ -57,10 +57,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, folder: str) -> Data
 def mask_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     found = secrets.find(docs, Scratch(spark).keep)
     masked = secrets.redacted(F.col("row.text"), F.col("spans"))
-    replaced = {"text": masked, "n_chars": F.length(masked).cast("long")}
-    return found.select(
-        *[replaced.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns]
-    )
+    row = F.col("row").withField("text", masked)
+    if "n_chars" in docs.columns:
+        row = row.withField("n_chars", F.length(masked).cast("long"))
+    return found.select(row.alias("row")).select("row.*")
 
 
 def pack_windows(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -37,8 +37,8 @@ from ledgerloom.scratch import Scratch
 
 BLOCK_DOCS, BLOCK_TOKENS = 4096, 1 << 21  # classes numbered together
 COMMON = 1 / 500  # a shingle in more of the documents than this is not moved
-RANGE_TOKENS = 1 << 17  # shingles counted together, about
-LEAST_RANGE_BITS = 12
+RANGE_TOKENS = 1 << 15  # shingles counted together, about
+LEAST_RANGE_BITS = 2
 CLUSTER_BLOCK = 1024  # classes on each side of a comparison task
 SMALL_TASK = 512  # classes of small clusters compared in one task
 COMPARED = 256  # rows and columns of one intersection matrix
@@ -260,14 +260,14 @@ def _survivors(law: Law):
         room = law.prefix(sizes) - (sizes - found)
         rows = np.flatnonzero((room > 0) & (found > 0))
         held = [token[ends[i] : ends[i + 1]] for i in rows]
-        return pd.DataFrame(
-            {
-                "cls": [names[16 * i : 16 * i + 16] for i in rows],
-                "n": sizes[rows],
-                "prefix": [h[: room[i]].astype(np.int64) for h, i in zip(held, rows)],
-                "shared": [np.sort(h).tobytes() for h in held],
-            }
-        )
+        found = {
+            "cls": [names[16 * i : 16 * i + 16] for i in rows],
+            "n": list(sizes[rows]),
+            "prefix": [h[: room[i]].astype(np.int64) for h, i in zip(held, rows)],
+            "shared": [np.sort(h).tobytes() for h in held],
+        }
+        # Objects, so that Arrow knows the types of a block without survivors.
+        return pd.DataFrame({k: pd.Series(v, dtype=object) for k, v in found.items()})
 
     return run
 
@@ -368,12 +368,9 @@ def _compare(law: Law):
                     if len(joined) > 1:
                         label[np.isin(label, joined)] = joined[0]
             found = links > 0
-            names = part["cls"].to_numpy()
-            out.append(
-                pd.DataFrame(
-                    {"cls": names[found], "root": names[label][found], "links": links[found]}
-                )
-            )
+            names = part["cls"].to_numpy(object)
+            columns = {"cls": names[found], "root": names[label][found], "links": links[found]}
+            out.append(pd.DataFrame(columns, dtype=object))
         return pd.concat(out)
 
     return run

@@ -129,13 +129,17 @@ def templates(rows: DataFrame, keep) -> tuple[DataFrame, DataFrame]:
     first = F.get("segs", F.lit(0))
     rest = F.slice("segs", 2, DEPTH)
     pooled = tree.groupBy("host", rest.alias("rest")).agg(
-        F.sum("good").alias("all_good"), F.sum("bad").alias("all_bad")
+        F.sum("good").alias("all_good"),
+        F.sum("bad").alias("all_bad"),
+        F.count_if(F.col("good") + F.col("bad") > 0).alias("judged"),
     )
     seen = F.col("good") + F.col("bad")
     share = F.try_divide(F.col("all_bad"), F.col("all_good") + F.col("all_bad"))
     spread = F.sqrt(F.try_divide(F.greatest(share * (1 - share), F.lit(1e-9)), seen))
     # False for a branch without judged urls: it has nothing to compare.
-    alike = F.coalesce(F.abs(F.try_divide(F.col("bad"), seen) - share) <= Z * spread, F.lit(False))
+    alike = (F.col("judged") > 1) & F.coalesce(
+        F.abs(F.try_divide(F.col("bad"), seen) - share) <= Z * spread, F.lit(False)
+    )
     merged = keep(
         tree.withColumn("rest", rest)
         .join(pooled, ["host", "rest"])

@@ -1,0 +1,81 @@
+from __future__ import annotations
+
+import re
+
+from llm_fixtures import folder  # noqa: F401
+from ledgerloom.llm import decontaminate, registry
+
+
+def words(text):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+
+
+def brute(docs, items):
+    windows = []
+    for item, text in items:
+        w = words(text)
+        n = min(13, len(w))
+        windows += [(item, w[i : i + n]) for i in range(len(w) - n + 1) if n]
+    for text in docs:
+        w, hit, found = words(text), set(), set()
+        for item, window in windows:
+            for i in range(len(w) - len(window) + 1):
+                if w[i : i + len(window)] == window:
+                    hit |= set(range(i, i + len(window)))
+                    found.add(item)
+        yield len(w), len(hit), sorted(map(str, found - {None}))
+
+
+PASSAGE = " ".join(f"w{i}" for i in range(20))
+ITEMS = [
+    (1, PASSAGE),
+    (2, "tiny item"),
+    (2, "Tiny  ITEM"),
+    (3, "solo"),
+    (None, "nameless words here"),
+    (4, None),
+    (5, "?!"),
+    (6, " ".join(["same"] * 15)),
+    (10, PASSAGE + " more"),
+]
+DOCS = [
+    PASSAGE.upper() + " and other words",
+    "x " + " ".join(f"w{i}" for i in range(12)),  # a word short of a window
+    "a tiny, item! and tiny item",
+    "solo " * 50,
+    "nameless words here",
+    "same " * 30,
+    None,
+    "",
+    "ÉTÉ Été été solo",
+    PASSAGE + " " + "filler " * 400,
+    PASSAGE + " " + "filler " * 400,
+]
+
+
+def test_brute_force(spark, scratch):
+    docs = spark.createDataFrame(
+        [(i, t, "x", 1) for i, t in enumerate(DOCS)],
+        "doc_id long, text string, key string, n_hit int",
+    )
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    found = decontaminate.scan(docs, items, scratch.keep).orderBy("row.doc_id").collect()
+    assert [(r.n_words, r.n_hit, r["items"]) for r in found] == list(brute(DOCS, ITEMS))
+    assert [r.row.key for r in found] == ["x"] * len(DOCS)
+
+
+def test_empty_tables_and_no_broadcast(spark, scratch, monkeypatch):
+    docs = spark.createDataFrame([(1, PASSAGE)], "doc_id long, text string")
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    clean = decontaminate.scan(docs, items.limit(0), scratch.keep).first()
+    assert (clean.n_words, clean.n_hit, clean["items"]) == (20, 0, [])
+    assert decontaminate.scan(docs.limit(0), items, scratch.keep).count() == 0
+    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    assert decontaminate.scan(docs, items, scratch.keep).first().n_hit == 20
+
+
+def test_contamination_rule(spark, folder):
+    out = registry.op3_decontamination(spark, folder)
+    assert out.filter("contaminated <> (n_hit > 0 AND 20 * n_hit >= n_words)").isEmpty()
+    assert out.filter("contaminated").count() > 0

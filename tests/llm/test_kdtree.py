@@ -1,0 +1,62 @@
+from __future__ import annotations
+
+import math
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from llm_fixtures import rows  # noqa: F401
+from ledgerloom.llm import kdtree
+
+
+def brute(vectors, k, scale):
+    points = [
+        (n, i, [math.floor(scale * float(x)) for x in v])
+        for n, (i, v) in enumerate(vectors)
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    out = []
+    for n, i, q in points:
+        if i % 2 == 0:
+            near = sorted((-sum(map(lambda a, b: a * b, q, v)), j) for m, j, v in points if m != n)
+            out += [(i, rank, j, -s) for rank, (s, j) in enumerate(near[:k], 1)]
+    return sorted(out)
+
+
+def test_brute_force(spark, scratch, monkeypatch):
+    rng = np.random.default_rng(3)
+    vectors = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(240)]
+    vectors += [(1000 + i, [0.5] * 6) for i in range(80)]  # ties
+    vectors += [
+        (4, [0.1] * 6), (4, [0.1] * 6), (None, [1.0] * 6), (5000, None), (5002, [None] * 6),
+        (5004, [float("nan")] * 6), (5006, [float("inf")] * 6), (5008, [1.0, 2.0]), (5010, []),
+    ]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+    df = df.withColumn("score", F.lit(1)).withColumn("shard", F.lit("x")).withColumn("row", F.lit(0))
+    vectors = [(r.vec_id, r.embedding) for r in df.collect()]
+    monkeypatch.setattr(kdtree, "LEAF_ROWS", 8)
+    for shard, block in ((8192, 1024), (60, 30)):
+        monkeypatch.setattr(kdtree, "SHARD_ROWS", shard)
+        monkeypatch.setattr(kdtree, "QUERY_BLOCK", block)
+        out = kdtree.top_k(df, F.col("vec_id") % 2 == 0, scratch.keep, k=7, scale=64)
+        assert rows(out) == brute(vectors, 7, 64)
+
+
+def test_few_or_no_rows(spark, scratch):
+    df = spark.createDataFrame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>")
+    query = F.col("vec_id") == 0
+    assert rows(kdtree.top_k(df, query, scratch.keep, 20, 64)) == [(0, 1, 1, 64 * 128)]
+    assert rows(kdtree.top_k(df.limit(0), query, scratch.keep, 20, 64)) == []
+
+
+def test_large_components_stay_exact():
+    rng = np.random.default_rng(4)
+    points = rng.integers(-(2**28), 2**28, (300, 8))
+    tree = kdtree.build(np.arange(300), np.arange(300), points)
+    query = points[7]
+    bounds = np.maximum(query, 0) @ tree.high.T + np.minimum(query, 0) @ tree.low.T
+    best = kdtree.Best(5, -np.inf, kdtree._NO_ID)
+    kdtree.search(tree, query, 7, bounds, best)
+    scores = points @ query
+    want = sorted((-int(s), i) for i, s in enumerate(scores) if i != 7)[:5]
+    assert [int(i) for i in best.ids] == [i for _, i in want]

@@ -1,0 +1,94 @@
+from __future__ import annotations
+
+import re
+
+from llm_fixtures import folder, rows  # noqa: F401
+from ledgerloom.llm import registry, url_templates
+from ledgerloom.llm.common import table
+
+
+def parsed(url):
+    if url is None or "://" not in url:
+        return "", ""
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host) :])[0]
+    return re.sub("[A-Z]", lambda m: m[0].lower(), host), path
+
+
+def ruled(host, path, rules):
+    fits = [
+        r for r in rules
+        if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)
+    ]
+    return max(fits, key=lambda r: len(r.name), default=None)
+
+
+URLS = [
+    "http://WWW.Example.org/es/1", "https://example.org/en/12?x#y", "http://badorg/x", "org/x",
+    "http://a.com/fr/", "http://a.com/de/2", "http://a.com/de", "http://org", "http://org/",
+    None, "", "://", "x://É.org/ü/1", "http://a.net?q=/fr/", "http://a.net#/x", "a://b://c.org/es/",
+    "http://xexample.org/es/1", "http://user@a.com:80/de/1", "http://a.com/\nde/1",
+    "http://deep.net/1/2/3/4/5/6/7/8",
+]
+
+
+def test_parsing_and_rules(spark, scratch):
+    pages = spark.createDataFrame(
+        [(i, u, "h", "v") for i, u in enumerate(URLS + URLS[:3])] + [(None, None, "h", "v")],
+        "page_id long, url string, html string, verdict string",
+    )
+    out = url_templates.url_verdicts(pages, registry.URL_RULES, scratch.keep).collect()
+    assert len(out) == len(URLS) + 4
+    for r in out:
+        url = None if r.page_id is None else (URLS + URLS[:3])[r.page_id]
+        assert (r.host, r.path) == parsed(url)
+        rule = ruled(r.host, r.path, registry.URL_RULES)
+        assert r.rule == (rule.name if rule else None)
+        if rule:
+            assert r.verdict == rule.verdict
+        assert r.verdict in ("allow", "block")
+
+
+def test_templates_generalise_merge_and_reject(spark, scratch):
+    rules = [url_templates.Rule("x.net", f"/bad/a{i}/", "block") for i in range(30)]
+    rules += [url_templates.Rule("x.net", f"/good/{i}", "allow") for i in range(9)]
+    urls = [f"http://x.net/bad/a{i}/{i}" for i in range(30)]
+    urls += [f"http://x.net/good/{i}" for i in range(40)]
+    urls += ["http://x.net/bad/unseen/77", "http://x.net/other/1"]
+    # Words that vary under one node become a wildcard.
+    urls += [f"http://y.net/tag/{a}{b}/z" for a in "abcdefgh" for b in "ijklm"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    out = {
+        urls[r.page_id]: r
+        for r in url_templates.url_verdicts(pages, rules, scratch.keep).collect()
+    }
+    assert out["http://y.net/tag/ai/z"].template == "/tag/*/z"
+    assert out["http://x.net/good/30"].verdict == "allow"
+    assert out["http://x.net/other/1"].verdict == "allow"
+    assert out["http://x.net/bad/a3/3"].template == "/bad/a{n}/{n}"
+    assert out["http://x.net/bad/a3/3"].purity > url_templates.REJECT_AT
+
+
+def test_alike_siblings_merge(spark, scratch):
+    rules = [url_templates.Rule("x.net", p, v) for p, v in (
+        ("/a/1", "block"), ("/b/1", "block"), ("/a/2", "allow"), ("/b/2", "allow"))]
+    urls = [f"http://x.net/{s}/{n}" for s in "ab" for n in (1, 2, 3)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    out = url_templates.url_verdicts(pages, rules, scratch.keep)
+    assert {r.template for r in out.collect()} == {"/*/{n}"}
+
+
+def test_given_pages(spark, folder):
+    out = registry.op7_url_templates(spark, folder)
+    want = []
+    for page_id, url in table(spark, folder, "pages").select("page_id", "url").collect():
+        host, path = parsed(url)
+        rule = ruled(host, path, registry.URL_RULES)
+        want.append((page_id, host, path, rule.name if rule else None))
+    assert rows(out, "page_id", "host", "path", "rule") == sorted(want)
+
+
+def test_no_pages(spark, scratch):
+    none = spark.createDataFrame([], "page_id long, url string")
+    assert url_templates.url_verdicts(none, registry.URL_RULES, scratch.keep).count() == 0
