@@ -7,6 +7,7 @@ from ledgerloom.functions.text import (
     is_sellable,
     normal_code,
     surrogate_key,
+    real_number,
     whole_number,
 )
 
@@ -21,5 +22,6 @@ __all__ = [
     "segment_movement",
     "segment_transition",
     "surrogate_key",
+    "real_number",
     "whole_number",
 ]

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.money import exact_part, other_part, total
 from ledgerloom.operators.first import with_values
 
-SPEND = "decimal(18,4)"
-
 
 def to_date_by_month(lines: DataFrame) -> DataFrame:
     """Each customer's history up to each month, from ``lines`` with an ``order_month``.
@@ -24,6 +23,7 @@ def to_date_by_month(lines: DataFrame) -> DataFrame:
     """
     lines = with_values(lines, "customer_id", "order_month")
 
+    spent = F.when(F.col("total_price") > 0, F.col("total_price"))
     by_invoice, by_month = ["customer_id", "invoice_no"], ["customer_id", "order_month"]
     grouped = lines.groupingSets(
         [[F.col(c) for c in by_invoice], [F.col(c) for c in by_month]],
@@ -34,14 +34,15 @@ def to_date_by_month(lines: DataFrame) -> DataFrame:
         F.grouping("invoice_no").alias("is_month"),
         F.min(lines["order_month"]).alias("first_month"),
         F.max("date_id").alias("last_order"),
-        # Decimal, so that the sum does not depend on the order of addition.
-        F.sum(F.when(F.col("total_price") > 0, F.col("total_price").cast(SPEND))).alias("spend"),
+        F.sum(exact_part(spent)).alias("spend"),
+        F.sum(other_part(spent)).alias("other_spend"),
     )
     is_month = F.col("is_month") == 1
+    monthly = {c: F.sum(F.when(is_month, F.col(c))).alias(c) for c in ("spend", "other_spend")}
     per_month = grouped.groupBy("customer_id", F.col("first_month").alias("order_month")).agg(
         F.max(F.when(is_month, F.col("last_order"))).alias("last_order"),
         F.count(F.when(~is_month, F.col("invoice_no"))).alias("new_orders"),
-        F.sum(F.when(is_month, F.col("spend"))).alias("spend"),
+        *monthly.values(),
     )
 
     by_customer = Window.partitionBy("customer_id").orderBy("order_month")
@@ -52,7 +53,7 @@ def to_date_by_month(lines: DataFrame) -> DataFrame:
         F.lead("order_month").over(by_customer).alias("next_month"),
         F.max("last_order").over(so_far).alias("most_recent_order"),
         F.sum("new_orders").over(so_far).alias("number_of_orders"),
-        F.sum("spend").over(so_far).cast("double").alias("total_spent"),
+        total(F.sum("spend").over(so_far), F.sum("other_spend").over(so_far)).alias("total_spent"),
     )
 
     months = lines.agg(F.sort_array(F.collect_set("order_month"))).scalar()

@@ -17,9 +17,14 @@ def absent_rows(
 
     ``order`` picks the row where the batch repeats a key; leave it out for a batch that
     is unique already. Both sides are then unique on ``key``, so no join key is hot.
+
+    The target's keys first meet the batch's keys: when the batch is small, Spark sends it
+    to the target's scan and only keys found in it are shuffled, so the cost of a load
+    follows the batch and not the store.
     """
     rows = first_per_key(batch, key, order) if order else batch
-    return rows.join(target.select(*key), list(key), "left_anti").select(*batch.columns)
+    known = target.select(*key).join(batch.select(*key), list(key), "left_semi")
+    return rows.join(known, list(key), "left_anti").select(*batch.columns)
 
 
 def insert_if_absent(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import date_key, is_sellable, normal_code, surrogate_key
+from ledgerloom.functions.money import money_sum
 from ledgerloom.operators import calendar, date_spine, first_per_key, with_values
 
 # The calendar of the original data set, end excluded.
@@ -38,6 +39,16 @@ def dim_date(
     return calendar(date_spine(spark, start, end))
 
 
+def calendar_sales(dates: DataFrame, fact: DataFrame) -> DataFrame:
+    """Every calendar day with its attributes, sales lines and revenue."""
+    by_day = fact.groupBy("date_id").agg(
+        F.count("*").alias("lines"), money_sum(F.col("total_price")).alias("revenue")
+    )
+    return dates.join(by_day, "date_id", "left").select(
+        *dates.columns, F.coalesce("lines", F.lit(0)).alias("lines"), "revenue"
+    )
+
+
 def fact_sales(silver: DataFrame) -> DataFrame:
     """Sellable lines of known customers; a projection of silver, with no shuffle.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import (
@@ -16,9 +16,6 @@ from ledgerloom.scratch import Scratch
 
 BUCKETS = 5
 
-# Up to this many customers, one task can sort a month; beyond it, months are split.
-ONE_TASK_CUSTOMERS = 2_000_000
-
 # Score column -> the measure it ranks.
 SCORED = {
     "recency_score": "most_recent_order",
@@ -93,43 +90,56 @@ def rfm_base(fact: DataFrame, dates: DataFrame) -> DataFrame:
     return to_date_by_month(order_months(fact, dates))
 
 
-def score_in_tasks(base: DataFrame) -> DataFrame:
-    """Scores by NTILE windows: each month is sorted within one task."""
-
-    def bucket(measure: str):
-        order = [F.col(measure).asc_nulls_last(), F.col("customer_id")]
-        return F.ntile(BUCKETS).over(Window.partitionBy("snapshot_month").orderBy(*order))
-
-    return base.select("*", *[bucket(m).alias(score) for score, m in SCORED.items()])
+def _place(value: Column, customer: Column) -> Column:
+    """What a month's customers are ordered by: the value, none last, then the customer."""
+    return F.struct(
+        value.isNull().alias("missing"),
+        F.coalesce(value, F.lit(0.0)).alias("value"),
+        customer.alias("customer_id"),
+    )
 
 
-def score_across_tasks(base: DataFrame, scratch: Scratch) -> DataFrame:
-    """The same scores for months too large for one task: all three measures in one sort.
+def bucket_ends(base: DataFrame, scratch: Scratch) -> DataFrame:
+    """Per month and measure the last place of every bucket but the highest.
 
-    The rows come back together by customer, which is also how month-over-month
-    movement needs them.
+    All three measures of all months are ranked in one range sort, so a month of any size
+    spreads over tasks; what remains is a dozen places per month.
     """
-    key = ["customer_id", "snapshot_month"]
     # Numbered rather than named: the number leads every comparison of the sort.
-    measures = dict(enumerate(SCORED.values()))
+    measures = list(enumerate(SCORED.values()))
     long = base.select(
-        *key, F.posexplode(F.array(*[F.col(m).cast("double") for m in measures.values()]))
-    ).toDF(*key, "measure", "value")
+        "customer_id",
+        "snapshot_month",
+        F.posexplode(F.array(*[F.col(m).cast("double") for _, m in measures])),
+    ).toDF("customer_id", "snapshot_month", "measure", "value")
     placed = ranked(long, ["value", "customer_id"], scratch, within=["measure", "snapshot_month"])
-    scored = placed.withColumn("score", tile(BUCKETS, F.col("rank"), F.col("group_rows")))
+    rank, rows = F.col("rank"), F.col("group_rows")
+    ends = placed.filter(
+        (rank < rows) & (tile(BUCKETS, rank, rows) < tile(BUCKETS, rank + 1, rows))
+    )
+    place = _place(F.col("value"), F.col("customer_id"))
+    return ends.groupBy("snapshot_month").agg(
+        *[
+            F.collect_list(F.when(F.col("measure") == i, place)).alias(f"{m}_ends")
+            for i, m in measures
+        ]
+    )
 
-    def pick(column: str, number: int):
-        return F.max(F.when(F.col("measure") == number, F.col(column)))
 
-    types = {f.name: f.dataType for f in base.schema}
-    return (
-        # At most three rows per month and customer, so no customer is hot here.
-        scored.repartition("customer_id")
-        .groupBy(*key)
-        .agg(
-            *[pick("value", i).cast(types[m]).alias(m) for i, m in measures.items()],
-            *[pick("score", i).alias(score) for i, score in enumerate(SCORED)],
-        )
+def score(base: DataFrame, scratch: Scratch) -> DataFrame:
+    """NTILE scores of each month: one more than the bucket ends before a row's place.
+
+    ``base`` is a stored table: it is read for the ends and again for the scores, which
+    need no more than a join with the ends by month.
+    """
+    ends = scratch.keep(bucket_ends(base, scratch), "bucket_ends")
+
+    def bucket(measure: str) -> Column:
+        place = _place(F.col(measure).cast("double"), F.col("customer_id"))
+        return F.coalesce(F.size(F.filter(f"{measure}_ends", lambda end: end < place)), F.lit(0)) + 1
+
+    return base.join(ends, "snapshot_month", "left").select(
+        *base.columns, *[bucket(m).alias(name) for name, m in SCORED.items()]
     )
 
 
@@ -147,26 +157,17 @@ def label_scores(scored: DataFrame) -> DataFrame:
     )
 
 
-def mart_rfm_snapshot(
-    fact: DataFrame,
-    dates: DataFrame,
-    scratch: Scratch,
-    one_task_customers: int = ONE_TASK_CUSTOMERS,
-) -> DataFrame:
-    """Scores 1-5 and a segment per customer and month; ties go by customer_id.
-
-    A month ranks every customer so far, so the number of customers bounds its rows. It
-    is estimated first, in one pass over one column, to choose between the two ways.
-    """
-    base = rfm_base(fact, dates)
-    peers = fact.agg(F.approx_count_distinct("customer_id")).first()[0]
-    if peers <= one_task_customers:
-        return label_scores(score_in_tasks(base))
-    return label_scores(score_across_tasks(base, scratch))
+def mart_rfm_snapshot(fact: DataFrame, dates: DataFrame, scratch: Scratch) -> DataFrame:
+    """Scores 1-5 and a segment per customer and month; ties go by customer_id."""
+    return label_scores(score(scratch.keep(rfm_base(fact, dates), "rfm_base"), scratch))
 
 
 def mart_rfm_movement(snapshot: DataFrame) -> DataFrame:
-    """Each customer's month against the month before."""
+    """Each customer's month against the month before.
+
+    One range shuffle by customer serves the comparison and the stored order; a customer
+    has one row per month at most.
+    """
     history = Window.partitionBy("customer_id").orderBy("snapshot_month")
     earlier = (
         "recency_score",
@@ -176,7 +177,7 @@ def mart_rfm_movement(snapshot: DataFrame) -> DataFrame:
         "customer_segment",
         "total_spent",
     )
-    paired = snapshot.select(
+    paired = snapshot.repartitionByRange("customer_id").select(
         "*", *[F.lag(c).over(history).alias(f"prev_{c}") for c in earlier]
     )
 

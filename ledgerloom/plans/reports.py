@@ -5,14 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def _money(column: str) -> Column:
-    """A sum that does not depend on the order of addition."""
-    return F.sum(F.col(column).cast("decimal(18,4)"))
+from ledgerloom.functions.money import exact_part, money_sum, other_part, total
 
 
 def _revenue() -> Column:
-    return _money("total_price").cast("double").alias("revenue")
+    return money_sum(F.col("total_price")).alias("revenue")
 
 
 def headline_totals(invoices: DataFrame) -> DataFrame:
@@ -21,11 +18,12 @@ def headline_totals(invoices: DataFrame) -> DataFrame:
     Lines combine per (invoice, customer) first: two distinct counts at once double the
     rows they read.
     """
+    amount = F.col("total_price")
     per_invoice = invoices.groupBy("invoice_no", "customer_id").agg(
-        _money("total_price").alias("spend")
+        F.sum(exact_part(amount)).alias("spend"), F.sum(other_part(amount)).alias("other_spend")
     )
     totals = per_invoice.agg(
-        F.sum("spend").cast("double").alias("revenue"),
+        total(F.sum("spend"), F.sum("other_spend")).alias("revenue"),
         F.countDistinct("invoice_no").alias("orders"),
         F.countDistinct("customer_id").alias("customers"),
     )
@@ -96,6 +94,15 @@ def score_distribution(snapshot: DataFrame, month: str | None = None) -> DataFra
     )
 
 
+def score_headline(snapshot: DataFrame, month: str | None = None) -> DataFrame:
+    """Customers of one month and their average total score."""
+    return (
+        in_month(snapshot, month)
+        .groupBy("snapshot_month")
+        .agg(F.count("*").alias("customers"), F.avg("rfm_total_score").alias("average_score"))
+    )
+
+
 def average_score_by_segment(snapshot: DataFrame) -> DataFrame:
     """Over all months."""
     return snapshot.groupBy("customer_segment").agg(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions import parse_invoice_time, whole_number
+from ledgerloom.functions import parse_invoice_time, real_number, whole_number
 from ledgerloom.operators import first_per_key, with_values
 
 
@@ -17,7 +17,7 @@ def clean(raw: DataFrame) -> DataFrame:
         F.trim("Description").alias("description"),
         whole_number(F.col("Quantity")).alias("quantity"),
         parse_invoice_time(F.col("InvoiceDate")).alias("invoice_date"),
-        F.col("UnitPrice").try_cast("double").alias("unit_price"),
+        real_number(F.col("UnitPrice")).alias("unit_price"),
         F.col("CustomerID").alias("customer_id"),
         F.trim("Country").alias("country"),
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -79,9 +80,8 @@ class Warehouse:
     @cached_property
     def mart_rfm_movement(self) -> DataFrame:
         """Stored in (customer, month) order, so that readers of one customer skip files."""
-        order = ["customer_id", "snapshot_month"]
         df = marts.mart_rfm_movement(self.mart_rfm_snapshot)
-        laid_out = df.repartitionByRange(*order).sortWithinPartitions(*order)
+        laid_out = df.sortWithinPartitions("customer_id", "snapshot_month")
         return self._stored("marts", "mart_rfm_movement", laid_out)
 
     def tables(self) -> dict[str, DataFrame]:
@@ -105,7 +105,8 @@ class Warehouse:
     def check_report(self) -> DataFrame:
         """One row per declared check; months must lie within the calendar."""
         start, end = self.calendar
-        months = (start[:8] + "01", end[:8] + "01")
+        last = datetime.date.fromisoformat(end) - datetime.timedelta(days=1)
+        months = (start[:8] + "01", last.isoformat()[:8] + "01")
         return checks.check_report(
             {
                 "raw_ecommerce": (self.raw, checks.raw_checks()),

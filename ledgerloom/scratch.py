@@ -8,9 +8,11 @@ its measured size is under ``spark.sql.autoBroadcastJoinThreshold``.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -19,7 +21,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="ledgerloom-")
     spark.conf.set("spark.checkpoint.dir", folder)
@@ -32,6 +34,24 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def create_file(spark: SparkSession, path: str, content: str) -> bool:
+    """Write a small file; False when one of that name is there already."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(target.getParent())
+    try:
+        out = system.create(target, False)
+    except Py4JJavaError:
+        if system.exists(target):
+            return False
+        raise
+    try:
+        out.write(bytearray(content, "utf-8"))
+    finally:
+        out.close()
+    return True
+
+
 class Scratch:
     """A fresh subfolder per use; each kept table gets its own path inside it.
 

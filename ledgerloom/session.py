@@ -17,13 +17,12 @@ DEFAULTS = {
 
 # Shuffle pieces of about this size sort in memory; adaptive execution merges small ones.
 BYTES_PER_PIECE = 256 * 1024**2
-LEAST_PIECES, MOST_PIECES = 200, 100_000
+LEAST_PIECES = 200
 
 
 def shuffle_pieces(input_bytes: int) -> int:
     """How many pieces to cut shuffles into for an input of this size."""
-    wanted = -(-input_bytes // BYTES_PER_PIECE)
-    return min(max(wanted, LEAST_PIECES), MOST_PIECES)
+    return max(-(-input_bytes // BYTES_PER_PIECE), LEAST_PIECES)
 
 
 def build_session(

@@ -53,6 +53,8 @@ def sample_raw(spark: SparkSession, folder: str) -> DataFrame:
         .when(key % 103 == 5, "-1")
         .when(key % 107 == 3, "2.5")
         .when(key % 109 == 2, " 7 ")
+        .when(key % 113 == 4, "2.49999999999")
+        .when(key % 113 == 5, "1e2")
         .otherwise(F.col("l_quantity").cast("int").cast("string"))
         .alias("Quantity"),
         F.concat(
@@ -63,6 +65,9 @@ def sample_raw(spark: SparkSession, folder: str) -> DataFrame:
         ).alias("InvoiceDate"),
         F.when(part % 89 == 6, "0")
         .when(part % 83 == 5, "x")
+        .when(part % 83 == 6, "5d")
+        .when(part % 83 == 7, "0.00001")
+        .when(part % 83 == 8, " 1e2 ")
         .when(part % 79 == 4, None)
         .otherwise(price.cast("string"))
         .alias("UnitPrice"),

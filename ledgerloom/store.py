@@ -3,11 +3,17 @@
 A load writes its new rows of each table into a ``run_id=`` folder of its own, checks
 them, and only then adds one line to the commit log. Readers see the folders of
 committed runs, so a load that fails part-way leaves nothing visible, and a rerun of the
-same batch adds no rows. Rows are never rewritten. One load at a time: there is no lock.
+same batch adds no rows. Rows are never rewritten.
+
+The log is a folder with one file per commit, named by its number and created only if no
+such file exists: of two loads at once, one commits and the other starts again on top of it.
+Whether a load is committed is read from the log alone; a load whose commit raised is
+removed only if the log does not name it.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -18,12 +24,15 @@ from ledgerloom.operators import absent_rows, with_row_ids, with_values
 from ledgerloom.plans import normalised
 from ledgerloom.plans.checks import check_report, require, stored_checks
 from ledgerloom.schemas import STORE
-from ledgerloom.scratch import Scratch, delete_folder
+from ledgerloom.scratch import Scratch, create_file, delete_folder
 
 
 # ``last_id`` is the highest line id so far, which the next load continues from.
 COMMIT = "seq long, run_id string, last_id long"
 
+# Loads started again because others committed meanwhile.
+ATTEMPTS = 5
+
 
 class Store:
     def __init__(self, spark: SparkSession, root: str):
@@ -37,11 +46,13 @@ class Store:
         return f"{self.root}/_commits"
 
     def _commits(self) -> list[Row]:
-        """One short line per load ever made, in order."""
+        """One short line per load ever made, in order; a damaged one raises."""
         try:
-            log = self.spark.read.schema(COMMIT).json(self._log)
-        except AnalysisException:  # nothing has been committed yet
-            return []
+            log = self.spark.read.schema(COMMIT).option("mode", "FAILFAST").json(self._log)
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":  # nothing has been committed yet
+                return []
+            raise
         return log.orderBy("seq").collect()
 
     def committed_runs(self) -> list[str]:
@@ -69,21 +80,35 @@ class Store:
 
     def load(self, silver: DataFrame) -> str:
         """Insert what is new in ``silver`` into all four tables, or into none."""
+        source = normalised.silver_columns(silver)
+        for _ in range(ATTEMPTS):
+            run_id = uuid.uuid4().hex
+            try:
+                committed = self._load_once(source, run_id)
+            except Exception:
+                # If the log cannot be read now, nothing is removed.
+                if run_id in self.committed_runs():
+                    return run_id
+                self._remove(run_id)
+                raise
+            if committed:
+                return run_id
+            self._remove(run_id)  # another load came first
+        raise RuntimeError(f"other loads came first {ATTEMPTS} times")
+
+    def _load_once(self, source: DataFrame, run_id: str) -> bool:
         commits = self._commits()
-        runs, run_id = [c.run_id for c in commits], uuid.uuid4().hex
+        runs = [c.run_id for c in commits]
         last_id = commits[-1].last_id if commits else 0
-        try:
-            with Scratch(self.spark) as scratch:
-                source = normalised.silver_columns(silver)
-                self._write_run(source, runs, run_id, last_id, scratch)
-            self._check_run(runs, run_id)
-            newest = self._read("order_items", [run_id]).agg(F.max("id")).first()[0]
-            self._commit(len(runs), run_id, newest or last_id)
-        except Exception:
-            for name in STORE:
-                delete_folder(self.spark, self._folder(name, run_id))
-            raise
-        return run_id
+        with Scratch(self.spark) as scratch:
+            self._write_run(source, runs, run_id, last_id, scratch)
+        self._check_run(runs, run_id)
+        newest = self._read("order_items", [run_id]).agg(F.max("id")).first()[0]
+        return self._commit(len(runs), run_id, newest or last_id)
+
+    def _remove(self, run_id: str) -> None:
+        for name in STORE:
+            delete_folder(self.spark, self._folder(name, run_id))
 
     def _write_run(
         self, source: DataFrame, runs: list[str], run_id: str, last_id: int, scratch: Scratch
@@ -126,9 +151,10 @@ class Store:
             )
         )
 
-    def _commit(self, seq: int, run_id: str, last_id: int) -> None:
-        line = self.spark.createDataFrame([(seq, run_id, last_id)], COMMIT)
-        line.coalesce(1).write.mode("append").json(self._log)
+    def _commit(self, seq: int, run_id: str, last_id: int) -> bool:
+        """Append to the log; False when that number is taken."""
+        line = json.dumps({"seq": seq, "run_id": run_id, "last_id": last_id})
+        return create_file(self.spark, f"{self._log}/{seq:012}.json", line + "\n")
 
 
 def load_store(silver: DataFrame, root: str) -> DataFrame:

@@ -10,6 +10,12 @@ ADMIN = "('B', 'M', 'POST', 'DOT', 'BANK CHARGES')"
 CALENDAR_START, CALENDAR_END = "1995-01-01", "2001-08-02"
 FIRST_LOAD_BEFORE = "1998-01-01"
 
+# Amounts of ordinary size are added exactly, all others as doubles.
+SPENT = (
+    "(CAST(sum(CASE WHEN abs({0}) < 1e12 THEN CAST({0} AS DECIMAL(38,8)) END) AS DOUBLE)"
+    " + coalesce(sum(CASE WHEN abs({0}) >= 1e12 THEN {0} END), 0))"
+)
+
 # Common table expressions in dependency order.
 TABLES = {
     "bronze": """
@@ -29,11 +35,16 @@ TABLES = {
                  WHEN l_orderkey % 103 = 5 THEN '-1'
                  WHEN l_orderkey % 107 = 3 THEN '2.5'
                  WHEN l_orderkey % 109 = 2 THEN ' 7 '
+                 WHEN l_orderkey % 113 = 4 THEN '2.49999999999'
+                 WHEN l_orderkey % 113 = 5 THEN '1e2'
                  ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS Quantity,
             strftime(CASE WHEN l_linenumber = 7 THEN l_shipdate ELSE o_orderdate END,
                      '%-m/%-d/%Y') || ' ' || (9 + l_linenumber % 2) || ':30' AS InvoiceDate,
             CASE WHEN l_partkey % 89 = 6 THEN '0'
                  WHEN l_partkey % 83 = 5 THEN 'x'
+                 WHEN l_partkey % 83 = 6 THEN '5d'
+                 WHEN l_partkey % 83 = 7 THEN '0.00001'
+                 WHEN l_partkey % 83 = 8 THEN ' 1e2 '
                  WHEN l_partkey % 79 = 4 THEN NULL
                  ELSE CAST(CAST(p_retailprice AS DECIMAL(18,2))
                            - CAST(l_discount AS DECIMAL(18,2)) AS VARCHAR) END AS UnitPrice,
@@ -115,9 +126,9 @@ TABLES = {
                count(DISTINCT f.invoice_no) AS number_of_orders
         FROM dated f JOIN months m ON f.order_month <= m.snapshot_month
         WHERE f.customer_id IS NOT NULL GROUP BY ALL""",
-    "monetary": """
+    "monetary": f"""
         SELECT f.customer_id, m.snapshot_month,
-               CAST(sum(CAST(f.total_price AS DECIMAL(18,4))) AS DOUBLE) AS total_spent
+               {SPENT.format("f.total_price")} AS total_spent
         FROM dated f JOIN months m ON f.order_month <= m.snapshot_month
         WHERE f.customer_id IS NOT NULL AND f.total_price > 0 GROUP BY ALL""",
     "rfm_base": """
@@ -201,7 +212,7 @@ TABLES = {
 
 _WITH = "WITH " + ",\n".join(f"{name} AS ({sql})" for name, sql in TABLES.items()) + "\n"
 
-MONEY = "CAST(sum(CAST(total_price AS DECIMAL(18,4))) AS DOUBLE)"
+MONEY = SPENT.format("total_price")
 LATEST = "WHERE snapshot_month = (SELECT max(snapshot_month) FROM rfm_snapshot)"
 BAD_CSV = "(UnitPrice IS NULL OR Quantity = 'abc')"
 
@@ -215,7 +226,9 @@ _QUERIES = {
     "silver_dedup": "SELECT * FROM silver",
     "dim_customers": "SELECT * FROM dim_customers",
     "dim_products": "SELECT * FROM dim_products",
-    "dim_date": "SELECT * FROM dim_date",
+    "dim_date": f"""
+        SELECT d.*, count(f.date_id) AS lines, {MONEY} AS revenue
+        FROM dim_date d LEFT JOIN fact_sales f USING (date_id) GROUP BY ALL""",
     "fact_sales": "SELECT * FROM fact_sales",
     "country_lookup": """
         SELECT customer_id, country, alpha2 AS country_code
@@ -302,6 +315,9 @@ _QUERIES = {
         FROM rfm_snapshot {LATEST} GROUP BY ALL""",
     "report_score_distribution": f"""
         SELECT rfm_total_score, count(*) AS customers FROM rfm_snapshot {LATEST} GROUP BY ALL""",
+    "report_score_headline": f"""
+        SELECT snapshot_month, count(*) AS customers, avg(rfm_total_score) AS average_score
+        FROM rfm_snapshot {LATEST} GROUP BY snapshot_month""",
     "report_average_score": """
         SELECT customer_segment, avg(rfm_total_score) AS average_score FROM rfm_snapshot
         GROUP BY ALL""",

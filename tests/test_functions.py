@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ledgerloom import functions as fn
+from ledgerloom.functions.money import money_sum
 from ledgerloom.functions.text import NULL_KEY_PART
 
 
@@ -22,13 +23,46 @@ def one(spark, column):
     [
         ("7", 7), (" 7 ", 7), ("2.5", 3), ("-2.5", -3), ("1e2", 100), ("-1", -1), ("0", 0),
         ("abc", None), ("", None), (None, None), ("2147483647", 2147483647),
-        ("2147483648", None), ("99999999999", None),
+        ("2147483648", None), ("99999999999", None), ("2.49999999999", 2), ("2.50000000001", 3),
+        ("5d", None), ("nan", None),
     ],
 )
 def test_whole_number(spark, text, number):
     assert one(spark, fn.whole_number(F.lit(text).cast("string"))) == number
 
 
+@pytest.mark.parametrize(
+    "text, number",
+    [
+        ("1.5", 1.5), (" 7 ", 7.0), ("1e2", 100.0), (".5", 0.5), ("5.", 5.0), ("-2E-1", -0.2),
+        ("5d", None), ("5f", None), ("0x1p3", None), ("", None), ("1 2", None), (None, None),
+        ("Infinity", float("inf")), ("-inf", float("-inf")),
+    ],
+)
+def test_real_number(spark, text, number):
+    assert one(spark, fn.real_number(F.lit(text).cast("string"))) == number
+
+
+@pytest.mark.parametrize(
+    "amounts, want",
+    [
+        ([0.1] * 10, 1.0), ([0.00001, 0.00002], 0.00003), ([2e15, 1.0, -2e15], 1.0),
+        ([1e300, 1.0], 1e300), ([None], None), ([None, float("inf")], float("inf")),
+        ([float("inf"), 1.0, float("-inf")], float("nan")), ([1.0, float("nan")], float("nan")),
+    ],
+)
+def test_money_sum_drops_nothing(spark, amounts, want):
+    df = spark.createDataFrame([(a,) for a in amounts], "x double")
+    found = df.agg(money_sum(F.col("x"))).first()[0]
+    assert found == want or (want != want and found != found)
+
+
+def test_money_sum_is_near_a_plain_sum(spark):
+    df = spark.range(5000).select((F.rand(3) * F.pow(F.lit(10.0), F.rand(4) * 14 - 4)).alias("x"))
+    plain, exact = df.agg(F.sum("x"), money_sum(F.col("x"))).first()
+    assert exact == pytest.approx(plain, rel=1e-9)
+
+
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.decimals(-10**6, 10**6, places=3), min_size=1, max_size=20))
 def test_whole_number_rounds_half_away_from_zero(spark, numbers):

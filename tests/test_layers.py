@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -131,12 +132,29 @@ def test_days_off_the_calendar_have_no_month(sales):
     assert marts.rfm_base(fact, dates).filter("customer_id = 'C99'").count() == 0
 
 
-def test_both_ways_of_scoring_agree(sales, scratch):
-    fact, dates = sales
-    one_task = marts.mart_rfm_snapshot(fact, dates, scratch)
-    split = marts.mart_rfm_snapshot(fact, dates, scratch, one_task_customers=0)
-    assert split.schema.simpleString() == one_task.schema.simpleString()
-    assert rows(one_task) == rows(split)
+@pytest.mark.parametrize("customers", [1, 3, 5, 7, 23])
+def test_scores_are_ntiles(spark, scratch, customers):
+    values = [None, 2.0, 2.0, float("nan"), float("inf"), -1.0, 0.5]
+    data = [
+        (f"C{c:02}", dt.date(2011, m, 1), 20110101 + c % 4, c % 3, values[(c + m) % 7])
+        for c in range(customers)
+        for m in (1, 2)
+    ]
+    base = spark.createDataFrame(
+        data,
+        "customer_id string, snapshot_month date, most_recent_order int, "
+        "number_of_orders long, total_spent double",
+    )
+    months = Window.partitionBy("snapshot_month")
+    want = base.select(
+        "customer_id",
+        "snapshot_month",
+        *[
+            F.ntile(5).over(months.orderBy(F.col(m).asc_nulls_last(), "customer_id")).alias(c)
+            for c, m in marts.SCORED.items()
+        ],
+    )
+    assert rows(marts.score(base, scratch), *want.columns) == rows(want)
 
 
 def test_snapshot_is_dense_and_does_not_depend_on_input_order(sales, scratch):

@@ -6,6 +6,7 @@ import os
 import re
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -114,12 +115,33 @@ def test_hot_invoices_are_split_when_loading(spark, hot_silver, scratch):
     assert items.count() == lines.filter("description >= '4'").count()
 
 
-def test_split_scores_with_a_hot_customer(spark, hot_silver, scratch):
+def by_ntile(base):
+    def bucket(measure):
+        order = Window.partitionBy("snapshot_month").orderBy(
+            F.col(measure).asc_nulls_last(), "customer_id"
+        )
+        return F.ntile(marts.BUCKETS).over(order)
+
+    return base.select("*", *[bucket(m).alias(c) for c, m in marts.SCORED.items()])
+
+
+def test_no_month_is_sorted_in_one_task(spark, hot_silver, scratch):
+    base = scratch.keep(marts.rfm_base(gold.fact_sales(hot_silver), gold.dim_date(spark)), "base")
+    assert "Window" not in plan(marts.score(base, scratch))
+
+
+def test_movement_shuffles_once(spark, hot_silver, scratch):
+    snapshot = marts.mart_rfm_snapshot(gold.fact_sales(hot_silver), gold.dim_date(spark), scratch)
+    stored = scratch.keep(snapshot, "snapshot")
+    moved = marts.mart_rfm_movement(stored).sortWithinPartitions("customer_id", "snapshot_month")
+    text = plan(moved)
+    assert text.count("Exchange") == 1 and text.count("Sort [") == 1
+
+
+def test_scores_with_a_hot_customer(spark, hot_silver, scratch):
     fact = scratch.keep(gold.fact_sales(hot_silver), "fact")
-    dates = gold.dim_date(spark)
-    one = marts.mart_rfm_snapshot(fact, dates, scratch)
-    split = marts.mart_rfm_snapshot(fact, dates, scratch, one_task_customers=0)
-    assert rows(split) == rows(one)
+    base = scratch.keep(marts.rfm_base(fact, gold.dim_date(spark)), "base")
+    assert rows(marts.score(base, scratch), *base.columns, *marts.SCORED) == rows(by_ntile(base))
 
 
 def test_stored_columns_and_filters_reach_the_scan(spark, hot_silver):
@@ -156,4 +178,16 @@ def test_a_cluster_must_name_its_shared_folder():
 def test_shuffle_pieces_follow_the_input():
     assert shuffle_pieces(1) == 200
     assert shuffle_pieces(2 * 1024**4) == 8192
-    assert shuffle_pieces(100 * 1024**4) == 100_000
+    assert shuffle_pieces(100 * 1024**4) == 409_600
+
+
+def test_only_keys_of_a_small_batch_leave_the_store(spark, scratch):
+    """The store's keys meet the batch at the scan: no shuffle below that join."""
+    stored = scratch.keep(spark.range(5000).select(F.col("id").alias("k")), "stored")
+    batch = scratch.keep(spark.range(4990, 5010).select(F.col("id").alias("k")), "batch")
+    new = absent_rows(batch, stored, ["k"])
+    assert new.count() == 10
+    below = plan(new)[plan(new).index("LeftAnti") :]
+    assert "BroadcastHashJoin" in below and "LeftSemi" in below
+    stored_scan = below[: below.rindex("LeftSemi")]
+    assert "hashpartitioning" not in stored_scan

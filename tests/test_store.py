@@ -142,3 +142,64 @@ def test_failed_first_load_leaves_an_empty_store(spark, silver_rows, scratch):
     with pytest.raises(ChecksFailed):
         store.load(silver_rows(dict(country="x" * 101)))
     assert rows(store.row_counts()) == [(t, 0) for t in sorted(STORE)]
+
+
+def test_a_commit_that_raises_before_it_is_visible_is_removed(
+    spark, four_lines, scratch, monkeypatch
+):
+    store = Store(spark, scratch.path("store"))
+    store.load(four_lines)
+    before = rows(store.row_counts())
+    monkeypatch.setattr(Store, "_commit", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        store.load(four_lines)
+    monkeypatch.undo()
+    assert rows(store.row_counts()) == before
+    store.load(four_lines)
+
+
+def test_a_commit_that_raises_once_visible_stands(spark, four_lines, scratch, monkeypatch):
+    store = Store(spark, scratch.path("store"))
+    commit = Store._commit
+
+    def lost_answer(self, *line):
+        commit(self, *line)
+        raise ConnectionError
+
+    monkeypatch.setattr(Store, "_commit", lost_answer)
+    run_id = store.load(four_lines)
+    monkeypatch.undo()
+    assert store.committed_runs() == [run_id]
+    assert store.table("order_items").count() == 3
+    store.load(four_lines)
+    assert store.table("order_items").count() == 3
+
+
+def test_of_two_loads_at_once_one_starts_again(
+    spark, four_lines, silver_rows, scratch, monkeypatch
+):
+    first, second = Store(spark, scratch.path("store")), None
+    second = Store(spark, first.root)
+    other = silver_rows(dict(invoice_no="INV009", stock_code="SKU009", customer_id="12345",
+                             country="United Kingdom"))
+    commit = Store._commit
+
+    def overtaken(self, *line):
+        monkeypatch.setattr(Store, "_commit", commit)
+        second.load(other)
+        return commit(self, *line)
+
+    monkeypatch.setattr(Store, "_commit", overtaken)
+    first.load(four_lines)
+    assert len(first.committed_runs()) == 2
+    assert sorted(r.id for r in first.table("order_items").collect()) == [1, 2, 3, 4]
+    assert first.table("customers").count() == 2
+
+
+def test_a_damaged_log_raises(spark, four_lines, scratch):
+    store = Store(spark, scratch.path("store"))
+    store.load(four_lines)
+    with open(f"{store._log}/000000000001.json", "w") as f:
+        f.write('{"seq": 1, "run_')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        store.row_counts()
