@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -29,10 +30,15 @@ class RawLoad:
 
 
 def scan_raw(
-    spark: SparkSession, folder: str, header: bool = True, encoding: str = "UTF-8"
+    spark: SparkSession,
+    folder: str | list[str],
+    header: bool = True,
+    encoding: str = "UTF-8",
 ) -> DataFrame:
-    """Every ``*.csv`` in ``folder`` as text; lines with too few or too many fields
+    """Every ``*.csv`` in ``folder``, or the files named, as text; lines with too few or too many fields
     keep their source text in ``_bad_line``."""
+    if isinstance(folder, str) and csv_files(spark, folder).isEmpty():
+        raise FileNotFoundError(f"no CSV files in {folder}")
     schema = T.StructType([*RAW.fields, T.StructField(BAD_LINE, T.StringType())])
     reader = (
         spark.read.schema(schema)
@@ -45,13 +51,24 @@ def scan_raw(
         .option("columnPruning", "false")
         .option("pathGlobFilter", "*.csv")
     )
+    return reader.csv(folder)
+
+
+FOUND = "path string, size long, modified timestamp"
+
+
+def csv_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, size, modified) of every ``*.csv``; contents are not read."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
     try:
-        df = reader.csv(folder)
+        found = listed.load(folder)
     except AnalysisException as e:
-        raise FileNotFoundError(f"no CSV files in {folder}") from e
-    if not df.inputFiles():
-        raise FileNotFoundError(f"no CSV files in {folder}")
-    return df
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise FileNotFoundError(f"no folder {folder}") from e
+    return found.select(
+        "path", F.col("length").alias("size"), F.col("modificationTime").alias("modified")
+    )
 
 
 def load_raw(
@@ -61,22 +78,70 @@ def load_raw(
     header: bool = True,
     encoding: str = "UTF-8",
 ) -> RawLoad:
-    """Parse the files once into a table at ``target``, split by whether the line was good.
+    """Parse all files once, in place of what ``target`` held, into a table at ``target``, split by whether the line was good.
 
     Good rows and rejects are then separate folders of a columnar table, so counting or
     reading either one does not parse the text again.
     """
-    (
-        scan_raw(spark, folder, header, encoding)
-        .withColumn("rejected", F.col(BAD_LINE).isNotNull())
-        .write.mode("overwrite")
-        .partitionBy("rejected")
-        .parquet(target)
-    )
+    _split(scan_raw(spark, folder, header, encoding)).write.mode("overwrite").partitionBy(
+        "rejected"
+    ).parquet(target)
+    return _stored(spark, [target])
+
+
+def append_raw(
+    spark: SparkSession,
+    folder: str,
+    target: str,
+    header: bool = True,
+    encoding: str = "UTF-8",
+) -> RawLoad:
+    """Parse only files that no earlier load has seen, and add them to ``target``.
+
+    A file is known by path, size and time of change. Each load writes a folder of its own
+    and then the list of its files; readers take the folders that have a list, so a load
+    that fails adds nothing. The names of one load's new files reach the driver, as Spark's
+    reader needs them. A folder without new files adds no load.
+    """
+    loads = f"{target}/loads"
+    known = _lists(spark, target)
+    new = csv_files(spark, folder)
+    if known is not None:
+        new = new.join(known.select("path", "size", "modified"), new.columns, "left_anti")
+    files = new.collect()
+    if files:
+        load = uuid.uuid4().hex
+        parsed = scan_raw(spark, [f.path for f in files], header, encoding)
+        _split(parsed).write.partitionBy("rejected").parquet(f"{loads}/load={load}")
+        listed = spark.createDataFrame(files, FOUND).withColumn("load", F.lit(load))
+        listed.coalesce(1).write.mode("append").parquet(f"{target}/files")
+        known = _lists(spark, target)
+    if known is None:
+        raise FileNotFoundError(f"no CSV files in {folder}")
+    names = [r["load"] for r in known.select("load").distinct().collect()]
+    return _stored(spark, [f"{loads}/load={name}" for name in sorted(names)], loads)
+
+
+def _lists(spark: SparkSession, target: str) -> DataFrame | None:
+    """Files of all finished loads; None before the first."""
+    try:
+        return spark.read.schema(f"{FOUND}, load string").parquet(f"{target}/files")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _split(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("rejected", F.col(BAD_LINE).isNotNull())
+
+
+def _stored(spark: SparkSession, folders: list[str], base: str | None = None) -> RawLoad:
     schema = T.StructType(
         [*RAW.fields, T.StructField(BAD_LINE, T.StringType()), T.StructField("rejected", T.BooleanType())]
     )
-    stored = spark.read.schema(schema).parquet(target)
+    reader = spark.read.schema(schema)
+    stored = (reader.option("basePath", base) if base else reader).parquet(*folders)
     return RawLoad(
         rows=stored.filter(~F.col("rejected")).select(*RAW_COLUMNS),
         rejects=stored.filter("rejected").select(F.col(BAD_LINE).alias("line")),

@@ -76,6 +76,14 @@ class Store:
         runs = self.committed_runs()
         return normalised.row_counts({t: self._read(t, runs) for t in STORE})
 
+    def check_report(self) -> DataFrame:
+        """Keys, required columns, text lengths and foreign keys of the stored tables."""
+        runs = self.committed_runs()
+        tables = {name: self._read(name, runs) for name in STORE}
+        return check_report(
+            {name: (df, stored_checks(STORE[name], tables)) for name, df in tables.items()}
+        )
+
     # ── loading ──────────────────────────────────────────────────────────────
 
     def load(self, silver: DataFrame) -> str:

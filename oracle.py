@@ -424,13 +424,52 @@ _CHECKED = {
 }
 
 
-def _check_report() -> str:
-    def line(table: str, check: str, column: str, violations: str, source: str = "") -> str:
-        return (
-            f"SELECT '{table}' AS table_name, '{check}' AS check_name, "
-            f"'{column}' AS column_name, CAST({violations} AS BIGINT) AS violations {source}"
-        )
+def _line(table: str, check: str, column: str, violations: str, source: str = "") -> str:
+    return (
+        f"SELECT '{table}' AS table_name, '{check}' AS check_name, "
+        f"'{column}' AS column_name, CAST({violations} AS BIGINT) AS violations {source}"
+    )
 
+
+def _report(lines: list[str]) -> str:
+    return "SELECT *, violations = 0 AS passed FROM (" + " UNION ALL ".join(lines) + ")"
+
+
+# Table of the store: (source, key sets, required, longest texts, parents).
+_STORED = {
+    "customers": ("tnf_customers", ("customer_id",), ("customer_id", "country"),
+                  {"customer_id": 20, "country": 100}, {}),
+    "products": ("tnf_products", ("stock_code",), ("stock_code",),
+                 {"stock_code": 20, "description": 255}, {}),
+    "orders": ("tnf_orders", ("invoice_no",), ("invoice_no", "customer_id", "invoice_date"),
+               {"invoice_no": 20, "customer_id": 20}, {"customer_id": "tnf_customers"}),
+    "order_items": ("stored_order_items", ("id", "invoice_no, stock_code"),
+                    ("id", "invoice_no", "stock_code", "quantity"),
+                    {"invoice_no": 20, "stock_code": 20},
+                    {"invoice_no": "tnf_orders", "stock_code": "tnf_products"}),
+}
+
+
+def _store_check_report() -> str:
+    lines = []
+    for table, (source, keys, required, longest, parents) in _STORED.items():
+        for key in keys:
+            dup = f"SELECT 1 FROM {source} GROUP BY {key} HAVING count(*) > 1"
+            lines.append(_line(table, "unique_combination", key, "count(*)", f"FROM ({dup})"))
+        for c in required:
+            bad = f"count(*) FILTER (WHERE {c} IS NULL)"
+            lines.append(_line(table, "not_null", c, bad, f"FROM {source}"))
+        for c, n in longest.items():
+            bad = f"count(*) FILTER (WHERE length({c}) > {n})"
+            lines.append(_line(table, "max_length", c, bad, f"FROM {source}"))
+        for c, parent in parents.items():
+            orphans = f"FROM {source} WHERE {c} NOT IN (SELECT {c} FROM {parent})"
+            lines.append(_line(table, "foreign_key", c, "count(*)", orphans))
+    return _report(lines)
+
+
+def _check_report() -> str:
+    line = _line
     lines = [
         line("raw_ecommerce", check, column, "0")
         for check, column in (
@@ -450,8 +489,9 @@ def _check_report() -> str:
             keys = ", ".join(combination)
             dup = f"SELECT 1 FROM {source} GROUP BY {keys} HAVING count(*) > 1"
             lines.append(line(table, "unique_combination", keys, "count(*)", f"FROM ({dup})"))
-    return "SELECT *, violations = 0 AS passed FROM (" + " UNION ALL ".join(lines) + ")"
+    return _report(lines)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: _WITH + sql for name, sql in (_QUERIES | {"check_report": _check_report()}).items()}
+    reports = {"check_report": _check_report(), "store_check_report": _store_check_report()}
+    return {name: _WITH + sql for name, sql in (_QUERIES | reports).items()}

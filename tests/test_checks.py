@@ -110,6 +110,17 @@ def test_clean_data_passes_every_check(spark, raw):
     checks.require(report)
 
 
+def test_a_failed_layer_stops_what_follows(spark, raw, monkeypatch):
+    warehouse = Warehouse(raw({"CustomerID": "C1"}, {"InvoiceNo": "I2"}), default_countries(spark))
+    failing = checks.dim_customers_checks() + [checks.accepted_values("country", ("Nowhere",))]
+    monkeypatch.setattr(checks, "dim_customers_checks", lambda: failing)
+    with pytest.raises(checks.ChecksFailed, match="dim_customers.country accepted_values"):
+        warehouse.build()
+    assert "fact_sales" in vars(warehouse) and "mart_invoices" not in vars(warehouse)
+    warehouse.build(tolerated=[("dim_customers", "accepted_values")])
+    assert "mart_rfm_movement" in vars(warehouse)
+
+
 def test_tables_are_reachable_by_name(spark, raw, scratch):
     warehouse = Warehouse(raw({}), default_countries(spark), root=scratch.path("tables"))
     warehouse.create_views()

@@ -4,7 +4,7 @@ import pytest
 
 from conftest import rows
 from ledgerloom.schemas import RAW_COLUMNS
-from ledgerloom.sources import default_countries, load_raw, read_countries, scan_raw
+from ledgerloom.sources import append_raw, default_countries, load_raw, read_countries, scan_raw
 
 HEADER = ",".join(RAW_COLUMNS)
 GOOD = "536365,85123A,WHITE HOLDER,6,12/1/2010 8:26,2.55,17850,United Kingdom"
@@ -49,6 +49,36 @@ def test_loading_again_replaces(spark, tmp_path, scratch):
     assert rows(load.counts()) == [(1, 0)]
 
 
+def test_appending_reads_new_files_only(spark, tmp_path, scratch):
+    target, one, two = scratch.path("bronze"), tmp_path / "one", tmp_path / "two"
+    write(one, "a.csv", HEADER, GOOD)
+    assert rows(append_raw(spark, str(one), target).counts()) == [(1, 0)]
+    assert rows(append_raw(spark, str(one), target).counts()) == [(1, 0)]
+    write(one, "b.csv", HEADER, GOOD, "536366,short")
+    assert rows(append_raw(spark, str(one), target).counts()) == [(2, 1)]
+    write(two, "a.csv", HEADER, GOOD)
+    assert rows(append_raw(spark, str(two), target).counts()) == [(3, 1)]
+    # A changed file counts as new.
+    write(two, "a.csv", HEADER, GOOD, GOOD)
+    assert rows(append_raw(spark, str(two), target).counts()) == [(5, 1)]
+
+
+def test_an_unfinished_append_adds_nothing(spark, tmp_path, scratch):
+    target = scratch.path("bronze")
+    write(tmp_path / "in", "a.csv", HEADER, GOOD)
+    append_raw(spark, str(tmp_path / "in"), target)
+    spark.read.parquet(f"{target}/loads").drop("load").write.partitionBy("rejected").parquet(
+        f"{target}/loads/load=unfinished"
+    )
+    assert rows(append_raw(spark, str(tmp_path / "in"), target).counts()) == [(1, 0)]
+
+
+def test_nothing_to_append(spark, tmp_path, scratch):
+    (tmp_path / "in").mkdir()
+    with pytest.raises(FileNotFoundError):
+        append_raw(spark, str(tmp_path / "in"), scratch.path("bronze"))
+
+
 def test_no_files(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         scan_raw(spark, str(tmp_path / "absent"))
