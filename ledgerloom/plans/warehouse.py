@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Iterable
 from functools import cached_property
 
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame
 
 from ledgerloom.plans import checks, gold, marts
 from ledgerloom.plans.silver import silver
-from ledgerloom.scratch import Scratch
+from ledgerloom.scratch import Scratch, delete_folder
 
 LAYERS = {
     "silver": ("silver_ecommerce",),
@@ -23,7 +24,10 @@ class Warehouse:
     """A table is computed and written under ``root`` when first asked for.
 
     Silver has four readers and every mart reads the same fact, so each is stored rather
-    than recomputed. Building again under the same root replaces the tables.
+    than recomputed. Building again under the same root writes new folders beside the old
+    ones: readers keep what they read until ``create_tables`` points the catalog at the new
+    folders, and a build that fails changes nothing for them. Without a root the tables are
+    temporary; as a context manager a warehouse removes those at the end.
     """
 
     def __init__(
@@ -37,12 +41,24 @@ class Warehouse:
         self.spark = raw.sparkSession
         self.raw = raw
         self.countries = countries
+        self.temporary = root is None
         self.root = root or Scratch(self.spark).root
+        self.version = uuid.uuid4().hex
         self.calendar = (calendar_start, calendar_end)
 
+    def __enter__(self) -> Warehouse:
+        return self
+
+    def __exit__(self, *exc: object) -> None:
+        if self.temporary:
+            delete_folder(self.spark, self.root)
+
+    def _path(self, layer: str, name: str) -> str:
+        return f"{self.root}/{layer}/{name}/{self.version}"
+
     def _stored(self, layer: str, name: str, df: DataFrame) -> DataFrame:
-        path = f"{self.root}/{layer}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        path = self._path(layer, name)
+        df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     @cached_property
@@ -93,15 +109,28 @@ class Warehouse:
             df.createOrReplaceTempView(name)
 
     def create_tables(self) -> None:
-        """Register the stored files as ``<layer>.<table>`` in the catalog."""
+        """Register the stored files as ``<layer>.<table>``, or point it at them.
+
+        All tables are built first. A table that Spark itself keeps the files of is left
+        alone: replacing it would delete them.
+        """
+        built = self.tables()
         for layer, names in LAYERS.items():
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
             for name in names:
-                getattr(self, name)
-                self.spark.sql(f"DROP TABLE IF EXISTS {layer}.{name}")
-                self.spark.catalog.createTable(
-                    f"{layer}.{name}", path=f"{self.root}/{layer}/{name}", source="parquet"
-                )
+                self._register(f"{layer}.{name}", built[name], self._path(layer, name))
+
+    def _register(self, table: str, df: DataFrame, path: str) -> None:
+        catalog = self.spark.catalog
+        if catalog.tableExists(table):
+            if catalog.getTable(table).tableType == "MANAGED":
+                raise ValueError(f"{table} is a managed table")
+            if self.spark.table(table).dtypes == df.dtypes:
+                self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+                catalog.refreshTable(table)
+                return
+            self.spark.sql(f"DROP TABLE {table}")  # the entry; its files stay
+        catalog.createTable(table, path=path, source="parquet")
 
     def _checks(self) -> dict[str, list[checks.Check]]:
         """Declared checks by table, in the order of the layers; months must lie within the

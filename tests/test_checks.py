@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -135,8 +136,33 @@ def test_tables_are_reachable_by_name(spark, raw, scratch):
 def test_rebuilding_replaces_tables(spark, raw, scratch):
     root = scratch.path("tables")
     countries = default_countries(spark)
-    assert Warehouse(raw({}, {"StockCode": "B2"}), countries, root).fact_sales.count() == 2
-    assert Warehouse(raw({}), countries, root).fact_sales.count() == 1
+    first = Warehouse(raw({}, {"StockCode": "B2"}), countries, root)
+    first.create_tables()
+    assert spark.table("gold.fact_sales").count() == 2
+    second = Warehouse(raw({}), countries, root)
+    assert second.fact_sales.count() == 1
+    # Readers see the old tables, whole, until the catalog is switched.
+    assert first.fact_sales.count() == spark.table("gold.fact_sales").count() == 2
+    second.create_tables()
+    assert spark.table("gold.fact_sales").count() == 1
+
+
+def test_a_managed_table_is_not_replaced(spark, raw, scratch):
+    spark.sql("CREATE DATABASE IF NOT EXISTS silver")
+    spark.sql("DROP TABLE IF EXISTS silver.silver_ecommerce")
+    spark.range(3).write.saveAsTable("silver.silver_ecommerce")
+    try:
+        with pytest.raises(ValueError, match="managed"):
+            Warehouse(raw({}), default_countries(spark), scratch.path("t")).create_tables()
+        assert spark.table("silver.silver_ecommerce").count() == 3
+    finally:
+        spark.sql("DROP TABLE silver.silver_ecommerce")
+
+
+def test_temporary_tables_are_removed(spark, raw):
+    with Warehouse(raw({}), default_countries(spark)) as warehouse:
+        assert warehouse.fact_sales.count() == 1
+    assert not os.path.exists(warehouse.root)
 
 
 def test_movement_is_stored_in_customer_order(spark, raw, scratch):
