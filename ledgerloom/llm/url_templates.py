@@ -2,9 +2,12 @@
 
 The tree is learned from the urls the rules already judge. Per host, path segments that
 vary (numbers, hex ids, and nodes with many rare children) become wildcards; sibling
-branches whose share of blocked urls does not differ significantly are merged; a template
-is rejected when its smoothed share of blocked urls among judged ones is high. Templates
-without judged urls keep the prior and are allowed.
+branches whose share of blocked urls does not differ significantly are merged, and those
+without judged urls join them when all judged ones agree. A template's share of blocked urls
+among judged ones is smoothed towards that of its parent, the parent's towards its own, up
+to the host and the corpus; a template is rejected when the smoothed share is high. So
+templates without judged urls follow their branch and host, and on hosts without any judged
+url they keep the corpus-wide share.
 
 Counting starts from distinct (host, path) pairs, combined before each shuffle, so a hot
 host costs one row per node. A null url, or one without ``://``, has empty host and path,
@@ -24,7 +27,7 @@ DEPTH = 4
 MANY_CHILDREN = 16  # a node with more distinct literal children than this, each seen
 RARE = 8.0  # fewer times than this on average, has a variable child segment
 Z = 1.96  # siblings closer than this to their pooled share are merged
-WEIGHT = 2.0  # pseudo-observations at the corpus-wide share
+WEIGHT = 2.0  # pseudo-observations at the parent's share
 REJECT_AT = 0.8
 
 
@@ -106,6 +109,31 @@ def _with_wildcards(nodes: DataFrame, level: int) -> DataFrame:
     )
 
 
+def _smoothed(found: DataFrame, prior: float) -> DataFrame:
+    """``found`` (host, template, counts) with the purity, backed off node by node."""
+    depth = F.sequence(F.lit(0), F.size("template"))
+    nodes = found.withColumn(
+        "node", F.explode(F.transform(depth, lambda d: F.slice("template", 1, d)))
+    )
+    counts = nodes.groupBy("host", "node").agg(
+        F.sum("good").alias("node_good"), F.sum("bad").alias("node_bad")
+    )
+    # One entry per level: DEPTH + 2 at most.
+    path = F.array_sort(F.collect_list(F.struct(F.size("node"), "node_good", "node_bad")))
+    purity = F.aggregate(
+        "path",
+        F.lit(prior),
+        lambda p, c: (c["node_bad"] + WEIGHT * p) / (c["node_good"] + c["node_bad"] + WEIGHT),
+    )
+    return (
+        nodes.join(counts, ["host", "node"])
+        .groupBy("host", "template", "n", "good", "bad")
+        .agg(path.alias("path"))
+        .withColumn("purity", purity)
+        .drop("path")
+    )
+
+
 def templates(rows: DataFrame, keep) -> tuple[DataFrame, DataFrame]:
     """(host, raw segments -> template) and (host, template -> counts, purity, rejected).
 
@@ -125,40 +153,48 @@ def templates(rows: DataFrame, keep) -> tuple[DataFrame, DataFrame]:
         nodes.groupBy("host", "segs").agg(*[F.sum(c).alias(c) for c in ("n", "good", "bad")]),
         "tree",
     )
-    # Siblings: templates of one host that differ in their first segment only.
-    first = F.get("segs", F.lit(0))
-    rest = F.slice("segs", 2, DEPTH)
-    pooled = tree.groupBy("host", rest.alias("rest")).agg(
-        F.sum("good").alias("all_good"),
-        F.sum("bad").alias("all_bad"),
-        F.count_if(F.col("good") + F.col("bad") > 0).alias("judged"),
-    )
+    # Siblings: templates of one host that differ in their first segment only. The host's
+    # root has none.
+    rest = F.when(F.size("segs") > 0, F.slice("segs", 2, DEPTH))
     seen = F.col("good") + F.col("bad")
+    pooled = (
+        tree.filter(F.size("segs") > 0)
+        .groupBy("host", rest.alias("rest"))
+        .agg(
+            F.sum("good").alias("all_good"),
+            F.sum("bad").alias("all_bad"),
+            F.count_if(seen > 0).alias("judged"),
+        )
+    )
     share = F.try_divide(F.col("all_bad"), F.col("all_good") + F.col("all_bad"))
     spread = F.sqrt(F.try_divide(F.greatest(share * (1 - share), F.lit(1e-9)), seen))
-    # False for a branch without judged urls: it has nothing to compare.
-    alike = (F.col("judged") > 1) & F.coalesce(
-        F.abs(F.try_divide(F.col("bad"), seen) - share) <= Z * spread, F.lit(False)
+    # Null for a branch without judged urls: it has nothing to compare.
+    alike = F.abs(F.try_divide(F.col("bad"), seen) - share) <= Z * spread
+    compared = tree.withColumn("rest", rest).join(pooled, ["host", "rest"], "left")
+    differing = (
+        compared.filter(~alike)
+        .groupBy("host", "rest")
+        .agg(F.lit(True).alias("differ"))
     )
+    joins = F.coalesce(alike, F.col("differ").isNull()) & (F.col("judged") > 1)
     merged = keep(
-        tree.withColumn("rest", rest)
-        .join(pooled, ["host", "rest"])
+        compared.join(differing, ["host", "rest"], "left")
         .withColumn(
             "template",
-            F.when(alike, F.concat(F.array(F.lit("*")), F.col("rest"))).otherwise(F.col("segs")),
+            F.when(joins, F.concat(F.array(F.lit("*")), F.col("rest"))).otherwise(F.col("segs")),
         )
-        .select("host", "segs", "template", "n", "good", "bad", first.alias("branch")),
+        .select("host", "segs", "template", "n", "good", "bad"),
         "merged",
     )
     prior = merged.agg(F.sum("bad") / F.greatest(F.sum("good") + F.sum("bad"), F.lit(1))).first()[0]
-    purity = (F.col("bad") + WEIGHT * F.lit(float(prior or 0.0))) / (
-        F.col("good") + F.col("bad") + WEIGHT
+    found = keep(
+        merged.groupBy("host", "template").agg(
+            *[F.sum(c).alias(c) for c in ("n", "good", "bad")]
+        ),
+        "templates",
     )
-    scored = (
-        merged.groupBy("host", "template")
-        .agg(*[F.sum(c).alias(c) for c in ("n", "good", "bad")])
-        .withColumn("purity", purity)
-        .withColumn("rejected", F.col("purity") >= REJECT_AT)
+    scored = _smoothed(found, float(prior or 0.0)).withColumn(
+        "rejected", F.col("purity") >= REJECT_AT
     )
     mapping = nodes.select("host", "raw", "segs").join(
         merged.select("host", "segs", "template"), ["host", "segs"]

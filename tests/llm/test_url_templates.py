@@ -79,6 +79,38 @@ def test_alike_siblings_merge(spark, scratch):
     assert {r.template for r in out.collect()} == {"/*/{n}"}
 
 
+def test_labels_reach_unjudged_branches(spark, scratch):
+    urls = [f"http://pills.com/de/{i}" for i in range(20)]
+    urls += ["http://pills.com/en/1", "http://pills.com/es/1/2", "http://pills.com/"]
+    urls += [f"http://fair.com/{s}/{i}" for s in ("de", "fr") for i in range(20)]
+    urls += ["http://fair.com/en/1", "http://unknown.net/en/1"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    out = {
+        urls[r.page_id]: r
+        for r in url_templates.url_verdicts(pages, registry.URL_RULES, scratch.keep).collect()
+    }
+    # No rule fits, but all judged urls of the host are blocked.
+    for url in urls[20:23]:
+        assert out[url].rule is None and out[url].verdict == "block"
+    assert out["http://fair.com/en/1"].verdict == "allow"  # judged branches disagree
+    assert out["http://unknown.net/en/1"].verdict == "allow"  # no judged url
+
+
+def test_unjudged_siblings_join_agreeing_ones(spark, scratch):
+    rules = [url_templates.Rule("x.net", f"/{s}/", v) for s, v in (
+        ("a", "block"), ("b", "block"), ("good", "allow"))]
+    urls = [f"http://x.net/{s}/{i}" for s in "ab" for i in range(20)]
+    urls += ["http://x.net/c/1"] + [f"http://x.net/good/{w}/z" for w in ("u", "v")] * 30
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    out = {
+        urls[r.page_id]: r
+        for r in url_templates.url_verdicts(pages, rules, scratch.keep).collect()
+    }
+    joined = out["http://x.net/c/1"]
+    assert (joined.rule, joined.template, joined.verdict) == (None, "/*/{n}", "block")
+    assert out["http://x.net/good/u/z"].template == "/good/u/z"
+
+
 def test_given_pages(spark, folder):
     out = registry.op7_url_templates(spark, folder)
     want = []
