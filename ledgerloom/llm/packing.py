@@ -4,8 +4,8 @@ Documents are tokenised once and written. Token document frequencies over all do
 (one count per vocabulary entry) give the BM25 weights. Each task then reads its rows in
 shards of about ``SHARD_TOKENS`` tokens, builds a BM25 inverted index over the shard's
 pieces and fills windows: a seed, then its best unused neighbours, the last one cut to fit;
-the cut-off rest seeds the next window. A document longer than a window first fills whole
-windows by itself. The window open at the end of a task is cut into powers of two, so
+the cut-off rest seeds the next window, by the ids it holds. A document longer than a window
+first fills whole windows by itself, whether or not another window is open. The window open at the end of a task is cut into powers of two, so
 nothing is padded.
 
 Every id lies in exactly one piece. Null text is an empty document of one closing id.
@@ -180,12 +180,23 @@ class ShardIndex:
         self.post_at = np.concatenate([[0], np.cumsum(np.bincount(token, minlength=terms))])
         self.n = n
 
+    def heavy(self, piece: int, wanted: np.ndarray | None = None) -> np.ndarray:
+        """The piece's heaviest terms, of those wanted."""
+        a, b = self.rows[piece], self.rows[piece + 1]
+        terms, weights = self.row_token[a:b], self.row_weight[a:b]
+        if wanted is not None:
+            held = np.isin(terms, wanted)
+            terms, weights = terms[held], weights[held]
+        if len(terms) > QUERY_TERMS:
+            terms = terms[np.argpartition(weights, -QUERY_TERMS)[-QUERY_TERMS:]]
+        return terms
+
     def neighbours(self, seed: int, unused: np.ndarray, wanted: int) -> np.ndarray:
         """Unused pieces that share a heavy term with the seed, best first."""
-        a, b = self.rows[seed], self.rows[seed + 1]
-        terms = self.row_token[a:b]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argpartition(self.row_weight[a:b], -QUERY_TERMS)[-QUERY_TERMS:]]
+        return self.search(self.heavy(seed), unused, wanted)
+
+    def search(self, terms: np.ndarray, unused: np.ndarray, wanted: int) -> np.ndarray:
+        """Unused pieces that hold one of the terms, best first."""
         scores = np.zeros(self.n)
         for token in terms:
             p, q = self.post_at[token], self.post_at[token + 1]
@@ -230,6 +241,10 @@ class Windows:
             self.open, self.filled = [], 0
         return length - taken
 
+    def whole(self, doc: Doc, start: int) -> None:
+        """A window of one document's ids; the open window stays open."""
+        self._close([(doc, start, self.window)])
+
     def finish(self) -> None:
         """Cut the open window into sequences whose lengths are powers of two."""
         rest, left = self.open, self.filled
@@ -252,36 +267,32 @@ def fill(docs: list[Doc], idf: np.ndarray, mean: float, windows: Windows) -> Non
     """Pack one shard's documents; the last window may stay open."""
     rest: list[tuple[Doc, int, int]] = []  # below a window's length
     for doc in docs:
-        whole = len(doc.ids) if not windows.filled else 0
-        whole -= whole % windows.window
+        whole = len(doc.ids) - len(doc.ids) % windows.window
         for start in range(0, whole, windows.window):
-            windows.add(doc, start, windows.window)
+            windows.whole(doc, start)
         if len(doc.ids) > whole:
             rest.append((doc, whole, len(doc.ids) - whole))
     if not rest:
         return
-    # A piece is found by its first window of ids; only an open window leaves longer ones.
-    heads = [doc.ids[start : start + min(n, windows.window)] for doc, start, n in rest]
-    index = ShardIndex(heads, idf, mean)
+    index = ShardIndex([doc.ids[start : start + n] for doc, start, n in rest], idf, mean)
     unused = np.ones(len(rest), bool)
     # Long pieces seed first: short ones then fill what they leave.
     order = iter(np.argsort([-n for _, _, n in rest], kind="stable").tolist())
-    seed: int | None = None
+    seed: np.ndarray | None = None  # tokens that the open window's neighbours are found by
     queue: list[int] = []
     for _ in range(len(rest)):
         if not queue and seed is not None and windows.filled:
-            queue = index.neighbours(seed, unused, NEIGHBOURS).tolist()
+            queue = index.search(seed, unused, NEIGHBOURS).tolist()
         pick = queue.pop(0) if queue else next(i for i in order if unused[i])
         unused[pick] = False
         doc, start, length = rest[pick]
         if not windows.filled:
-            seed = pick
+            seed = index.heavy(pick)
         left = windows.add(doc, start, length)
-        if left:  # the rest of a cut piece seeds the next window
-            seed, queue = pick, []
-        while left:
-            start, length = start + length - left, left
-            left = windows.add(doc, start, length)
+        if left:  # the rest of a cut piece seeds the next window, by the ids it holds
+            start += length - left
+            seed, queue = index.heavy(pick, np.unique(doc.ids[start : start + left])), []
+            windows.add(doc, start, left)
         if not windows.filled:
             queue = []
 

@@ -109,6 +109,23 @@ def test_neighbours_by_brute_force():
         assert np.allclose([scores[j] for j in got], [s for s in best if s > 0])
 
 
+def test_long_documents_are_found_by_their_remainders():
+    """Also while a window is open, as in every later shard of a task."""
+    long = packing.Doc("long", np.array([1] * 16 + [2] * 4, "<u4"))
+    head = packing.Doc("head", np.array([1, 3, 1], "<u4"))
+    tail = packing.Doc("tail", np.array([2, 4], "<u4"))
+    windows = packing.Windows(8, 0)
+    windows.add(packing.Doc("before", np.array([5] * 7, "<u4")), 0, 7)
+    packing.fill([long, head, tail], np.ones(6, np.float32), 8.0, windows)
+    windows.finish()
+    got = [(d.doc_id, start, n) for d, start, n, _, _ in windows.done]
+    assert got[:2] == [("long", 0, 8), ("long", 8, 8)]
+    # What the open window left of the remainder is joined by the piece like it.
+    assert got[2:] == [
+        ("before", 0, 7), ("long", 16, 1), ("long", 17, 3), ("tail", 0, 2), ("head", 0, 3),
+    ]
+
+
 def test_similar_documents_share_windows(spark, scratch):
     a, b = "apple pear plum cherry grape ", "steel iron copper bronze zinc "
     rows = [(i, (a if i % 2 else b) * 4) for i in range(64)]
