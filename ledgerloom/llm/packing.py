@@ -33,7 +33,8 @@ from ledgerloom.llm.common import text_slices
 
 WINDOW = 4096
 SHARD_TOKENS = 1 << 21
-QUERY_TERMS = 12
+QUERY_TERMS = None  # a seed is searched with all its distinct terms
+COMMON = 4  # a term held by more than 1/COMMON of a shard's pieces has a full row of weights
 NEIGHBOURS = 16  # taken from one search; a window that needs more searches again
 K1, B = 1.2, 0.75
 CACHED_WORDS = 500_000
@@ -171,36 +172,41 @@ class ShardIndex:
         piece, token = np.divmod(keys, terms)
         norm = K1 * (1 - B + B * lengths[piece] / mean)
         weight = idf[token] * tf * (K1 + 1) / (tf + norm)
-        # By piece, for taking a seed's heaviest terms.
+        # By piece, for taking a seed's terms.
         self.rows = np.searchsorted(piece, np.arange(n + 1))
-        self.row_token, self.row_weight = token, weight
+        self.row_token = token
         # By token: the postings.
         order = np.argsort(token, kind="stable")
         self.post_piece, self.post_weight = piece[order], weight[order]
-        self.post_at = np.concatenate([[0], np.cumsum(np.bincount(token, minlength=terms))])
+        found = np.bincount(token, minlength=terms)
+        self.post_at = np.concatenate([[0], np.cumsum(found)])
+        # Most of a seed's postings are those of common terms, which add up faster as rows:
+        # at most COMMON times the postings they stand for.
+        common = np.flatnonzero(found > n / COMMON)
+        self.common_row = np.full(terms, -1)
+        self.common_row[common] = np.arange(len(common))
+        self.common = np.zeros((len(common), n))
+        row = self.common_row[token]
+        self.common[row[row >= 0], piece[row >= 0]] = weight[row >= 0]
         self.n = n
 
-    def heavy(self, piece: int, wanted: np.ndarray | None = None) -> np.ndarray:
-        """The piece's heaviest terms, of those wanted."""
-        a, b = self.rows[piece], self.rows[piece + 1]
-        terms, weights = self.row_token[a:b], self.row_weight[a:b]
-        if wanted is not None:
-            held = np.isin(terms, wanted)
-            terms, weights = terms[held], weights[held]
-        if len(terms) > QUERY_TERMS:
-            terms = terms[np.argpartition(weights, -QUERY_TERMS)[-QUERY_TERMS:]]
-        return terms
+    def terms(self, piece: int) -> np.ndarray:
+        """The piece's distinct tokens."""
+        return self.row_token[self.rows[piece] : self.rows[piece + 1]]
 
     def neighbours(self, seed: int, unused: np.ndarray, wanted: int) -> np.ndarray:
-        """Unused pieces that share a heavy term with the seed, best first."""
-        return self.search(self.heavy(seed), unused, wanted)
+        """Unused pieces that share a term with the seed, best first."""
+        return self.search(self.terms(seed), unused, wanted)
 
     def search(self, terms: np.ndarray, unused: np.ndarray, wanted: int) -> np.ndarray:
-        """Unused pieces that hold one of the terms, best first."""
-        scores = np.zeros(self.n)
-        for token in terms:
-            p, q = self.post_at[token], self.post_at[token + 1]
-            scores[self.post_piece[p:q]] += self.post_weight[p:q]
+        """Unused pieces by their BM25 score for all of the distinct terms, best first."""
+        row = self.common_row[terms]
+        scores = self.common[row[row >= 0]].sum(0)
+        rare = terms[row < 0]
+        start = self.post_at[rare]
+        sizes = self.post_at[rare + 1] - start
+        at = np.arange(sizes.sum()) + np.repeat(start - np.cumsum(sizes) + sizes, sizes)
+        scores += np.bincount(self.post_piece[at], self.post_weight[at], self.n)
         scores *= unused
         if wanted < self.n:
             best = np.argpartition(scores, -wanted)[-wanted:]
@@ -287,11 +293,11 @@ def fill(docs: list[Doc], idf: np.ndarray, mean: float, windows: Windows) -> Non
         unused[pick] = False
         doc, start, length = rest[pick]
         if not windows.filled:
-            seed = index.heavy(pick)
+            seed = index.terms(pick)
         left = windows.add(doc, start, length)
         if left:  # the rest of a cut piece seeds the next window, by the ids it holds
             start += length - left
-            seed, queue = index.heavy(pick, np.unique(doc.ids[start : start + left])), []
+            seed, queue = np.unique(doc.ids[start : start + left]).astype(np.int64), []
             windows.add(doc, start, left)
         if not windows.filled:
             queue = []

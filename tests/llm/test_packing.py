@@ -109,6 +109,34 @@ def test_neighbours_by_brute_force():
         assert np.allclose([scores[j] for j in got], [s for s in best if s > 0])
 
 
+def test_neighbours_score_all_terms():
+    """Against BM25 over every distinct term of the seed, common and rare ones."""
+    rng = np.random.default_rng(11)
+    pieces = [
+        (200 * rng.random(rng.integers(30, 90)) ** 3).astype("<u4") for _ in range(60)
+    ]
+    pieces.append(np.arange(200, 240, dtype="<u4"))
+    pieces.append(np.array([239, 5], "<u4"))  # shares one of many equal terms
+    idf = rng.random(240).astype(np.float32) + 0.1
+    idf[200:239], idf[239] = 2.0, 0.1
+    index = packing.ShardIndex(pieces, idf, 50.0)
+    assert 0 < len(index.common) < 200
+    unused = rng.random(62) < 0.7
+    unused[60:] = False, True
+    for seed in range(61):
+        scores = np.zeros(62)
+        for j, piece in enumerate(pieces):
+            norm = packing.K1 * (1 - packing.B + packing.B * len(piece) / 50.0)
+            for term in set(pieces[seed].tolist()) & set(piece.tolist()):
+                tf = int((piece == term).sum())
+                scores[j] += float(idf[term]) * tf * (packing.K1 + 1) / (tf + norm)
+        scores *= unused
+        got = index.neighbours(seed, unused, 7)
+        best = np.sort(scores)[::-1][:7]
+        assert np.allclose(scores[got], best[best > 0])
+    assert index.neighbours(60, unused, 7).tolist() == [61]
+
+
 def test_long_documents_are_found_by_their_remainders():
     """Also while a window is open, as in every later shard of a task."""
     long = packing.Doc("long", np.array([1] * 16 + [2] * 4, "<u4"))
