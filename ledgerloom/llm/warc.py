@@ -3,7 +3,8 @@
 Every derived record refers to its response by identifier, target and date. The metadata
 record carries all headers of the source record (as ``source-...`` fields, digests among
 them), the HTTP status and type, the page's language and title and its outlinks. The
-conversion record holds the page's text. Blocks get digests of their own.
+conversion record holds the page's text. All HTML5 named and numeric character references in
+text, titles and outlinks are decoded, row by row in Python. Blocks get digests of their own.
 
 Null url: no target header. Null payload: empty text. A response whose HTTP type is not
 ``text/...`` has a metadata record only. Identifiers are computed from the response's, so
@@ -13,17 +14,25 @@ response is handled alone: no row moves.
 
 from __future__ import annotations
 
+import re
+from html import unescape
+from html.entities import html5
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CRLF = "\r\n"
-# Markup that hides text, tags that end a line, and named characters.
+# Markup that hides text and tags that end a line.
 HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script[^>]*>|<style\b.*?</style[^>]*>"
 LINE_TAGS = (
     r"(?i)</?(?:article|aside|blockquote|body|br|div|dd|dl|dt|footer|form|h[1-6]|head|header"
     r"|hr|html|li|main|nav|ol|p|pre|section|table|td|th|title|tr|ul)\b[^>]*>"
 )
 OTHER_TAGS = r"<[^>]*>"
+# NAMED and OUTLINK are for the SQL twin, which knows less than REFERENCE and LINK: these
+# references only, and quoted links.
 NAMED = (
     ("&nbsp;", " "),
     ("&copy;", "©"),
@@ -38,14 +47,42 @@ NAMED = (
 BLANKS = r"[ \t\r\f]+"
 LINE_ENDS = r" ?\n[ \n]*"
 OUTLINK = r"(?i)<a\s[^>]*?href\s*=\s*[\"']([^\"'>]*)[\"']"
+LINK = r"(?i)<a\s[^>]*?href\s*=\s*([\"'][^\"'>]*[\"']|[^\s\"'>]++(?=[\s>]))"
+REFERENCE = re.compile(r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*;?)")
+# In an attribute a name without semicolon counts only before other characters than these.
+IN_LINK = re.compile(
+    r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]*(?:;|(?![A-Za-z0-9=;])))"
+)
 LANGUAGE = r"(?i)<html[^>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)"
 TITLE = r"(?is)<title[^>]*>(.*?)</title"
 
 
-def _decoded(text: Column) -> Column:
-    for name, character in NAMED:
-        text = F.replace(text, F.lit(name), F.lit(character))
-    return text
+def decoded(text: str) -> str:
+    """Named and numeric character references as characters, once; no-break space is blank."""
+    return REFERENCE.sub(lambda m: unescape(m[0]).replace("\xa0", " "), text)
+
+
+def decoded_link(url: str) -> str:
+    def one(m: re.Match) -> str:
+        known = m[0][1] == "#" or m[0][1:] in html5
+        return unescape(m[0]) if known else m[0]
+
+    return IN_LINK.sub(one, url)
+
+
+@F.arrow_udf(T.StringType())
+def _decoded(texts: pa.Array) -> pa.Array:
+    return pa.array(
+        [t and (decoded(t) if "&" in t else t) for t in texts.to_pylist()], pa.string()
+    )
+
+
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _decoded_links(lists: pa.Array) -> pa.Array:
+    return pa.array(
+        [links and [decoded_link(u) for u in links] for links in lists.to_pylist()],
+        pa.list_(pa.string()),
+    )
 
 
 def plain_text(html: Column) -> Column:
@@ -115,9 +152,11 @@ def derivatives(records: DataFrame, keep: list[str]) -> DataFrame:
     kind = F.regexp_extract("http_head", r"(?i)\ncontent-type: *([^\r\n]*)", 1)
     html = F.col("payload")
     title = F.trim(_decoded(F.regexp_replace(F.regexp_extract(html, TITLE, 1), BLANKS, " ")))
-    links = F.transform(
-        F.regexp_extract_all(html, F.lit(OUTLINK), 1), lambda u: _field("outlink", u)
+    found = F.transform(
+        F.regexp_extract_all(html, F.lit(LINK), 1),
+        lambda u: F.regexp_replace(u, "^[\"']|[\"']$", ""),
     )
+    links = F.transform(_decoded_links(found), lambda u: _field("outlink", u))
     source = F.transform(
         "source_headers",
         lambda h: F.concat(F.lit("source-"), F.lower(h["name"]), F.lit(": "), h["value"],

@@ -49,6 +49,22 @@ def test_other_types_have_metadata_only(spark):
     assert [r.warc_type for r in warc.derivatives(image, []).collect()] == ["metadata"]
 
 
+def test_all_references_and_unquoted_links(spark):
+    html = (
+        "<title>Caf&eacute; &#8217;&#x27; &amp;lt;</title><p>&ouml;&rsquo;&ndash;&euro;&#233;&nbsp;"
+        "x &copy; &nosuch; a&b</p><a href=http://c.org/?a=1&amp;b=2>c</a>"
+        "<a class=k href='http://d.org/?x=1&copy=2&#38;y=3'>d</a>"
+        '<a href="/e f" title=t>e</a>'
+    )
+    out = warc.derivatives(records(spark, [(1, "http://a.org/", html)]), ["page_id"]).collect()
+    block = {r.warc_type: r.block for r in out}
+    assert "title: Café ’' &lt;\r\n" in block["metadata"]
+    assert block["conversion"] == "Café ’' &lt;\nö’–€é x © &nosuch; a&b\ncde"
+    assert [x for x in block["metadata"].split("\r\n") if x.startswith("outlink: ")] == [
+        "outlink: http://c.org/?a=1&b=2", "outlink: http://d.org/?x=1&copy=2&y=3", "outlink: /e f",
+    ]
+
+
 def test_nothing(spark):
     assert rows(warc.derivatives(records(spark).limit(0), ["page_id"])) == []
 
