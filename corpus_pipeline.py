@@ -3,8 +3,9 @@
 Each stage takes (spark, docs, folder) and returns a frame that is written as Parquet and
 read again as the next stage's ``docs``. All but the last return the columns of ``docs``.
 
-1. language ID: rows without a recognised language go (``und``); learned from the rows of
-   the input whose ``lang`` is given, outside the held-out fold.
+1. language ID: null texts and texts without a letter go (``und``). Any other text gets the
+   nearest learned language and stays, be it foreign or garbage; learned from the rows of the
+   input whose ``lang`` is given, outside the held-out fold.
 2. n-gram Jaccard join: of each group of near copies (five-word shingles, similarity of 0.8
    or more) one row stays.
 3. benchmark decontamination: contaminated rows go.
