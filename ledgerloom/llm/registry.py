@@ -19,6 +19,7 @@ from ledgerloom.llm import (
     toxicity,
     url_templates,
     warc,
+    whitening,
 )
 from ledgerloom.llm.common import HELD_OUT, fold, held_out, table
 from ledgerloom.scratch import Scratch
@@ -157,6 +158,15 @@ def op8_hilbert_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(
+        table(spark, folder, "embeddings"),
+        F.col("vec_id"),
+        F.col("embedding"),
+        Scratch(spark).keep,
+    ).withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES = {
     "op1_warc_derivatives": op1_warc_derivatives,
     "op2_language_id": op2_language_id,
@@ -168,6 +178,7 @@ QUERIES = {
     "op8_hilbert_sharding": op8_hilbert_sharding,
     "op9_ngram_join": op9_ngram_join,
     "op10_packing": op10_packing,
+    "op12_whitening": op12_whitening,
     "pipeline": corpus_pipeline.run,
 }
 
