@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ledgerloom.llm import (
+    collocations,
     decontaminate,
     jaccard_join,
     kdtree,
@@ -158,6 +159,11 @@ def op8_hilbert_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return collocations.collocations(docs, Scratch(spark).keep)
+
+
 def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whitened(
         table(spark, folder, "embeddings"),
@@ -178,6 +184,7 @@ QUERIES = {
     "op8_hilbert_sharding": op8_hilbert_sharding,
     "op9_ngram_join": op9_ngram_join,
     "op10_packing": op10_packing,
+    "op11_collocations": op11_collocations,
     "op12_whitening": op12_whitening,
     "pipeline": corpus_pipeline.run,
 }
@@ -187,4 +194,7 @@ ORACLE_SQL = {
     "op3_decontamination": sql.DECONTAMINATION,
     "op4_kd_topk": sql.TOP_K,
     "op6_secret_scan": sql.secret_scan(),
+    "op11_collocations": sql.collocations(
+        collocations.LEAST, collocations.LONGEST, collocations.COVER, collocations.TOP
+    ),
 }

@@ -198,3 +198,55 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
   sha256(coalesce(listed, '')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
 FROM docs LEFT JOIN hit USING (rid) LEFT JOIN named USING (rid)"""
+
+
+def collocations(least: int, longest: int, cover: int, top: int) -> str:
+    """By definition: all phrases of all lengths, and every longer candidate looked through."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return rf"""
+WITH pieces AS (
+    SELECT lang, row_number() OVER () AS piece, regexp_extract_all(part, '[^\x20\x09]+') AS w
+    FROM (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), '{upper}', '{upper.lower()}'), '[.,;:!?\x0A-\x0D]'
+        )) AS part
+        FROM documents
+    )
+),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+grams AS (
+    SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase, count(*) AS f
+    FROM starts, (SELECT unnest(range(1, {longest + 1})) AS k) AS sizes
+    WHERE i + k - 1 <= len(w)
+    GROUP BY ALL
+),
+sizes AS (SELECT lang, sum(f) AS n FROM grams WHERE k = 1 GROUP BY lang),
+candidates AS (SELECT * FROM grams WHERE k > 1 AND f >= {least}),
+kept AS (
+    SELECT * FROM candidates c WHERE NOT EXISTS (
+        FROM candidates g WHERE g.lang = c.lang AND g.k > c.k AND 100 * g.f >= {cover} * c.f
+        AND contains(' ' || g.phrase || ' ', ' ' || c.phrase || ' ')
+    )
+),
+cuts AS (
+    SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut
+    FROM kept
+),
+scored AS (
+    SELECT c.lang, c.phrase, c.a, c.cut, x.f AS l, y.f AS r, n,
+        (1000::HUGEINT * c.a * n) // (x.f::HUGEINT * y.f) AS score
+    FROM cuts c
+    JOIN grams x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[:c.cut], ' ')
+    JOIN grams y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.cut + 1 :], ' ')
+    JOIN sizes s ON s.lang = c.lang
+),
+lowest AS (
+    SELECT * FROM scored
+    QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+)
+SELECT lang, row_number() OVER (
+        PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)
+    ) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r,
+    CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM lowest QUALIFY rank <= {top}
+"""
