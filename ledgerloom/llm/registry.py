@@ -17,6 +17,7 @@ from ledgerloom.llm import (
     secrets,
     sharding,
     sql,
+    suffix_tree,
     toxicity,
     url_templates,
     warc,
@@ -173,6 +174,24 @@ def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
     ).withColumn("deviation", F.col("deviation").try_cast("long"))
 
 
+def op13_suffix_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    fold_of_five = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    keep = Scratch(spark).keep
+    model = suffix_tree.fit(docs.filter(fold_of_five != 1), keep)
+    return suffix_tree.score(docs.select("doc_id", "text"), model, ["doc_id"], keep).select(
+        "row.doc_id",
+        F.coalesce(
+            F.crc32(F.col("row.doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False)
+        ).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 QUERIES = {
     "op1_warc_derivatives": op1_warc_derivatives,
     "op2_language_id": op2_language_id,
@@ -186,6 +205,7 @@ QUERIES = {
     "op10_packing": op10_packing,
     "op11_collocations": op11_collocations,
     "op12_whitening": op12_whitening,
+    "op13_suffix_tree_scores": op13_suffix_tree_scores,
     "pipeline": corpus_pipeline.run,
 }
 

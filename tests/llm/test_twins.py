@@ -18,5 +18,5 @@ def test_twin(spark, folder, name):
 
 def test_one_query_per_operator():
     numbers = [int(n.split("_")[0][2:]) for n in registry.QUERIES if n != "pipeline"]
-    assert numbers == [*range(1, 13)] and "pipeline" in registry.QUERIES
+    assert numbers == [*range(1, 14)] and "pipeline" in registry.QUERIES
     assert 4 <= len(corpus_pipeline.STAGES) <= 5
