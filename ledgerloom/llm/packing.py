@@ -29,23 +29,56 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import text_slices
+from ledgerloom.llm.common import blocks, text_slices
 
 WINDOW = 4096
 SHARD_TOKENS = 1 << 21
-QUERY_TERMS = None  # a seed is searched with all its distinct terms
 COMMON = 4  # a term held by more than 1/COMMON of a shard's pieces has a full row of weights
-NEIGHBOURS = 16  # taken from one search; a window that needs more searches again
+NEIGHBOURS = 16  # taken from one search at least; a window that needs more searches again
 K1, B = 1.2, 0.75
-CACHED_WORDS = 500_000
+CACHED_WORDS = 300_000  # of each of two generations
+BLOCK = 1 << 21  # characters encoded at once
 SEQUENCE_BITS = 40  # sequences a task may number
 
+_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # the first n bytes
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_MIX = np.uint64(0xBF58476D1CE4E5B9)
 
-class Encoder:
-    """Token ids of a text, word by word.
+
+class _ByteLetters(dict):
+    """The vocabulary's spelling of a character: one printable letter for each UTF-8 byte.
+
+    Fixed values: bytes that are printable in Latin-1 stand for themselves, the others for
+    the characters from 256 on, in order.
+    """
+
+    def __init__(self):
+        printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        others = iter(range(256, 512))
+        self.bytes = [chr(b) if b in printable else chr(next(others)) for b in range(256)]
+
+    def __missing__(self, code: int) -> str:
+        self[code] = spelt = "".join(self.bytes[b] for b in chr(code).encode())
+        return spelt
+
+
+def _plain(text: str) -> str:
+    """Blanks for line breaks; lower case where that changes no ids."""
+    try:
+        text.encode("latin-1")  # no marks that could join a letter before it is lower-cased
+        text = text.lower()
+    except UnicodeEncodeError:
+        pass
+    return text.replace("\n", " ")
+
+
+class Encoder(dict):
+    """Token ids of texts, word by word; as a dict, those of the words met so far.
 
     The vocabulary's own splitting never joins characters across a blank or line break, so
-    ids of a text are those of its blank-separated words, which repeat and are remembered.
+    ids of a text are those of its blank-separated words. In a block of texts equal words are
+    found in numpy, by their first 16 bytes and length, and looked up once; longer words one
+    by one. Words met again move on when the memory is full, the others are forgotten.
     """
 
     def __init__(self, path: str):
@@ -54,81 +87,131 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
-        self.known: dict[str, bytes] = {"": b""}
+        self.model = self.tokenizer.model
+        self.letters = _ByteLetters()
+        self.earlier: dict[str, bytes] = {}
 
-    def _learn(self, words: list[str]) -> None:
-        """Encode words not met before.
+    def _spelt(self, word: str) -> str | None:
+        """How the model spells a word of letters alone, which is one part to it.
 
-        Closing ASCII punctuation after a letter is a part of its own, and case does not
-        matter, so many new words need no encoding. Words of letters alone are parts of
-        one kind and are encoded together.
+        Only of scripts whose letters all versions of the character tables agree on. A
+        capital sigma is lower-cased by its place in Python, but not by the vocabulary.
         """
-        known, split = self.known, []
-        plain: dict[str, None] = {}
-        other: dict[str, None] = {}
-        for word in words:
-            stem = word.rstrip(string.punctuation)
-            tail = word[len(stem) :]
+        if not word.isalpha():
+            return None
+        if word.isascii():
+            return word.lower()
+        if max(word) > "\u052f" or "\u03a3" in word:
+            return None
+        low = normalize("NFC", word).lower()
+        return low.translate(self.letters) if low.isalpha() else None
+
+    def __missing__(self, word: str) -> bytes:
+        """Words of letters alone go straight to the model, others through normalisation and
+        splitting, too. Closing ASCII punctuation after a letter is a part of its own."""
+        found = self.earlier.get(word)
+        if found is None:
+            spelt = self._spelt(word)
+            stem = word if spelt else word.rstrip(string.punctuation)
+            if spelt:
+                found = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
             # Some letters end in a mark when normalised, which joins the punctuation.
-            if not (tail and normalize("NFC", stem[-1:]).lower().isalpha()):
-                stem, tail = word, ""
-            if stem.isascii():
-                stem = stem.lower()
-            if stem not in known:
-                (plain if stem.isalpha() else other)[stem] = None
-            if tail not in known:
-                other[tail] = None
-            split.append((word, stem, tail))
-        if plain:
-            joined = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
-            numbers = joined.word_ids
-            if numbers[-1] + 1 == len(plain):
-                parts: list[array] = [array("I") for _ in plain]
-                for i, number in zip(joined.ids, numbers):
-                    parts[number].append(i)
-                known.update(zip(plain, map(array.tobytes, parts)))
-            else:  # some letter falls apart when normalised
-                other |= plain
-        for word, e in zip(
-            other, self.tokenizer.encode_batch_fast(list(other), add_special_tokens=False)
-        ):
-            known[word] = array("I", e.ids).tobytes()
-        for word, stem, tail in split:
-            if word != stem:
-                known[word] = known[stem] + known[tail]
-
-    def _words(self, words: list[str]) -> bytes:
-        known = self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            pass
-        if len(known) > CACHED_WORDS:
-            known.clear()
-            known[""] = b""
-        self._learn([w for w in dict.fromkeys(words) if w not in known])
-        return b"".join([known[w] for w in words])
-
-    def ids(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        return b"".join([self._words(s.split(" ")) for s in text_slices(text.replace("\n", " "))])
+            elif stem != word and normalize("NFC", stem[-1:]).lower().isalpha():
+                found = self[stem] + self[word[len(stem) :]]
+            else:
+                e = self.tokenizer.encode(word, add_special_tokens=False)
+                found = array("I", e.ids).tobytes()
+        self[word] = found
+        return found
+
+    def ids(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Unsigned 32-bit ids of all texts in a row, and how many each text has."""
+        out, sizes = [np.zeros(0, "<u4")], np.zeros(len(texts), np.int64)
+        for a, b in blocks([len(t or "") for t in texts], BLOCK):
+            plain = [_plain(t or "") for t in texts[a:b]]
+            # A longer text is a block of its own and goes through in slices.
+            runs = [[s] for s in text_slices(plain[0])] if b - a == 1 else [plain]
+            for run in runs:
+                ids, n = self._block(run)
+                out.append(ids)
+                sizes[a:b] += n
+        return np.concatenate(out), sizes
+
+    def _block(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if len(self) > CACHED_WORDS:
+            self.earlier = dict(self)
+            self.clear()
+        encoded = [t.encode() for t in texts]
+        data = b" ".join(encoded) + b" " * 17  # words are read 16 bytes at a time
+        blank = np.frombuffer(data, np.uint8) == 32
+        edges = np.diff(blank.view(np.int8), prepend=1)
+        starts, ends = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
+        lengths = ends - starts
+        eights = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
+        low = eights[starts] & _BYTES[np.minimum(lengths, 8)]
+        high = eights[starts + 8] & _BYTES[np.clip(lengths - 8, 0, 8)]
+        mark = (low * _ODD ^ (high + lengths.astype(np.uint64))) * _MIX
+        mark ^= mark >> np.uint64(29)
+        _, first, word = np.unique(mark, return_index=True, return_inverse=True)
+        # Equal marks are words only if all they stand for is equal.
+        same = first[word]
+        own = (lengths > 16) | (low != low[same]) | (high != high[same]) | (lengths != lengths[same])
+        alone = np.flatnonzero(own)
+        word[alone] = len(first) + np.arange(len(alone))
+        at = np.concatenate([first, alone])
+        spans = zip(starts[at].tolist(), ends[at].tolist())
+        found = [self[data[i:j].decode()] for i, j in spans]
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), "<u4")
+        each = size[word]
+        before = np.concatenate([[0], np.cumsum(each)])
+        place = np.repeat((np.cumsum(size) - size)[word] - before[:-1], each)
+        ids = flat[place + np.arange(len(place))]
+        text_at = np.cumsum([0] + [len(e) + 1 for e in encoded])
+        return ids, np.diff(before[np.searchsorted(starts, text_at)])
 
 
 def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
-    """(doc_id, ids); ids are little-endian unsigned 32-bit, closed by ``end_id``."""
-    closing = np.array([end_id], "<u4").tobytes()
+    """(doc_id, ids, found): ids are little-endian unsigned 32-bit, closed by ``end_id``.
+
+    Each task adds a row without ids at its end: ``found`` holds how many of its documents
+    hold each token, as 64-bit integers.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer_path)
+        terms = max(encoder.tokenizer.get_vocab_size(), end_id + 1)
+        found = np.zeros(terms, np.int64)
+        kind = None
+        names = ["doc_id", "ids", "found"]
         for batch in batches:
+            kind = batch.schema.field("doc_id").type
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                ids = [encoder.ids(t.as_py() or "") + closing for t in part["text"]]
-                yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], pa.array(ids, pa.binary())], names=["doc_id", "ids"]
-                )
-
-    schema = docs.select("doc_id").schema.add("ids", "binary")
+                ids, sizes = encoder.ids(part["text"].to_pylist())
+                ids = np.insert(ids, np.cumsum(sizes), end_id)
+                ends = np.concatenate([[0], np.cumsum(sizes + 1)])
+                for a, b in blocks((sizes + 1).tolist(), 1 << 22):
+                    own = ids[ends[a] : ends[b]]
+                    held = np.repeat(np.arange(b - a), sizes[a:b] + 1) * terms + own
+                    held.sort()
+                    held = held[np.diff(held, prepend=-1) > 0] % terms
+                    found += np.bincount(held, minlength=terms)
+                    offsets = ((ends[a : b + 1] - ends[a]) * 4).astype(np.int32)
+                    rows = pa.Array.from_buffers(
+                        pa.binary(),
+                        b - a,
+                        [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(own.tobytes())],
+                    )
+                    columns = [part["doc_id"].slice(a, b - a), rows, pa.nulls(b - a, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
+        if kind is not None:
+            counts = pa.array([found.tobytes()], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(1, kind), pa.nulls(1, pa.binary()), counts], names=names
+            )
+
+    schema = docs.select("doc_id").schema.add("ids", "binary").add("found", "binary")
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
@@ -136,25 +219,25 @@ def document_frequencies(tokens: DataFrame) -> tuple[np.ndarray, int, float]:
     """Documents per token id, documents, and mean tokens of a document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(1, np.int64)
+        seen = None
         for batch in batches:
-            for ids in batch["ids"]:
-                found = np.unique(np.frombuffer(ids.as_buffer(), "<u4"))
-                if found[-1] >= len(seen):
-                    seen = np.concatenate([seen, np.zeros(int(found[-1]) + 1, np.int64)])
-                seen[found] += 1
-        at = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_pydict({"token": at, "n": seen[at]})
+            for found in batch["found"]:
+                counts = np.frombuffer(found.as_buffer(), "<i8")
+                seen = counts.copy() if seen is None else seen + counts
+        if seen is not None:
+            at = np.flatnonzero(seen)
+            yield pa.RecordBatch.from_pydict({"token": at, "n": seen[at]})
 
     # One row per vocabulary entry at most.
     rows = (
-        tokens.select("ids")
+        tokens.filter("found IS NOT NULL")
+        .select("found")
         .mapInArrow(run, "token long, n long")
         .groupBy("token")
         .agg(F.sum("n").alias("n"))
         .toPandas()
     )
-    whole = tokens.agg(F.count("*"), F.avg(F.octet_length("ids") / 4)).first()
+    whole = tokens.agg(F.count("ids"), F.avg(F.octet_length("ids") / 4)).first()
     out = np.zeros(int(rows["token"].max()) + 1 if len(rows) else 1, np.int64)
     out[rows["token"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
     return out, whole[0], whole[1] or 1.0
@@ -216,6 +299,51 @@ class ShardIndex:
         return best[np.lexsort((best, -scores[best]))]
 
 
+class Unused:
+    """The pieces of a shard that lie in no window yet.
+
+    The index is built anew whenever half of its pieces are used, and one search returns what
+    the open window has room for, so that short pieces do not make searching quadratic.
+    """
+
+    def __init__(self, pieces: list[np.ndarray], idf: np.ndarray, mean: float):
+        self.pieces, self.idf, self.mean = pieces, idf, mean
+        self.sizes = np.array([len(p) for p in pieces], np.int64)
+        # Long pieces seed first: short ones then fill what they leave.
+        self.order = iter(np.argsort(-self.sizes, kind="stable").tolist())
+        self.left, self.tokens = len(pieces), int(self.sizes.sum())
+        self._index(np.arange(len(pieces)))
+
+    def _index(self, members: np.ndarray) -> None:
+        self.members = members
+        self.unused = np.ones(len(members), bool)
+        self.place = np.full(len(self.pieces), -1)
+        self.place[members] = np.arange(len(members))
+        if len(members):
+            self.index = ShardIndex([self.pieces[m] for m in members], self.idf, self.mean)
+
+    def _is_unused(self, piece: int) -> bool:
+        return self.place[piece] >= 0 and self.unused[self.place[piece]]
+
+    def terms(self, piece: int) -> np.ndarray:
+        return self.index.terms(self.place[piece])
+
+    def take(self, piece: int) -> None:
+        self.unused[self.place[piece]] = False
+        self.left -= 1
+        self.tokens -= int(self.sizes[piece])
+        if self.left and 2 * self.left < len(self.members):
+            self._index(self.members[self.unused])
+
+    def longest(self) -> int:
+        return next(p for p in self.order if self._is_unused(p))
+
+    def search(self, terms: np.ndarray, room: int) -> list[int]:
+        """The terms' best neighbours, about as many as ``room`` tokens hold."""
+        wanted = max(NEIGHBOURS, -(-room * self.left // max(self.tokens, 1)))
+        return self.members[self.index.search(terms, self.unused, wanted)].tolist()
+
+
 class Doc(NamedTuple):
     doc_id: object
     ids: np.ndarray
@@ -278,22 +406,20 @@ def fill(docs: list[Doc], idf: np.ndarray, mean: float, windows: Windows) -> Non
             windows.whole(doc, start)
         if len(doc.ids) > whole:
             rest.append((doc, whole, len(doc.ids) - whole))
-    if not rest:
-        return
-    index = ShardIndex([doc.ids[start : start + n] for doc, start, n in rest], idf, mean)
-    unused = np.ones(len(rest), bool)
-    # Long pieces seed first: short ones then fill what they leave.
-    order = iter(np.argsort([-n for _, _, n in rest], kind="stable").tolist())
+    pieces = [doc.ids[start : start + n] for doc, start, n in rest]
+    heavy = np.array([idf[p].max() > 0 for p in pieces], bool)
+    shard = Unused([p for p, h in zip(pieces, heavy) if h], idf, mean)
+    names = np.flatnonzero(heavy)
     seed: np.ndarray | None = None  # tokens that the open window's neighbours are found by
     queue: list[int] = []
-    for _ in range(len(rest)):
+    while shard.left:
         if not queue and seed is not None and windows.filled:
-            queue = index.search(seed, unused, NEIGHBOURS).tolist()
-        pick = queue.pop(0) if queue else next(i for i in order if unused[i])
-        unused[pick] = False
-        doc, start, length = rest[pick]
+            queue = shard.search(seed, windows.window - windows.filled)[::-1]
+        pick = queue.pop() if queue else shard.longest()
         if not windows.filled:
-            seed = index.terms(pick)
+            seed = shard.terms(pick)
+        shard.take(pick)
+        doc, start, length = rest[names[pick]]
         left = windows.add(doc, start, length)
         if left:  # the rest of a cut piece seeds the next window, by the ids it holds
             start += length - left
@@ -301,6 +427,12 @@ def fill(docs: list[Doc], idf: np.ndarray, mean: float, windows: Windows) -> Non
             windows.add(doc, start, left)
         if not windows.filled:
             queue = []
+    # Nothing is a neighbour of pieces whose tokens all documents hold: they go in order.
+    for i in np.flatnonzero(~heavy).tolist():
+        doc, start, length = rest[i]
+        left = windows.add(doc, start, length)
+        if left:
+            windows.add(doc, start + length - left, left)
 
 
 def pack(
@@ -313,6 +445,7 @@ def pack(
     """
     found, documents, mean = frequencies
     idf = np.log1p((documents - found + 0.5) / (found + 0.5)).astype(np.float32)
+    idf[found >= documents] = 0  # what all documents hold says nothing
     shared = tokens.sparkSession.sparkContext.broadcast(idf)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,7 +486,8 @@ def pack(
     schema = tokens.select("doc_id").schema
     for name in ("start", "length", "doc_tokens", "sequence_id", "offset"):
         schema = schema.add(name, "long")
-    return tokens.select("doc_id", "ids").mapInArrow(run, schema.add("ids", "binary"))
+    rows = tokens.filter("ids IS NOT NULL").select("doc_id", "ids")
+    return rows.mapInArrow(run, schema.add("ids", "binary"))
 
 
 def packed(docs: DataFrame, tokenizer_path: str, end_id: int, keep, window: int = WINDOW):

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -62,7 +63,7 @@ def test_words_encode_like_the_whole_text(tokenizer):
     encoder = packing.Encoder(PATH)
     for _ in range(3000):
         text = "".join(random.choices(odd, k=random.randint(0, 14)))
-        got = np.frombuffer(encoder.ids(text), "<u4").tolist()
+        got = encoder.ids([text])[0].tolist()
         assert got == tokenizer.encode(text, add_special_tokens=False).ids
 
 
@@ -101,7 +102,7 @@ def test_neighbours_by_brute_force():
     for seed in range(50):
         terms = sorted(set(pieces[seed].tolist()), key=lambda t: -weight(t, pieces[seed]))
         scores = [
-            unused[j] * sum(weight(t, p) for t in terms[: packing.QUERY_TERMS])
+            unused[j] * sum(weight(t, p) for t in terms)
             for j, p in enumerate(pieces)
         ]
         got = index.neighbours(seed, unused, 5)
@@ -165,3 +166,76 @@ def test_similar_documents_share_windows(spark, scratch):
 
 def test_no_rows(spark, scratch, no_docs):
     assert packing.packed(no_docs, PATH, registry.END_ID, scratch.keep).count() == 0
+
+
+def test_very_many_short_texts_end_in_seconds():
+    """Linear enough: documents of one to four ids, and as many empty ones."""
+    rng = np.random.default_rng(12)
+    docs = [
+        packing.Doc(i, np.append(rng.integers(3, 4000, rng.integers(0, 4)), 2).astype("<u4"))
+        for i in range(100_000)
+    ]
+    docs += [packing.Doc(i, np.array([2], "<u4")) for i in range(100_000, 200_000)]
+    idf = rng.random(4000).astype(np.float32) + 0.5
+    idf[2] = 0
+    windows = packing.Windows(4096, 0)
+    start = time.process_time()
+    packing.fill(docs, idf, 2.5, windows)
+    windows.finish()
+    assert time.process_time() - start < 60
+    taken = {d.doc_id: n for d, _, n, _, _ in windows.done}
+    assert len(taken) == 200_000
+    assert sum(n for _, _, n, _, _ in windows.done) == sum(len(d.ids) for d in docs)
+
+
+def test_index_of_unused_pieces_is_built_anew():
+    rng = np.random.default_rng(13)
+    pieces = [rng.integers(0, 50, 12).astype("<u4") for _ in range(64)]
+    idf = rng.random(50).astype(np.float32) + 0.1
+    shard = packing.Unused(pieces, idf, 12.0)
+    whole = packing.ShardIndex(pieces, idf, 12.0)
+    unused = np.ones(64, bool)
+    for piece in rng.permutation(64)[:60].tolist():
+        shard.take(piece)
+        unused[piece] = False
+        terms = whole.terms(piece)
+        assert shard.search(terms, 12 * 64) == whole.search(terms, unused, 64).tolist()
+    assert shard.left == 4 and len(shard.members) < 16
+
+
+def test_blocks_of_texts(tokenizer, monkeypatch):
+    """Words up to and beyond 16 bytes, equal marks, nulls and texts longer than a block."""
+    rng = random.Random(14)
+    words = ["a", "a\x00", "\x00", "abcdefgh", "abcdefghi", "sixteen-bytes-ab", "sixteen-bytes-abc",
+             "Grüße", "übergrößenträger", "übergrößenträgers", "ΣΑΣ", "e\u0301", "漢字", "x" * 60, "1,5"]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 30))) for _ in range(60)]
+    texts += [None, "", "  ", "\n", " a  b ", " ".join(rng.choices(words, k=3000))]
+    want = [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    monkeypatch.setattr(packing, "BLOCK", 2000)
+    for mix in (packing._MIX, np.uint64(0)):  # without mixing all words have one mark
+        monkeypatch.setattr(packing, "_MIX", mix)
+        ids, sizes = packing.Encoder(PATH).ids(texts)
+        assert sizes.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [i for w in want for i in w]
+
+
+def test_words_met_again_stay_known(tokenizer, monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_WORDS", 20)
+    encoder = packing.Encoder(PATH)
+    for i in range(40):
+        text = f"Common words, wor{chr(97 + i % 26) * 2}d{'x' * i} été! the Common 1{i}"
+        got = encoder.ids([text])[0].tolist()
+        assert got == tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(encoder) < 60 and "words," in encoder
+
+
+def test_frequencies_of_the_tokenising_pass(spark, scratch, folder):
+    docs = table(spark, folder, "documents")
+    tokens = scratch.keep(packing.tokenise(docs, PATH, registry.END_ID), "tokens")
+    found, documents, mean = packing.document_frequencies(tokens)
+    rows = [np.frombuffer(r.ids, "<u4") for r in tokens.filter("ids IS NOT NULL").collect()]
+    expected = np.zeros(len(found), np.int64)
+    for ids in rows:
+        expected[np.unique(ids)] += 1
+    assert documents == len(rows) == docs.count()
+    assert (found == expected).all() and np.isclose(mean, np.mean([len(i) for i in rows]))
