@@ -6,8 +6,10 @@ are summed by Spark; the log-probability matrix (buckets x languages, bounded by
 gathered from the matrix and summed per text. Long texts are scored in overlapping slices,
 so no n-gram is lost and no block grows with a text.
 
-Null text, or text without a letter, is ``und`` with score 0. With nothing to learn from,
-every text is ``und``. Repeated rows get equal predictions; other columns are not read.
+Null text, or text without a letter, is ``und`` with score 0; signs of numbers (fractions,
+raised digits, Roman numerals) are no letters. With nothing to learn from, every text is
+``und``. Of equally likely languages the first by name is taken. Repeated rows get equal
+predictions; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ SLICE = 1 << 20  # characters scored at once
 UNDETERMINED = "und"
 
 _BLANK = 32
-_A_LETTER = re.compile(r"[^\W\d_]")
+_MAYBE_LETTER = re.compile(r"[^\W\d_]")  # also takes signs of numbers, such as fractions
 
 
 class Model(NamedTuple):
@@ -42,6 +44,10 @@ class Model(NamedTuple):
     log_prior: np.ndarray
 
 
+def has_letter(text: str) -> bool:
+    return any(m.group().isalpha() for m in _MAYBE_LETTER.finditer(text))
+
+
 def letters_table() -> np.ndarray:
     """Lower-case code point of each BMP letter, blank for the rest."""
     out = np.full(1 << 16, _BLANK, np.uint32)
@@ -140,7 +146,7 @@ def score_texts(texts: list[str | None], model: Model, table: np.ndarray):
     """(language, posterior probability) per text."""
     out: list[tuple[str, float]] = [(UNDETERMINED, 0.0)] * len(texts)
     known = len(model.languages)
-    asked = [i for i, t in enumerate(texts) if known and t and _A_LETTER.search(t)]
+    asked = [i for i, t in enumerate(texts) if known and t and has_letter(t)]
     limit = max(1 << 14, min(SLICE, (1 << 22) // max(known, 1)))
     parts = [(i, p) for i in asked for p in slices(texts[i], limit)]
     total = np.tile(model.log_prior, (len(texts), 1))

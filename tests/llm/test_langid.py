@@ -71,3 +71,13 @@ def test_edges(edge_docs, no_docs):
         "und"
     }
     assert langid.predict(no_docs, model, ["doc_id"]).count() == 0
+
+
+def test_signs_of_numbers_are_no_letters():
+    model = langid.Model(["a", "b"], np.zeros((langid.BUCKETS + 1, 2)), np.log([0.5, 0.5]))
+    signs = ["½", "²", "Ⅷ", "①", "½ ² Ⅷ ① 12 _", "٣", "²" * 5000]
+    letters = ["ª", "ß", "漢", "½x", "① é"]
+    for text in signs + letters:
+        assert langid.has_letter(text) == any(c.isalpha() for c in text)
+    found = langid.score_texts(signs + letters, model, langid.letters_table())
+    assert [f[0] for f in found] == ["und"] * len(signs) + ["a"] * len(letters)
