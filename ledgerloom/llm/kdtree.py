@@ -1,10 +1,12 @@
 """Exact top-k by inner product with a KD-tree per shard.
 
-Rows are dealt into shards of about ``SHARD_ROWS`` by hash and queries into blocks of about
-``QUERY_BLOCK``; a task holds one shard and one block. It splits the shard at medians of the
-widest dimension, keeps tight bounding boxes, and walks each query best-first by the
-largest inner product its box allows. A block meets one shard first; the k-th result found
-there goes with the query to all other shards, so most of their boxes are never opened.
+Shards lie in space: median splits of a bounded sample cut it into at most ``MOST_CELLS``
+cells, and a cell that holds more than ``SHARD_ROWS`` rows (it may be one vector, repeated) is
+dealt by hash into pieces. Each shard's tree (median splits of the widest dimension, tight
+bounding boxes) is built once and stored as a row. A query first meets the tree of its own
+cell. The k-th result found there goes with it to those shards only whose cell's box allows
+an inner product as large; each walks its tree best-first by the boxes' bounds. Many queries
+of one tree come in blocks of about ``QUERY_BLOCK``.
 
 Components are ``floor(scale * x)``; scores are exact integers. A query's own row is no
 candidate, other rows with its id are. Vectors that are null or hold a null or non-finite
@@ -16,15 +18,20 @@ read.
 from __future__ import annotations
 
 import heapq
+import io
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SHARD_ROWS = 8192
-QUERY_BLOCK = 1024
+SHARD_ROWS = 4096
+MOST_CELLS = 2048  # boxes of all cells travel to every task
+SAMPLE_PER_CELL = 16
+QUERY_BLOCK = 4096
 LEAF_ROWS = 128
 _FOUND = "query_row long, query_id long, vec_id long, score long"
 _NO_ID = np.iinfo(np.int64).max
@@ -110,33 +117,94 @@ def search(tree: Tree, query: np.ndarray, row: int, bounds: np.ndarray, best: Be
         best.add((tree.points[a:b] @ query)[other], tree.ids[a:b][other])
 
 
-def _matrix(vectors: pd.Series, width: int, kind: type) -> np.ndarray:
+def _matrix(vectors: pd.Series | list, width: int, kind: type) -> np.ndarray:
     out = np.zeros((len(vectors), width), kind)
     for i, v in enumerate(vectors):
         out[i, : len(v)] = v
     return out
 
 
-def _search_block(k: int):
-    def run(shard: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
+def packed(tree: Tree) -> bytes:
+    children = np.array([c or (-1, -1) for c in tree.children], np.int64)
+    out = io.BytesIO()
+    np.savez(out, *tree[:5], np.array(tree.span), children, np.array(tree.least_id))
+    return out.getvalue()
+
+
+def unpacked(data: bytes) -> Tree:
+    held = np.load(io.BytesIO(data))
+    rows, ids, points, low, high, span, children, least = (held[f"arr_{i}"] for i in range(8))
+    pairs = [tuple(c) if c[0] >= 0 else None for c in children.tolist()]
+    return Tree(rows, ids, points, low, high, [tuple(x) for x in span.tolist()], pairs, least.tolist())
+
+
+class Splits(NamedTuple):
+    """A tree of median splits: dimension and value of each, and where both sides lead."""
+
+    dimension: np.ndarray
+    value: np.ndarray
+    sides: np.ndarray  # a node, or -1 - cell
+
+    def cells(self, points: np.ndarray) -> np.ndarray:
+        at = np.zeros(len(points), np.int64)
+        if not len(self.dimension):
+            return at
+        while (inner := np.flatnonzero(at >= 0)).size:
+            node = at[inner]
+            right = points[inner, self.dimension[node]] > self.value[node]
+            at[inner] = self.sides[node, right.astype(int)]
+        return -1 - at
+
+
+def splits_of(sample: np.ndarray, wanted: int) -> Splits:
+    """About ``wanted`` cells of equal shares of the sample, cut where it is widest."""
+    dimension, value, sides = [], [], []
+    cells = 0
+    waiting = [(sample, wanted, -1, 0)] if wanted > 1 and len(sample) else []
+    while waiting:
+        part, share, parent, side = waiting.pop()
+        spread = part.max(0) - part.min(0) if len(part) else np.zeros(1)
+        if share > 1 and spread.max() > 0:
+            node, widest = len(dimension), int(spread.argmax())
+            middle = float(np.median(part[:, widest]))
+            if middle >= part[:, widest].max():  # the median is the largest: cut below it
+                middle = float(part[part[:, widest] < middle][:, widest].max())
+            dimension.append(widest)
+            value.append(middle)
+            sides.append([0, 0])
+            right = part[:, widest] > middle
+            waiting += [(part[~right], share // 2, node, 0), (part[right], share - share // 2, node, 1)]
+            place = node
+        else:
+            place, cells = -1 - cells, cells + 1
+        if parent >= 0:
+            sides[parent][side] = place
+    return Splits(np.array(dimension, np.int64), np.array(value), np.array(sides).reshape(-1, 2))
+
+
+def _exact(points: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As doubles where their inner products are exact, and then much faster."""
+    largest = max(int(abs(points).max(initial=0)), 1) * max(int(abs(queries).max(initial=0)), 1)
+    if largest * max(points.shape[1], 1) < 1 << 53:
+        return points.astype(float), queries.astype(float)
+    return points, queries
+
+
+def _search_block(k: int, width: int):
+    def run(trees: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         out: dict[str, list] = {c.split()[0]: [] for c in _FOUND.split(", ")}
-        if len(shard) and len(block):
-            width = int(max(shard["vector"].map(len).max(), block["query"].map(len).max()))
-            points, queries = (
-                _matrix(x, width, np.int64) for x in (shard["vector"], block["query"])
-            )
-            largest = max(int(abs(points).max(initial=0)), 1)
-            largest *= max(int(abs(queries).max(initial=0)), 1)
-            if largest * max(width, 1) < 1 << 53:  # then exact, and much faster
-                points, queries = points.astype(float), queries.astype(float)
-            tree = build(shard["row"].to_numpy(), shard["vec_id"].to_numpy(), points)
-            bounds = np.maximum(queries, 0) @ tree.high.T + np.minimum(queries, 0) @ tree.low.T
-            for i, q in enumerate(block.itertuples(index=False)):
+        if len(trees) and len(asked):
+            tree = unpacked(trees["tree"].iloc[0])
+            points, queries = _exact(tree.points, _matrix(asked["query"], width, np.int64))
+            tree = tree._replace(points=points)
+            low, high = tree.low.astype(points.dtype), tree.high.astype(points.dtype)
+            for i, q in enumerate(asked.itertuples(index=False)):
                 known = not pd.isna(q.kth_score)
                 best = Best(
                     k, q.kth_score if known else -np.inf, int(q.kth_id) if known else _NO_ID
                 )
-                search(tree, queries[i], q.query_row, bounds[i], best)
+                bounds = high @ np.maximum(queries[i], 0) + low @ np.minimum(queries[i], 0)
+                search(tree, queries[i], q.query_row, bounds, best)
                 out["query_row"] += [q.query_row] * len(best.ids)
                 out["query_id"] += [q.query_id] * len(best.ids)
                 out["vec_id"] += best.ids.tolist()
@@ -146,17 +214,83 @@ def _search_block(k: int):
     return run
 
 
-def _pairs(
-    rows: DataFrame, queries: DataFrame, shards_of: Column, blocks_of: Column, k: int
-) -> DataFrame:
-    data = rows.withColumn("block", F.explode(blocks_of))
-    asked = queries.withColumn("shard", F.explode(shards_of))
-    return (
-        data.select("shard", "block", "row", "vec_id", "vector")
-        .groupBy("shard", "block")
-        .cogroup(asked.groupBy("shard", "block"))
-        .applyInPandas(_search_block(k), _FOUND)
+_SHARD = ["cell", "piece"]
+
+
+def _searched(trees: DataFrame, asked: DataFrame, k: int, width: int, keep, name: str) -> DataFrame:
+    """Each query against the trees it is sent to; a tree moves once per block of queries."""
+    asked = keep(asked, f"{name}_asked")
+    block = F.ceil(F.col("count") / QUERY_BLOCK).cast("long")
+    blocks = keep(asked.groupBy(*_SHARD).count().withColumn("blocks", block).drop("count"), name)
+    asked = asked.join(blocks, _SHARD).withColumn(
+        "block", F.pmod(F.xxhash64("query_row"), F.col("blocks"))
     )
+    moved = trees.join(blocks, _SHARD).withColumn(
+        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    )
+    by = [*_SHARD, "block"]
+    found = moved.select(*by, "tree").groupBy(*by).cogroup(asked.drop("blocks").groupBy(*by))
+    return keep(found.applyInPandas(_search_block(k, width), _FOUND), f"{name}_found")
+
+
+def _placed(rows: DataFrame, splits: Splits, width: int) -> DataFrame:
+    """``rows`` with the cell each vector lies in."""
+    shared = rows.sparkSession.sparkContext.broadcast(tuple(splits))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        splits = Splits(*shared.value)
+        for batch in batches:
+            points = _matrix(batch["vector"].to_pylist(), width, np.int64)
+            yield batch.append_column("cell", pa.array(splits.cells(points), pa.int64()))
+
+    return rows.mapInArrow(run, rows.select("*").schema.add("cell", "long"))
+
+
+def _tree_rows(width: int):
+    def run(shard: pd.DataFrame) -> pd.DataFrame:
+        points = _matrix(shard["vector"], width, np.int64)
+        tree = build(shard["row"].to_numpy(), shard["vec_id"].to_numpy(), points)
+        return pd.DataFrame(
+            {
+                "cell": [shard["cell"].iloc[0]],
+                "piece": [shard["piece"].iloc[0]],
+                "low": [tree.low[0].tolist()],
+                "high": [tree.high[0].tolist()],
+                "tree": [packed(tree)],
+            }
+        )
+
+    return run
+
+
+def _reached(asked: DataFrame, boxes: list, width: int) -> DataFrame:
+    """(query_row, cell, ...) for each cell whose box may hold a result, by the k-th score."""
+    cells = np.array([b["cell"] for b in boxes], np.int64)
+    low, high = (np.array([b[x] for b in boxes], np.int64).reshape(-1, width) for x in ("low", "high"))
+    shared = asked.sparkSession.sparkContext.broadcast((cells, low, high))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, low, high = shared.value
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                queries = _matrix(part["query"].to_pylist(), width, np.int64)
+                corners, asking = _exact(np.concatenate([low, high]), queries)
+                under, over = corners[: len(low)], corners[len(low) :]
+                bounds = np.maximum(asking, 0) @ over.T + np.minimum(asking, 0) @ under.T
+                kth = part["kth_score"].to_pylist()
+                # An equal bound may still bring a smaller id.
+                open_ = np.array(
+                    [b >= s if s is not None else np.ones(len(cells), bool) for b, s in zip(bounds, kth)]
+                ).reshape(part.num_rows, len(cells))
+                row, cell = np.nonzero(open_)
+                for a in range(0, len(row), 4096):
+                    taken = part.take(pa.array(row[a : a + 4096]))
+                    held = dict(zip(taken.schema.names, taken.columns))
+                    held["cell"] = pa.array(cells[cell[a : a + 4096]])
+                    yield pa.RecordBatch.from_arrays(list(held.values()), names=list(held))
+
+    return asked.mapInArrow(run, asked.schema)
 
 
 def quantised(vectors: DataFrame, vec_id: str, vector: str, scale: int) -> DataFrame:
@@ -178,46 +312,57 @@ def top_k(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score) of every query row; ``is_query`` is on ``vec_id``."""
     rows = keep(quantised(vectors, vec_id, vector, scale), "vectors")
-    counted = rows.agg(F.count("*"), F.count_if(is_query)).first()
-    shards = max(1, -(-counted[0] // SHARD_ROWS))
-    blocks = max(1, -(-counted[1] // QUERY_BLOCK))
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)))
-    queries = rows.filter(is_query).select(
+    total, width = rows.agg(F.count("*"), F.max(F.size("vector"))).first()
+    width = max(width or 0, 1)
+    cells = min(max(1, -(-total // SHARD_ROWS)), MOST_CELLS)
+    wanted = cells * SAMPLE_PER_CELL
+    # Bounded by the number of cells, whatever the table holds.
+    few = rows.filter(F.pmod(F.xxhash64("row"), F.lit(max(total // wanted, 1))) == 0)
+    sample = _matrix([r[0] for r in few.select("vector").limit(2 * wanted).collect()], width, np.int64)
+    placed = keep(_placed(rows, splits_of(sample, cells), width), "placed")
+    sizes = placed.groupBy("cell").count()
+    pieces = keep(
+        sizes.select("cell", F.ceil(F.col("count") / SHARD_ROWS).cast("long").alias("pieces")), "sizes"
+    )
+    placed = placed.join(pieces, "cell").withColumn(
+        "piece", F.pmod(F.xxhash64("row"), F.col("pieces"))
+    )
+    box = "low array<long>, high array<long>, tree binary"
+    trees = keep(
+        placed.select(*_SHARD, "row", "vec_id", "vector")
+        .groupBy(*_SHARD)
+        .applyInPandas(_tree_rows(width), f"cell long, piece long, {box}"),
+        "trees",
+    )
+    queries = placed.filter(is_query).select(
         F.col("row").alias("query_row"),
         F.col("vec_id").alias("query_id"),
         F.col("vector").alias("query"),
-        F.pmod(F.xxhash64("row"), F.lit(blocks)).alias("block"),
+        *_SHARD,
     )
     none = F.lit(None).cast("long")
-    home = F.col("block") % shards
-
-    # Shard s is home to the blocks s, s + shards, s + 2 * shards, ...
-    guests = F.expr(
-        f"if(shard < {blocks}, sequence(shard, {blocks - 1}L, {shards}L), array())"
-    )
-    first = keep(
-        _pairs(
-            rows,
-            queries.select("*", none.alias("kth_score"), none.alias("kth_id")),
-            F.array(home),
-            guests,
-            k,
-        ),
-        "first",
-    )
+    home = queries.select("*", none.alias("kth_score"), none.alias("kth_id"))
+    first = _searched(trees, home, k, width, keep, "home")
     order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     kth = (
         first.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") == k)
-        .select(
-            "query_row",
-            F.col("score").alias("kth_score"),
-            F.col("vec_id").alias("kth_id"),
-        )
+        .select("query_row", F.col("score").alias("kth_score"), F.col("vec_id").alias("kth_id"))
+    )
+    # One box per cell: the pieces of a cell share it.
+    corners = [F.array(*[f(F.element_at(c, i + 1)) for i in range(width)]).alias(c)
+               for c, f in (("low", F.min), ("high", F.max))]
+    boxes = trees.groupBy("cell").agg(*corners).collect()
+    asked = queries.withColumnRenamed("piece", "own_piece").withColumn("own_cell", F.col("cell"))
+    routed = _reached(asked.join(kth, "query_row", "left"), boxes, width)
+    own = (F.col("cell") == F.col("own_cell")) & (F.col("piece") == F.col("own_piece"))
+    routed = (
+        routed.join(pieces, "cell")
+        .withColumn("piece", F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1)))
+        .filter(~own)
+        .select("query_row", "query_id", "query", *_SHARD, "kth_score", "kth_id")
     )
-    others = F.expr(f"filter(sequence(0L, {shards - 1}L), s -> s != block % {shards})")
-    visitors = F.expr(f"filter(sequence(0L, {blocks - 1}L), b -> b % {shards} != shard)")
-    later = _pairs(rows, queries.join(kth, "query_row", "left"), others, visitors, k)
+    later = _searched(trees, routed, k, width, keep, "others")
     return (
         first.unionByName(later)
         .withColumn("rank", F.row_number().over(order))
