@@ -145,10 +145,10 @@ def op8_hilbert_sharding(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id",
         (F.octet_length(text) + 16).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        sharding.text_order(F.col("lang")).alias("by_lang"),
-        sharding.text_order(F.col("source")).alias("by_source"),
+        "lang",
+        "source",
     )
-    dimensions = {c: F.col(c) for c in ("by_lang", "by_source", "size", "doc_id")}
+    dimensions = {c: F.col(c) for c in ("lang", "source", "size", "doc_id")}
     return sharding.hilbert_shards(docs, dimensions, Scratch(spark), SHARDS).select(
         "doc_id",
         "size",
@@ -177,9 +177,8 @@ def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
 def op13_suffix_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     fold_of_five = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
-    keep = Scratch(spark).keep
-    model = suffix_tree.fit(docs.filter(fold_of_five != 1), keep)
-    return suffix_tree.score(docs.select("doc_id", "text"), model, ["doc_id"], keep).select(
+    model = suffix_tree.fit(docs.filter(fold_of_five != 1), Scratch(spark).keep)
+    return suffix_tree.score(docs, model, ["doc_id"]).select(
         "row.doc_id",
         F.coalesce(
             F.crc32(F.col("row.doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False)

@@ -1,6 +1,7 @@
 """Hilbert-curve ordering: rows near in several metadata dimensions share a shard.
 
-Each dimension is quantised at equal-depth cut points, the cell's place on the Hilbert
+Each dimension is quantised at equal-depth cut points (of texts, whole strings; a string's rows
+stay in one cell), the cell's place on the Hilbert
 curve is computed by SQL expressions, rows are ranked by it and the ranking is cut into
 runs. A shard then covers a small box in every dimension, so file statistics on any of
 them let a reader skip files.
@@ -14,8 +15,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ledgerloom.operators.ranking import ranked
 from ledgerloom.scratch import Scratch
@@ -25,12 +27,6 @@ SKETCH_ACCURACY = 2000
 _ORDERED = ("integer", "long", "string", "double")
 
 
-def text_order(value: Column) -> Column:
-    """A number in the order of the text's first seven bytes."""
-    first = F.substring(value.cast("binary"), 1, 7)
-    return F.conv(F.rpad(F.hex(first), 14, "0"), 16, 10).cast("long")
-
-
 def _ones(value: int) -> int:
     """How many of the lowest bits are set before the first clear one."""
     count = 0
@@ -85,17 +81,68 @@ def hilbert_index(cells: Sequence[Column], bits: int) -> Column:
     return F.aggregate(levels, start, step, lambda state: state["index"])
 
 
-def cells(df: DataFrame, dimensions: Mapping[str, Column], bits: int) -> dict[str, Column]:
-    """Equal-depth cells; ``2**bits - 1`` cut points per dimension reach the driver."""
+def text_cuts(df: DataFrame, value: Column, parts: int, keep) -> list[str]:
+    """At most ``parts - 1`` strings that cut the rows, in order of the whole strings, into runs
+    of about equal length.
+
+    Distinct strings are counted first; their running totals are taken per range of strings,
+    so neither a hot string nor a great many of them gather in one task.
+    """
+    counts = df.select(value.alias("v")).filter("v IS NOT NULL").groupBy("v").agg(
+        F.count("*").alias("n")
+    )
+    # Ranges come from sampling: written before they are counted, as another run may differ.
+    ranges = keep(
+        counts.repartitionByRange("v").withColumn("part", F.spark_partition_id()), "strings"
+    )
+    whole = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranges.groupBy("part").agg(F.sum("n").alias("rows"), F.count("*").alias("kinds"))
+    before = keep(
+        totals.withColumn("before", F.coalesce(F.sum("rows").over(whole), F.lit(0))).withColumn(
+            "all", F.sum("rows").over(Window.partitionBy())
+        ),
+        "ranges",
+    )
+    running = F.sum("n").over(Window.partitionBy("part").orderBy("v"))
+    upto = F.col("before") + F.col("running")
+    # A string that ends a run: the next one begins another.
+    crossed = F.expr(
+        f"((before + running) * {parts}) div all > ((before + running - n) * {parts}) div all"
+    )
+    cuts = (
+        ranges.withColumn("running", running)
+        .join(before.select("part", "before", "all"), "part")
+        .filter(crossed & (upto < F.col("all")))
+        .select("v")
+        .orderBy("v")
+    )
+    return [r["v"] for r in cuts.collect()]
+
+
+def cells(df: DataFrame, dimensions: Mapping[str, Column], bits: int, keep) -> dict[str, Column]:
+    """Equal-depth cells; ``2**bits - 1`` cut points per dimension reach the driver.
+
+    Text is cut by whole strings, whatever they begin with.
+    """
     parts = 1 << bits
     at = [i / parts for i in range(1, parts)]
-    found = df.agg(
-        *[F.percentile_approx(c, at, SKETCH_ACCURACY).alias(k) for k, c in dimensions.items()]
-    ).first()
+    kinds = df.select(*[c.alias(k) for k, c in dimensions.items()]).schema
+    texts = {k for k in dimensions if isinstance(kinds[k].dataType, StringType)}
+    numbers = [
+        F.percentile_approx(c, at, SKETCH_ACCURACY).alias(k)
+        for k, c in dimensions.items()
+        if k not in texts
+    ]
+    found = df.agg(*numbers).first() if numbers else {}
     out = {}
     for name, value in dimensions.items():
-        cuts = F.array(*[F.lit(c) for c in found[name] or []]).cast("array<long>")
-        out[name] = F.when(value.isNull(), 0).otherwise(_at_most(cuts, value)).cast("long")
+        if name in texts:
+            ends = F.array(*[F.lit(c) for c in text_cuts(df, value, parts, keep)])
+            place = _before(ends.cast("array<string>"), value)
+        else:
+            cuts = F.array(*[F.lit(c) for c in found[name] or []]).cast("array<long>")
+            place = _at_most(cuts, value)
+        out[name] = F.when(value.isNull(), 0).otherwise(place).cast("long")
     return out
 
 
@@ -103,6 +150,10 @@ def _at_most(cuts: Column, value: Column) -> Column:
     return F.size(F.filter(cuts, lambda cut: cut <= value))
 
 
+def _before(ends: Column, value: Column) -> Column:
+    return F.size(F.filter(ends, lambda end: end < value))
+
+
 def hilbert_shards(
     df: DataFrame,
     dimensions: Mapping[str, Column],
@@ -112,13 +163,19 @@ def hilbert_shards(
 ) -> DataFrame:
     """Add ``shard`` (0 to ``shards - 1``) and ``slot`` (gapless from 0 within a shard).
 
-    ``dimensions`` are numeric columns of ``df``. Rows move once, in curve order.
+    ``dimensions`` are numbers or texts of ``df``. Rows move once, in curve order; they are
+    stored with their place on the curve, which is then computed once.
     """
     own = [c for c in df.columns if c not in ("shard", "slot")]
-    placed = df.select(
-        F.struct(*[F.col(f"`{c}`") for c in own]).alias("kept"),
-        hilbert_index(list(cells(df, dimensions, bits).values()), bits).alias("curve"),
-        F.monotonically_increasing_id().alias("tie"),
+    placed = scratch.keep(
+        df.select(
+            F.struct(*[F.col(f"`{c}`") for c in own]).alias("kept"),
+            hilbert_index(
+                list(cells(df, dimensions, bits, scratch.keep).values()), bits
+            ).alias("curve"),
+            F.monotonically_increasing_id().alias("tie"),
+        ),
+        "placed",
     )
     # The last key makes the order total, so equal rows never have to stay in one task.
     simple = [c for c in own if df.schema[c].dataType.typeName() in _ORDERED]

@@ -46,7 +46,7 @@ def test_rows_law_on_given_documents(spark, folder):
 
 def test_shards_are_compact(spark, folder):
     """A shard spans fewer values of each dimension than all rows do."""
-    docs = table(spark, folder, "documents").withColumn("by", sharding.text_order(F.col("source")))
+    docs = table(spark, folder, "documents").withColumn("by", F.concat(F.lit("https://a."), "source"))
     from ledgerloom.scratch import Scratch
 
     out = sharding.hilbert_shards(
@@ -75,3 +75,62 @@ def test_written_shards(spark, scratch, edge_docs, tmp_path):
     sharding.write_shards(out, str(tmp_path / "s"))
     back = spark.read.parquet(str(tmp_path / "s"))
     assert back.count() == edge_docs.count() and back.select("shard").distinct().count() == 3
+
+
+def test_cuts_of_whole_strings(spark, scratch):
+    """Strings that begin alike are told apart; a hot one takes a run of its own."""
+    texts = [f"https://common.beginning.example/{i:04}" for i in range(640)]
+    texts += ["https://common.beginning.example/0300"] * 640 + [None] * 50 + [""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(4)
+    cuts = sharding.text_cuts(df, F.col("t"), 8, scratch.keep)
+    assert cuts == sorted(cuts) and 4 <= len(cuts) <= 7
+    known = [t for t in texts if t is not None]
+    sizes = [0] * (len(cuts) + 1)
+    for t in known:
+        sizes[sum(c < t for c in cuts)] += 1
+    light = sorted(sizes)[:-1]
+    assert max(light) <= len(known) / 8 + 1 and max(sizes) <= 640 + len(known) / 8
+    assert sharding.text_cuts(df.limit(0), F.col("t"), 8, scratch.keep) == []
+    assert sharding.text_cuts(df.filter("t = ''"), F.col("t"), 8, scratch.keep) == []
+
+
+def test_whole_rows_against_brute_force(spark, scratch, folder):
+    """Shard and slot of each row, from cells and an order computed here."""
+    rows = [
+        (r.doc_id, r.lang, "https://www." + r.source, len(r.text or ""))
+        for r in table(spark, folder, "documents").collect()
+    ]
+    rows += rows[:5] + [(None, None, None, None), (7, "", "", 0)]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, source string, size int")
+    bits, shards, dims = 3, 7, ["lang", "source", "size"]
+    columns = {c: F.col(c) for c in dims}
+
+    def text_cell(values, v):
+        counts, upto, cuts = Counter(x for x in values if x is not None), 0, []
+        whole = sum(counts.values())
+        for x in sorted(counts, key=str.encode):
+            before, upto = upto, upto + counts[x]
+            if upto < whole and upto * 8 // whole > before * 8 // whole:
+                cuts.append(x)
+        return 0 if v is None else sum(c < v for c in cuts)
+
+    cuts = df.agg(F.percentile_approx("size", [i / 8 for i in range(1, 8)], 2000)).first()[0]
+    cell = [
+        (text_cell([x[1] for x in rows], r[1]), text_cell([x[2] for x in rows], r[2]),
+         0 if r[3] is None else sum(c <= r[3] for c in cuts))
+        for r in rows
+    ]
+    distinct = spark.createDataFrame(sorted(set(cell)), "a long, b long, c long")
+    index = sharding.hilbert_index([F.col(c) for c in "abc"], bits).alias("h")
+    curve = {(r.a, r.b, r.c): r.h for r in distinct.select("a", "b", "c", index).collect()}
+
+    def order(i):
+        return (curve[cell[i]], *[(v is None, v.encode() if isinstance(v, str) else v) for v in rows[i]])
+
+    n = len(rows)
+    want = []
+    for rank, i in enumerate(sorted(range(n), key=order)):
+        shard = rank * shards // n
+        want.append((*rows[i], shard, rank - -(-shard * n // shards)))
+    out = sharding.hilbert_shards(df, columns, scratch, shards, bits)
+    assert Counter(map(tuple, out.collect())) == Counter(want)
