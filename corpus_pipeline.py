@@ -19,7 +19,8 @@ input passes through all stages.
 from __future__ import annotations
 
 from public_tokenizers import path as tokenizer_path
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import decontaminate, jaccard_join, langid, packing, secrets
@@ -27,6 +28,7 @@ from ledgerloom.llm.common import HELD_OUT, fold, table
 from ledgerloom.scratch import Scratch
 
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
+FILE_BITS = 40  # rows a file may hold
 TOKENIZER, END_ID = "word_bpe_49k.json", 2
 
 
@@ -36,14 +38,33 @@ def identify_language(spark: SparkSession, docs: DataFrame, folder: str) -> Data
     return known.filter(F.col("lang_pred") != langid.UNDETERMINED).select("row.*")
 
 
+def with_places(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(row, place): a number for each row that is the same however often it is read.
+
+    Rows of stored files are numbered by their file and their place in it, whatever pieces the
+    files are read in. Rows of any other frame are numbered and written once.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    try:
+        origin = docs.metadataColumn("_metadata")
+        found = docs.select(
+            row, origin["file_path"].alias("file"), origin["row_index"].alias("index")
+        )
+        found.schema  # raises where the frame is not a scan of files
+    except AnalysisException:
+        return scratch.keep(docs.select(row, F.monotonically_increasing_id().alias("place")), "rows")
+    # One row per file.
+    number = F.row_number().over(Window.orderBy("file")).cast("long")
+    files = scratch.keep(found.select("file").distinct().withColumn("number", number), "files")
+    place = F.shiftleft("number", FILE_BITS) + F.col("index")
+    return found.join(files, "file").select("row", place.alias("place"))
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    # ``docs`` is a stored table, so rows are numbered alike each time it is read.
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        F.monotonically_increasing_id().alias("place"),
-    )
+    scratch = Scratch(spark)
+    rows = with_places(docs, scratch)
     texts = rows.select(F.col("place").alias("doc_id"), F.col("row.text").alias("text"))
-    joined = jaccard_join.jaccard_join(texts, Scratch(spark), SHINGLE_WORDS, SIMILAR_PERCENT)
+    joined = jaccard_join.jaccard_join(texts, scratch, SHINGLE_WORDS, SIMILAR_PERCENT)
     gone = joined.filter("component_id <> doc_id").select(F.col("doc_id").alias("place"))
     return rows.join(gone, "place", "left_anti").select("row.*")
 
