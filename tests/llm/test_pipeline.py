@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from test_decontaminate import brute as windows_in
@@ -77,3 +78,41 @@ def test_odd_and_no_rows(spark, folder, edge_docs, no_docs):
             assert out.columns == docs.columns
             docs = spark.createDataFrame(out.collect(), out.schema)
         cp.STAGES[-1][1](spark, docs, folder).collect()
+
+
+def test_rows_dropped_do_not_depend_on_how_files_are_read(spark, scratch, monkeypatch):
+    """Executors may come and go between the two reads of the stage's input."""
+    texts = [f"{w} " + " ".join(f"word{i % 7}{j}" for j in range(40)) for i in range(60) for w in "ab"]
+    df = spark.createDataFrame(
+        [(None if i % 5 == 0 else i % 9, t, "s") for i, t in enumerate(texts)],
+        "doc_id long, text string, file string",
+    )
+    path = scratch.path("docs")
+    df.repartition(5).write.option("parquet.block.size", 1024).parquet(path)
+    docs = spark.read.parquet(path)
+    real = cp.jaccard_join.jaccard_join
+
+    def changed(*args):
+        out = scratch.keep(real(*args), "joined")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "300b")
+        return out
+
+    monkeypatch.setattr(cp.jaccard_join, "jaccard_join", changed)
+    try:
+        kept = cp.drop_near_copies(spark, docs, "").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    # One of each group of texts that are alike stays, with all its columns.
+    def group(t):
+        return t.split(" ", 1)[1]
+
+    assert sorted(group(r.text) for r in kept) == sorted({group(t) for t in texts})
+    assert docs.columns == ["doc_id", "text", "file"] and len(kept[0]) == 3
+
+
+def test_rows_of_other_frames_are_numbered_once(spark, scratch):
+    docs = spark.range(20).select(F.col("id").alias("doc_id"), F.lit("x y").alias("text"))
+    rows = cp.with_places(docs.union(docs), scratch)
+    assert rows.select("place").distinct().count() == 40
+    kept = cp.drop_near_copies(spark, docs.union(docs), "")
+    assert kept.count() == 1
