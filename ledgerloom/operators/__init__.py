@@ -3,19 +3,30 @@
 from ledgerloom.operators.calendar import calendar, date_spine
 from ledgerloom.operators.first import first_per_key, with_values
 from ledgerloom.operators.history import to_date_by_month
-from ledgerloom.operators.incremental import absent_rows, insert_if_absent, orphans
+from ledgerloom.operators.incremental import (
+    absent_rows,
+    child_values,
+    insert_if_absent,
+    orphans,
+    without_parent,
+)
+from ledgerloom.operators.quantiles import bucket_ends, place
 from ledgerloom.operators.ranking import ranked, tile, with_row_ids
 
 __all__ = [
     "absent_rows",
+    "bucket_ends",
     "calendar",
+    "child_values",
     "date_spine",
     "first_per_key",
     "insert_if_absent",
     "orphans",
+    "place",
     "ranked",
     "tile",
     "to_date_by_month",
-    "with_values",
     "with_row_ids",
+    "with_values",
+    "without_parent",
 ]

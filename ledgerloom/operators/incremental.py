@@ -35,15 +35,27 @@ def insert_if_absent(
     return target.unionByName(new.select(*target.columns))
 
 
-def orphans(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Non-null values of a foreign key with no parent, and how many rows hold each.
-
-    Child rows combine per value before the join, so a hot value is one row in it.
-    """
-    values = (
+def child_values(child: DataFrame, column: str) -> DataFrame:
+    """Non-null values of a foreign key and how many rows hold each: a hot value is one row."""
+    return (
         with_values(child, column)
         .groupBy(F.col(column).alias("value"))
         .agg(F.count("*").alias("child_rows"))
     )
+
+
+def without_parent(values: DataFrame, parent: DataFrame, parent_key: str) -> DataFrame:
+    """Those ``child_values`` that no row of ``parent`` has as its key.
+
+    The parent's keys first meet the values: where these are few, Spark sends them to the
+    parent's scan, and only keys found among them are shuffled. The cost of a check then
+    follows the child and not the parent.
+    """
     keys = parent.select(F.col(parent_key).alias("value"))
-    return values.join(keys, "value", "left_anti")
+    known = keys.join(values.select("value"), "value", "left_semi")
+    return values.join(known, "value", "left_anti")
+
+
+def orphans(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -> DataFrame:
+    """Non-null values of a foreign key with no parent, and how many rows hold each."""
+    return without_parent(child_values(child, column), parent, parent_key)

@@ -1,21 +1,24 @@
 """Declarative data-quality checks.
 
-A check counts violations; zero passes. Checks on single rows of a table share one
-aggregate; each uniqueness check is one grouped count; column presence and type are
-read from the schema.
+A check counts violations; zero passes. Column presence and type are read from the schema.
+Each uniqueness check is one grouped count. Checks on single rows are counted while a table is
+written (``row_counts``, ``observed_report``); for a table that was written before, they
+ride along with its first grouped count, so that it is scanned once for both.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.labels import MOVEMENTS, SEGMENTS
-from ledgerloom.operators import orphans, with_values
+from ledgerloom.operators import child_values, with_values, without_parent
 from ledgerloom.schemas import RAW, SILVER, StoredTable
 
 REPORT = T.StructType(
@@ -54,11 +57,15 @@ class SchemaCheck:
 
 @dataclass(frozen=True)
 class ParentCheck:
-    """Fails on each child row whose key is missing from ``parent``."""
+    """Fails on each child row whose key is missing from ``parent``.
+
+    ``values`` may hold the child's values, stored (``stored_parent_check``).
+    """
 
     column: str
     parent: DataFrame
     parent_key: str
+    values: DataFrame | None = None
     name: str = field(default="foreign_key")
 
 
@@ -135,16 +142,71 @@ def _schema_violations(df: DataFrame, check: SchemaCheck) -> int:
     return int(check.type_name is not None and found != check.type_name)
 
 
+def stored_parent_check(
+    child: DataFrame,
+    column: str,
+    parent: DataFrame,
+    parent_key: str,
+    keep: Callable[[DataFrame, str], DataFrame],
+) -> ParentCheck:
+    """A check whose child values are stored, so that Spark knows how few they are."""
+    values = keep(child_values(child, column), f"values_{column}")
+    return ParentCheck(column, parent, parent_key, values)
+
+
+def row_checks(df: DataFrame, checks: list[Check]) -> list[RowCheck]:
+    """Those on single rows that the table has the column for."""
+    return [c for c in checks if isinstance(c, RowCheck) and c.column in df.columns]
+
+
+def row_counts(checks: list[RowCheck]) -> list[Column]:
+    """Violations of each check as ``c0``, ``c1``, ..."""
+    return [F.count_if(c.violates).alias(f"c{i}") for i, c in enumerate(checks)]
+
+
+def _fixed(spark: SparkSession, table: str, found: list[tuple[str, str, int]]) -> DataFrame:
+    lines = [_line(table, name, column, F.lit(n)) for name, column, n in found]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*lines)))
+
+
+def _judged(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("violations") == 0)
+
+
+def observed_report(
+    spark: SparkSession, table: str, checks: list[RowCheck], seen: dict
+) -> DataFrame:
+    """Report rows from the ``row_counts`` that were observed while the table was written."""
+    found = [(c.name, c.column, seen[f"c{i}"] or 0) for i, c in enumerate(checks)]
+    return _judged([_fixed(spark, table, found)])
+
+
 def check_table(table: str, df: DataFrame, checks: list[Check]) -> DataFrame:
     """One report row per check of one table."""
     parts = []
-    # A row check on a column that is missing would not resolve: it counts as failed.
-    present = [c for c in checks if isinstance(c, RowCheck) and c.column in df.columns]
-    if present:
-        counts = df.agg(*[F.count_if(c.violates).alias(f"c{i}") for i, c in enumerate(present)])
-        lines = [_line(table, c.name, c.column, F.col(f"c{i}")) for i, c in enumerate(present)]
+    present = row_checks(df, checks)
+    grouped = [c for c in checks if isinstance(c, UniqueCheck)]
+    lines = [_line(table, c.name, c.column, F.col(f"c{i}")) for i, c in enumerate(present)]
+    if present and grouped:
+        # One count per key serves both; combined on the map side, as each alone would be.
+        key, grouped = grouped[0], grouped[1:]
+        repeated = F.col("occurrences") > 1
+        if key.ignore_nulls:
+            repeated &= reduce(and_, [F.col(c).isNotNull() for c in key.columns])
+        counts = (
+            df.groupBy(*key.columns)
+            .agg(F.count("*").alias("occurrences"), *row_counts(present))
+            .agg(
+                F.count_if(repeated).alias("repeated"),
+                *[F.coalesce(F.sum(f"c{i}"), F.lit(0)).alias(f"c{i}") for i in range(len(present))],
+            )
+        )
+        lines.append(_line(table, key.name, ", ".join(key.columns), F.col("repeated")))
         parts.append(counts.select(F.inline(F.array(*lines))))
+    elif present:
+        parts.append(df.agg(*row_counts(present)).select(F.inline(F.array(*lines))))
 
+    # A row check on a column that is missing would not resolve: it counts as failed.
     fixed = [
         (c.name, c.column, _schema_violations(df, c)) for c in checks if isinstance(c, SchemaCheck)
     ] + [
@@ -153,21 +215,20 @@ def check_table(table: str, df: DataFrame, checks: list[Check]) -> DataFrame:
         if isinstance(c, RowCheck) and c.column not in df.columns
     ]
     if fixed:
-        lines = [_line(table, name, column, F.lit(n)) for name, column, n in fixed]
-        parts.append(df.sparkSession.range(0, 1, 1, 1).select(F.inline(F.array(*lines))))
+        parts.append(_fixed(df.sparkSession, table, fixed))
 
+    for c in grouped:
+        found = duplicates(df, c.columns, c.ignore_nulls).agg(F.count("*").alias("n"))
+        line = _line(table, c.name, ", ".join(c.columns), F.col("n"))
+        parts.append(found.select(line.alias("s")).select("s.*"))
     for c in checks:
-        if isinstance(c, UniqueCheck):
-            found = duplicates(df, c.columns, c.ignore_nulls).agg(F.count("*").alias("n"))
-            column = ", ".join(c.columns)
-        elif isinstance(c, ParentCheck):
-            missing = orphans(df, c.column, c.parent, c.parent_key)
+        if isinstance(c, ParentCheck):
+            values = child_values(df, c.column) if c.values is None else c.values
+            missing = without_parent(values, c.parent, c.parent_key)
             found = missing.agg(F.coalesce(F.sum("child_rows"), F.lit(0)).alias("n"))
-            column = c.column
-        else:
-            continue
-        parts.append(found.select(_line(table, c.name, column, F.col("n")).alias("s")).select("s.*"))
-    return reduce(DataFrame.unionByName, parts).withColumn("passed", F.col("violations") == 0)
+            line = _line(table, c.name, c.column, F.col("n"))
+            parts.append(found.select(line.alias("s")).select("s.*"))
+    return _judged(parts)
 
 
 def check_report(tables: dict[str, tuple[DataFrame, list[Check]]]) -> DataFrame:
@@ -301,11 +362,18 @@ def mart_rfm_movement_checks() -> list[Check]:
     ]
 
 
+def stored_row_checks(table: StoredTable) -> list[RowCheck]:
+    """Required columns and text lengths of a normalised table."""
+    return [
+        *map(not_null, table.required),
+        *[max_length(c, n) for c, n in table.max_lengths.items()],
+    ]
+
+
 def stored_checks(table: StoredTable, parents: dict[str, DataFrame]) -> list[Check]:
     """Keys, required columns, text lengths and foreign keys of a normalised table."""
     return [
         *[unique_combination(*columns) for columns in table.unique_sets],
-        *map(not_null, table.required),
-        *[max_length(c, n) for c, n in table.max_lengths.items()],
+        *stored_row_checks(table),
         *[ParentCheck(c, parents[p], c) for c, p in table.parents.items()],
     ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import (
@@ -11,10 +11,12 @@ from ledgerloom.functions import (
     segment_movement,
     segment_transition,
 )
-from ledgerloom.operators import ranked, tile, to_date_by_month, with_values
-from ledgerloom.scratch import Scratch
+from ledgerloom.operators import bucket_ends, place, to_date_by_month, with_values
+from ledgerloom.scratch import Scratch, list_folder
 
 BUCKETS = 5
+# The snapshot is stored in one folder per month.
+MONTH = "snapshot_month"
 
 # Score column -> the measure it ranks.
 SCORED = {
@@ -90,53 +92,27 @@ def rfm_base(fact: DataFrame, dates: DataFrame) -> DataFrame:
     return to_date_by_month(order_months(fact, dates))
 
 
-def _place(value: Column, customer: Column) -> Column:
-    """What a month's customers are ordered by: the value, none last, then the customer."""
-    return F.struct(
-        value.isNull().alias("missing"),
-        F.coalesce(value, F.lit(0.0)).alias("value"),
-        customer.alias("customer_id"),
-    )
-
-
-def bucket_ends(base: DataFrame, scratch: Scratch) -> DataFrame:
-    """Per month and measure the last place of every bucket but the highest.
+def score(base: DataFrame, scratch: Scratch) -> DataFrame:
+    """NTILE scores of each month: one more than the bucket ends before a row's place.
 
-    All three measures of all months are ranked in one range sort, so a month of any size
-    spreads over tasks; what remains is a dozen places per month.
+    ``base`` is a stored table: it is counted for the ends and read again for the scores,
+    which need no more than a join with the dozen ends of each month.
     """
-    # Numbered rather than named: the number leads every comparison of the sort.
-    measures = list(enumerate(SCORED.values()))
-    long = base.select(
-        "customer_id",
-        "snapshot_month",
-        F.posexplode(F.array(*[F.col(m).cast("double") for _, m in measures])),
-    ).toDF("customer_id", "snapshot_month", "measure", "value")
-    placed = ranked(long, ["value", "customer_id"], scratch, within=["measure", "snapshot_month"])
-    rank, rows = F.col("rank"), F.col("group_rows")
-    ends = placed.filter(
-        (rank < rows) & (tile(BUCKETS, rank, rows) < tile(BUCKETS, rank + 1, rows))
+    found = bucket_ends(
+        base, "snapshot_month", "customer_id", list(SCORED.values()), BUCKETS, scratch
     )
-    place = _place(F.col("value"), F.col("customer_id"))
-    return ends.groupBy("snapshot_month").agg(
+    ends = found.groupBy("snapshot_month").agg(
         *[
-            F.collect_list(F.when(F.col("measure") == i, place)).alias(f"{m}_ends")
-            for i, m in measures
+            F.collect_list(F.when(F.col("measure") == i, F.col("place"))).alias(f"{m}_ends")
+            for i, m in enumerate(SCORED.values())
         ]
     )
-
-
-def score(base: DataFrame, scratch: Scratch) -> DataFrame:
-    """NTILE scores of each month: one more than the bucket ends before a row's place.
-
-    ``base`` is a stored table: it is read for the ends and again for the scores, which
-    need no more than a join with the ends by month.
-    """
-    ends = scratch.keep(bucket_ends(base, scratch), "bucket_ends")
+    # Written, so that its real size decides whether the join below broadcasts it.
+    ends = scratch.keep(ends, "bucket_ends")
 
     def bucket(measure: str) -> Column:
-        place = _place(F.col(measure).cast("double"), F.col("customer_id"))
-        return F.coalesce(F.size(F.filter(f"{measure}_ends", lambda end: end < place)), F.lit(0)) + 1
+        here = place(F.col(measure).cast("double"), F.col("customer_id"))
+        return F.coalesce(F.size(F.filter(f"{measure}_ends", lambda end: end < here)), F.lit(0)) + 1
 
     return base.join(ends, "snapshot_month", "left").select(
         *base.columns, *[bucket(m).alias(name) for name, m in SCORED.items()]
@@ -157,9 +133,42 @@ def label_scores(scored: DataFrame) -> DataFrame:
     )
 
 
-def mart_rfm_snapshot(fact: DataFrame, dates: DataFrame, scratch: Scratch) -> DataFrame:
-    """Scores 1-5 and a segment per customer and month; ties go by customer_id."""
-    return label_scores(score(scratch.keep(rfm_base(fact, dates), "rfm_base"), scratch))
+def mart_rfm_snapshot(
+    fact: DataFrame, dates: DataFrame, scratch: Scratch, since: str | None = None
+) -> DataFrame:
+    """Scores 1-5 and a segment per customer and month; ties go by customer_id.
+
+    With ``since`` (a first of a month) only from that month on: a month is scored by itself.
+    """
+    base = rfm_base(fact, dates)
+    if since is not None:
+        base = base.filter(F.col(MONTH) >= F.lit(since).cast("date"))
+    return label_scores(score(scratch.keep(base, "rfm_base"), scratch))
+
+
+def by_folder(df: DataFrame, column: str) -> DataFrame:
+    """Rows of a folder in as few tasks as their size allows: large ones are split, small
+    ones share a task."""
+    return df.hint("rebalance", column)
+
+
+def latest_folder(spark: SparkSession, path: str) -> str | None:
+    """The largest value among folders named ``column=value``."""
+    names = [name.split("=", 1) for name, _ in list_folder(spark, path) if "=" in name]
+    return max((value for _, value in names if not value.startswith("__HIVE")), default=None)
+
+
+def refresh_snapshot(
+    path: str, fact: DataFrame, dates: DataFrame, since: str, scratch: Scratch
+) -> None:
+    """Score the months from ``since`` on again and put them in place of those at ``path``.
+
+    For a snapshot that is kept in one place, by month: new sales change no earlier month. Other
+    months' folders are not touched.
+    """
+    df = mart_rfm_snapshot(fact, dates, scratch, since)
+    writer = by_folder(df, MONTH).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
 
 
 def mart_rfm_movement(snapshot: DataFrame) -> DataFrame:

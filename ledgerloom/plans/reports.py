@@ -71,7 +71,11 @@ def segment_share(snapshot: DataFrame) -> DataFrame:
 
 
 def in_month(snapshot: DataFrame, month: str | None = None) -> DataFrame:
-    """The rows of one month, the latest by default."""
+    """The rows of one month; the latest by default, which takes a scan to find.
+
+    A snapshot stored by month names its latest one (``Warehouse.latest_month``); given that,
+    only the month's own files are read.
+    """
     chosen = (
         F.lit(month).cast("date") if month else snapshot.agg(F.max("snapshot_month")).scalar()
     )

@@ -5,13 +5,14 @@ from __future__ import annotations
 import datetime
 import uuid
 from collections.abc import Iterable
-from functools import cached_property
+from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 
+from ledgerloom import release
 from ledgerloom.plans import checks, gold, marts
 from ledgerloom.plans.silver import silver
-from ledgerloom.scratch import Scratch, delete_folder
+from ledgerloom.scratch import Scratch, delete_folder, list_folder
 
 LAYERS = {
     "silver": ("silver_ecommerce",),
@@ -27,7 +28,8 @@ class Warehouse:
     than recomputed. Building again under the same root writes new folders beside the old
     ones: readers keep what they read until ``create_tables`` points the catalog at the new
     folders, and a build that fails changes nothing for them. Without a root the tables are
-    temporary; as a context manager a warehouse removes those at the end.
+    temporary; as a context manager a warehouse removes those at the end. ``publish`` releases
+    a whole build at once (``release``), and ``release.remove_old`` removes earlier versions.
     """
 
     def __init__(
@@ -45,6 +47,7 @@ class Warehouse:
         self.root = root or Scratch(self.spark).root
         self.version = uuid.uuid4().hex
         self.calendar = (calendar_start, calendar_end)
+        self._seen: dict[str, dict] = {}
 
     def __enter__(self) -> Warehouse:
         return self
@@ -56,10 +59,23 @@ class Warehouse:
     def _path(self, layer: str, name: str) -> str:
         return f"{self.root}/{layer}/{name}/{self.version}"
 
-    def _stored(self, layer: str, name: str, df: DataFrame) -> DataFrame:
-        path = self._path(layer, name)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+    def _stored(
+        self, layer: str, name: str, df: DataFrame, by: str | None = None
+    ) -> DataFrame:
+        """Write a table, in one folder per value of ``by`` if given, and count violations of
+        its row checks on the way.
+
+        The stage that writes is the one observed: its tasks count once, however often they
+        run, so lost executors do not change the counts.
+        """
+        path, seen = self._path(layer, name), Observation(f"{name} {self.version}")
+        counts = checks.row_counts(checks.row_checks(df, self._checks()[name]))
+        if by is None:
+            df.observe(seen, *counts).write.parquet(path)
+        else:
+            marts.by_folder(df, by).observe(seen, *counts).write.partitionBy(by).parquet(path)
+        self._seen[name] = seen.get
+        return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
     @cached_property
     def silver_ecommerce(self) -> DataFrame:
@@ -92,7 +108,13 @@ class Warehouse:
     def mart_rfm_snapshot(self) -> DataFrame:
         with Scratch(self.spark) as scratch:
             df = marts.mart_rfm_snapshot(self.fact_sales, self.dim_date, scratch)
-            return self._stored("marts", "mart_rfm_snapshot", df)
+            return self._stored("marts", "mart_rfm_snapshot", df, by=marts.MONTH)
+
+    @property
+    def latest_month(self) -> str | None:
+        """The last month of the snapshot, from the names of its folders: nothing is scanned."""
+        self.mart_rfm_snapshot
+        return marts.latest_folder(self.spark, self._path("marts", "mart_rfm_snapshot"))
 
     @cached_property
     def mart_rfm_movement(self) -> DataFrame:
@@ -104,6 +126,25 @@ class Warehouse:
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for names in LAYERS.values() for name in names}
 
+    def publish(self) -> int:
+        """Build what is missing and release all tables at once: ``Warehouse.open`` gives
+        either all tables of this build or all of an earlier one."""
+        built = self.tables()
+        return release.publish(
+            self.spark,
+            self.root,
+            {
+                name: (f"{layer}/{name}/{self.version}", built[name])
+                for layer, names in LAYERS.items()
+                for name in names
+            },
+        )
+
+    @staticmethod
+    def open(spark: SparkSession, root: str, number: int | None = None) -> dict[str, DataFrame]:
+        """All tables of one release, by default the last."""
+        return release.open_release(spark, root, number)
+
     def create_views(self) -> None:
         for name, df in self.tables().items():
             df.createOrReplaceTempView(name)
@@ -130,7 +171,15 @@ class Warehouse:
                 catalog.refreshTable(table)
                 return
             self.spark.sql(f"DROP TABLE {table}")  # the entry; its files stay
-        catalog.createTable(table, path=path, source="parquet")
+        if not any(marts.MONTH in f for f, _ in list_folder(self.spark, path)):
+            catalog.createTable(table, path=path, source="parquet")
+            return
+        columns = ", ".join(f"`{c}` {kind}" for c, kind in df.dtypes)
+        self.spark.sql(
+            f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY ({marts.MONTH}) "
+            f"LOCATION '{path}'"
+        )
+        self.spark.sql(f"MSCK REPAIR TABLE {table}")
 
     def _checks(self) -> dict[str, list[checks.Check]]:
         """Declared checks by table, in the order of the layers; months must lie within the
@@ -149,10 +198,25 @@ class Warehouse:
             "mart_rfm_movement": checks.mart_rfm_movement_checks(),
         }
 
+    def _report(self, name: str, declared: list[checks.Check]) -> DataFrame:
+        """Checks on single rows from what was seen while the table was written, and a scan
+        for each uniqueness check."""
+        df, parts = getattr(self, name), []
+        on_rows = checks.row_checks(df, self._checks()[name])
+        seen = {(c.name, c.column): self._seen[name][f"c{i}"] for i, c in enumerate(on_rows)}
+        asked = [c for c in checks.row_checks(df, declared) if (c.name, c.column) in seen]
+        if asked:
+            counted = {f"c{i}": seen[c.name, c.column] for i, c in enumerate(asked)}
+            parts.append(checks.observed_report(self.spark, name, asked, counted))
+        if rest := [c for c in declared if not any(c is a for a in asked)]:
+            parts.append(checks.check_table(name, df, rest))
+        return reduce(DataFrame.unionByName, parts)
+
     def check_report(self) -> DataFrame:
         """One row per declared check."""
-        tables = {name: (getattr(self, name), cs) for name, cs in self._checks().items()}
-        return checks.check_report({"raw_ecommerce": (self.raw, checks.raw_checks())} | tables)
+        parts = [checks.check_table("raw_ecommerce", self.raw, checks.raw_checks())]
+        parts += [self._report(name, declared) for name, declared in self._checks().items()]
+        return reduce(DataFrame.unionByName, parts)
 
     def build(self, tolerated: Iterable[tuple[str, str]] = ()) -> None:
         """Build layer by layer; a layer with a failed check raises ``ChecksFailed`` before
@@ -162,11 +226,10 @@ class Warehouse:
         """
         declared, allowed = self._checks(), set(tolerated)
         for names in LAYERS.values():
-            require = {
-                name: (
-                    getattr(self, name),
-                    [c for c in declared[name] if (name, c.name) not in allowed],
-                )
-                for name in names
-            }
-            checks.require(checks.check_report(require))
+            parts = []
+            for name in names:
+                asked = [c for c in declared[name] if (name, c.name) not in allowed]
+                getattr(self, name)
+                if asked:
+                    parts.append(self._report(name, asked))
+            checks.require(reduce(DataFrame.unionByName, parts))

@@ -52,6 +52,27 @@ def create_file(spark: SparkSession, path: str, content: str) -> bool:
     return True
 
 
+def read_file(spark: SparkSession, path: str) -> str:
+    """The content of a small file."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    source = target.getFileSystem(spark._jsc.hadoopConfiguration()).open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
+def list_folder(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """Name and time of change (seconds since 1970) of what a folder holds; none, no names."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(target):
+        return []
+    return [
+        (f.getPath().getName(), f.getModificationTime() / 1000) for f in system.listStatus(target)
+    ]
+
+
 class Scratch:
     """A fresh subfolder per use; each kept table gets its own path inside it.
 

@@ -1,65 +1,73 @@
 """The normalised store: append-only tables published all together.
 
 A load writes its new rows of each table into a ``run_id=`` folder of its own, checks
-them, and only then adds one line to the commit log. Readers see the folders of
-committed runs, so a load that fails part-way leaves nothing visible, and a rerun of the
-same batch adds no rows. Rows are never rewritten.
-
-The log is a folder with one file per commit, named by its number and created only if no
-such file exists: of two loads at once, one commits and the other starts again on top of it.
-Whether a load is committed is read from the log alone; a load whose commit raised is
-removed only if the log does not name it.
+them, and only then adds one line to the commit log (``commit_log``). Readers see the
+folders of committed runs, so a load that fails part-way leaves nothing visible, and a rerun
+of the same batch adds no rows. Whether a load is committed is read from the log alone; a
+load whose commit raised is removed only if the log does not name it.
+
+Small runs are merged into one by a commit that replaces them, so the folders a reader opens
+stay few however many loads were made. The replaced folders stay for readers that began
+before, until ``clean_up`` removes those older than it is told. A load and a compaction at
+once want the same number: the later one starts again.
 """
 
 from __future__ import annotations
 
-import json
+import time
 import uuid
+from datetime import timedelta
+from functools import reduce
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.commit_log import CommitLog, Run, State
 from ledgerloom.operators import absent_rows, with_row_ids, with_values
-from ledgerloom.plans import normalised
-from ledgerloom.plans.checks import check_report, require, stored_checks
+from ledgerloom.plans import checks, normalised
 from ledgerloom.schemas import STORE
-from ledgerloom.scratch import Scratch, create_file, delete_folder
-
-
-# ``last_id`` is the highest line id so far, which the next load continues from.
-COMMIT = "seq long, run_id string, last_id long"
+from ledgerloom.scratch import Scratch, delete_folder, list_folder
 
 # Loads started again because others committed meanwhile.
 ATTEMPTS = 5
+# A load that leaves more runs than this merges the small ones.
+MOST_RUNS = 16
+_RUN = "run_id="
+
+
+def to_merge(runs: tuple[Run, ...]) -> list[Run]:
+    """From the smallest up, while the next run is at most twice what is merged so far.
+
+    What is left grows at least threefold from run to run, so there are few of them, and a
+    row is copied a number of times that grows with the logarithm of the store.
+    """
+    chosen: list[Run] = []
+    for run in sorted(runs, key=lambda r: r.rows):
+        if chosen and run.rows > 2 * max(sum(r.rows for r in chosen), 1):
+            break
+        chosen.append(run)
+    return chosen if len(chosen) > 1 else []
 
 
 class Store:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, most_runs: int = MOST_RUNS):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.most_runs = most_runs
+        self.log = CommitLog(spark, f"{self.root}/_commits")
 
     # ── reading ──────────────────────────────────────────────────────────────
 
     @property
     def _log(self) -> str:
-        return f"{self.root}/_commits"
-
-    def _commits(self) -> list[Row]:
-        """One short line per load ever made, in order; a damaged one raises."""
-        try:
-            log = self.spark.read.schema(COMMIT).option("mode", "FAILFAST").json(self._log)
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":  # nothing has been committed yet
-                return []
-            raise
-        return log.orderBy("seq").collect()
+        return self.log.folder
 
     def committed_runs(self) -> list[str]:
-        return [c.run_id for c in self._commits()]
+        """Runs that make up the tables; merged ones under the name of their merge."""
+        return self.log.state().names
 
     def _folder(self, table: str, run_id: str) -> str:
-        return f"{self.root}/{table}/run_id={run_id}"
+        return f"{self.root}/{table}/{_RUN}{run_id}"
 
     def _read(self, table: str, runs: list[str]) -> DataFrame:
         schema = STORE[table].schema
@@ -80,8 +88,11 @@ class Store:
         """Keys, required columns, text lengths and foreign keys of the stored tables."""
         runs = self.committed_runs()
         tables = {name: self._read(name, runs) for name in STORE}
-        return check_report(
-            {name: (df, stored_checks(STORE[name], tables)) for name, df in tables.items()}
+        return checks.check_report(
+            {
+                name: (df, checks.stored_checks(STORE[name], tables))
+                for name, df in tables.items()
+            }
         )
 
     # ── loading ──────────────────────────────────────────────────────────────
@@ -89,13 +100,28 @@ class Store:
     def load(self, silver: DataFrame) -> str:
         """Insert what is new in ``silver`` into all four tables, or into none."""
         source = normalised.silver_columns(silver)
+        run_id = self._committed(lambda state, run_id: self._write_run(source, state, run_id))
+        if len(self.log.state().runs) > self.most_runs:
+            self.compact()
+        return run_id
+
+    def _committed(self, write) -> str | None:
+        """Write a run on top of the log's state and commit it; again if others came first.
+
+        ``write`` returns the run's rows, the last line id and the runs it replaces, or None
+        where there is nothing to do.
+        """
         for _ in range(ATTEMPTS):
-            run_id = uuid.uuid4().hex
+            run_id, state = uuid.uuid4().hex, self.log.state()
             try:
-                committed = self._load_once(source, run_id)
+                done = write(state, run_id)
+                if done is None:
+                    return None
+                rows, last_id, replaces = done
+                committed = self._commit(state, Run(run_id, rows), last_id, replaces)
             except Exception:
                 # If the log cannot be read now, nothing is removed.
-                if run_id in self.committed_runs():
+                if self.log.holds(state.seq, run_id):
                     return run_id
                 self._remove(run_id)
                 raise
@@ -104,65 +130,111 @@ class Store:
             self._remove(run_id)  # another load came first
         raise RuntimeError(f"other loads came first {ATTEMPTS} times")
 
-    def _load_once(self, source: DataFrame, run_id: str) -> bool:
-        commits = self._commits()
-        runs = [c.run_id for c in commits]
-        last_id = commits[-1].last_id if commits else 0
-        with Scratch(self.spark) as scratch:
-            self._write_run(source, runs, run_id, last_id, scratch)
-        self._check_run(runs, run_id)
-        newest = self._read("order_items", [run_id]).agg(F.max("id")).first()[0]
-        return self._commit(len(runs), run_id, newest or last_id)
+    def _commit(self, state: State, run: Run, last_id: int, replaces: list[str]) -> bool:
+        return self.log.add(state, run, last_id, replaces)
 
     def _remove(self, run_id: str) -> None:
         for name in STORE:
             delete_folder(self.spark, self._folder(name, run_id))
 
-    def _write_run(
-        self, source: DataFrame, runs: list[str], run_id: str, last_id: int, scratch: Scratch
-    ) -> None:
-        """Parents are stored once: they are inserted and also guard their children."""
-        customers = scratch.keep(normalised.customers(source), "customers")
-        products = scratch.keep(normalised.products(source), "products")
-        orders = scratch.keep(normalised.orders(source, customers), "orders")
-        parents = {"customers": customers, "products": products, "orders": orders}
-        for name, batch in parents.items():
-            new = absent_rows(batch, self._read(name, runs), STORE[name].key)
-            self._append(name, new, run_id)
-
-        # Lines already stored go first: a rerun looks up few invoices and products. What
-        # follows each lookup is a shuffle on something else, so a hot invoice can be split.
-        key = STORE["order_items"].key
-        lines = absent_rows(
-            with_values(source, "quantity"),
-            self._read("order_items", runs),
-            key,
-            ("quantity", "unit_price", "total_price"),
-        )
-        items = normalised.order_items(lines, orders, products)
-        self._append("order_items", with_row_ids(items, key, scratch, after=last_id), run_id)
+    def _write_run(self, source: DataFrame, state: State, run_id: str) -> tuple:
+        """Parents are stored once: they are inserted and also guard their children.
 
-    def _append(self, name: str, new: DataFrame, run_id: str) -> None:
-        """Money columns that do not fit raise here, as they do in a database."""
-        typed = new.select(*[F.col(f.name).cast(f.dataType) for f in STORE[name].schema])
-        typed.write.parquet(self._folder(name, run_id))
-
-    def _check_run(self, runs: list[str], run_id: str) -> None:
-        """New rows are absent from the target, so keys need checking among them only."""
-        parents = {name: self._read(name, [*runs, run_id]) for name in STORE}
-        require(
-            check_report(
-                {
-                    name: (self._read(name, [run_id]), stored_checks(spec, parents))
-                    for name, spec in STORE.items()
-                }
+        What is counted of the new rows is counted while they are written.
+        """
+        runs, seen = state.names, {}
+        with Scratch(self.spark) as scratch:
+            customers = scratch.keep(normalised.customers(source), "customers")
+            products = scratch.keep(normalised.products(source), "products")
+            orders = scratch.keep(normalised.orders(source, customers), "orders")
+            parents = {"customers": customers, "products": products, "orders": orders}
+            for name, batch in parents.items():
+                new = absent_rows(batch, self._read(name, runs), STORE[name].key)
+                seen[name] = self._append(name, new, run_id)
+
+            # Lines already stored go first: a rerun looks up few invoices and products. What
+            # follows each lookup is a shuffle on something else, so a hot invoice can be split.
+            key = STORE["order_items"].key
+            lines = absent_rows(
+                with_values(source, "quantity"),
+                self._read("order_items", runs),
+                key,
+                ("quantity", "unit_price", "total_price"),
             )
-        )
-
-    def _commit(self, seq: int, run_id: str, last_id: int) -> bool:
-        """Append to the log; False when that number is taken."""
-        line = json.dumps({"seq": seq, "run_id": run_id, "last_id": last_id})
-        return create_file(self.spark, f"{self._log}/{seq:012}.json", line + "\n")
+            items = normalised.order_items(lines, orders, products)
+            items = with_row_ids(items, key, scratch, after=state.last_id)
+            seen["order_items"] = self._append("order_items", items, run_id)
+            self._check_run(runs, run_id, seen, scratch)
+        rows = sum(found["rows"] for found in seen.values())
+        return rows, seen["order_items"].get("last_id") or state.last_id, []
+
+    def _append(self, name: str, new: DataFrame, run_id: str) -> dict:
+        """Write new rows; money columns that do not fit raise here, as they do in a database.
+
+        Returns what was observed on the way: rows, the last id, and violations of the checks
+        on single rows. The observed stage is the one that writes, whose tasks count once
+        however often they run.
+        """
+        typed = new.select(*[F.col(f.name).cast(f.dataType) for f in STORE[name].schema])
+        row_checks = checks.stored_row_checks(STORE[name])
+        counts = [F.count("*").alias("rows"), *checks.row_counts(row_checks)]
+        if name == "order_items":
+            counts.append(F.max("id").alias("last_id"))
+        seen = Observation(f"{name} {run_id}")
+        typed.observe(seen, *counts).write.parquet(self._folder(name, run_id))
+        return seen.get
+
+    def _check_run(self, runs: list[str], run_id: str, seen: dict, scratch: Scratch) -> None:
+        """New rows are absent from the target, so keys need checking among them only.
+
+        Tables without new rows cannot fail. Values of a foreign key are stored, so that a few
+        of them meet the parents at their scan.
+        """
+        reports = []
+        for name, spec in STORE.items():
+            rows = checks.stored_row_checks(spec)
+            reports.append(checks.observed_report(self.spark, name, rows, seen[name]))
+            if not seen[name]["rows"]:
+                continue
+            new = self._read(name, [run_id])
+            left = [
+                checks.stored_parent_check(
+                    new, column, self._read(parent, [*runs, run_id]), column, scratch.keep
+                )
+                for column, parent in spec.parents.items()
+            ]
+            left += [checks.unique_combination(*columns) for columns in spec.unique_sets]
+            reports.append(checks.check_table(name, new, left))
+        checks.require(reduce(DataFrame.unionByName, reports))
+
+    # ── housekeeping ─────────────────────────────────────────────────────────
+
+    def compact(self) -> str | None:
+        """Merge the small runs into one; None if there is nothing to gain."""
+        return self._committed(self._merge)
+
+    def _merge(self, state: State, run_id: str) -> tuple | None:
+        chosen = to_merge(state.runs)
+        if not chosen:
+            return None
+        names = [r.run_id for r in chosen]
+        for name in STORE:
+            self._read(name, names).write.parquet(self._folder(name, run_id))
+        return sum(r.rows for r in chosen), state.last_id, names
+
+    def clean_up(self, older_than: timedelta = timedelta(days=7)) -> None:
+        """Remove folders that no commit names any more, and old files of the log.
+
+        ``older_than`` must exceed the longest load and the longest query: a run that is
+        being written, or read since before it was replaced, looks the same.
+        """
+        before = time.time() - older_than.total_seconds()
+        live = {f"{_RUN}{name}" for name in self.committed_runs()}
+        for table in STORE:
+            for folder, changed in list_folder(self.spark, f"{self.root}/{table}"):
+                if folder.startswith(_RUN) and folder not in live and changed < before:
+                    delete_folder(self.spark, f"{self.root}/{table}/{folder}")
+        self.log.trim(before)
 
 
 def load_store(silver: DataFrame, root: str) -> DataFrame:

@@ -180,3 +180,43 @@ def test_movement_is_stored_in_customer_order(spark, raw, scratch):
     assert all(keys == sorted(keys) for keys in files.values())
     in_order = sorted(files.values())
     assert all(a[-1] < b[0] for a, b in zip(in_order, in_order[1:]))
+
+
+def test_row_checks_of_stored_tables_cost_no_scan(spark, raw, scratch):
+    """Counted while the tables were written: each file scan left serves a uniqueness check."""
+    lines = [dict(InvoiceNo=f"A{i}", CustomerID=f"C{i % 3}") for i in range(9)]
+    lines += [dict(InvoiceNo="B1", UnitPrice="200001", Country=None), dict(InvoiceNo="B2", Description=None)]
+    countries = spark.createDataFrame([(1, "de", "Germany")], "id int, alpha2 string, en string")
+    with Warehouse(scratch.keep(raw(*lines), "raw"), countries) as shop:
+        report = shop.check_report()
+        text = report._jdf.queryExecution().executedPlan().toString()
+        declared = shop._checks()
+        unique = [c for found in declared.values() for c in found if isinstance(c, checks.UniqueCheck)]
+        # One more for the raw rows, which were not written here.
+        assert text.count("FileScan") == len(unique) + 1
+        scanned = checks.check_report(
+            {"raw_ecommerce": (shop.raw, checks.raw_checks())}
+            | {name: (getattr(shop, name), found) for name, found in declared.items()}
+        )
+        assert rows(report) == rows(scanned) and report.count() == 85
+        failed = {(r.table_name, r.column_name) for r in report.filter("NOT passed").collect()}
+        assert ("silver_ecommerce", "country") in failed and ("fact_sales", "total_price") in failed
+
+
+def test_row_checks_share_the_scan_of_a_uniqueness_check(spark, scratch):
+    df = scratch.keep(
+        spark.createDataFrame(
+            [(1, None), (1, "x"), (None, "yy"), (None, None), (2, "z")], "k int, v string"
+        ),
+        "t",
+    )
+    declared = [checks.unique("k"), checks.not_null("v"), checks.max_length("v", 1),
+                checks.unique_combination("k", "v"), checks.not_null("k")]
+    report = checks.check_table("t", df, declared)
+    assert rows(report, "check_name", "column_name", "violations") == [
+        ("max_length", "v", 1), ("not_null", "k", 2), ("not_null", "v", 2),
+        ("unique", "k", 1), ("unique_combination", "k, v", 0),
+    ]
+    assert report._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+    empty = checks.check_table("t", df.limit(0), declared)
+    assert {r.violations for r in empty.collect()} == {0}

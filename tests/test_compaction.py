@@ -1,0 +1,157 @@
+"""The store's log and the merging of its runs."""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+import time
+import uuid
+
+import pytest
+
+from conftest import rows
+from ledgerloom import commit_log
+from ledgerloom.commit_log import CommitLog, Run
+from ledgerloom.schemas import STORE
+from ledgerloom.store import Store, to_merge
+
+
+@pytest.fixture
+def log(spark, scratch):
+    return CommitLog(spark, scratch.path("log"))
+
+
+def customer(silver_rows, i):
+    return silver_rows(
+        dict(invoice_no=f"INV{i}", stock_code="SKU", customer_id=f"C{i % 7}", quantity=i + 1)
+    )
+
+
+def local(path):
+    return path.removeprefix("file:")
+
+
+def test_readers_of_a_long_log_open_few_files(spark, log, monkeypatch):
+    """1,000 loads, merged as the store does it."""
+    for i in range(1000):
+        state = log.state() if i % 50 == 0 else state  # noqa: F821
+        run = Run(f"run{i}", 3)
+        assert log.add(state, run, i)
+        state = state.after(run, i, ())
+        if len(state.runs) > 16:
+            chosen = to_merge(state.runs)
+            names, merged = [r.run_id for r in chosen], Run(f"merge{i}", sum(r.rows for r in chosen))
+            assert log.add(state, merged, i, names)
+            state = state.after(merged, i, names)
+    opened = []
+    read = commit_log.read_file
+    monkeypatch.setattr(commit_log, "read_file", lambda s, p: opened.append(p) or read(s, p))
+    found = log.state()
+    assert found == state and len(opened) <= 1 + commit_log.CHECKPOINT_EVERY
+    assert sum(r.rows for r in found.runs) == 3000 and found.last_id == 999
+    assert len(found.runs) <= 17
+    log.trim(time.time() + 60)
+    assert log.state() == state
+    assert len(os.listdir(local(log.folder))) <= 2 * (2 + commit_log.CHECKPOINT_EVERY)
+
+
+def test_merging_leaves_large_runs_alone():
+    runs = (Run("big", 10_000), Run("a", 3), Run("b", 4), Run("c", 5))
+    assert {r.run_id for r in to_merge(runs)} == {"a", "b", "c"}
+    assert to_merge((Run("big", 10_000), Run("a", 3))) == []
+    assert len(to_merge(tuple(Run(str(i), 0) for i in range(5)))) == 5
+
+
+def test_a_gap_or_a_damaged_commit_raises(spark, log):
+    state = log.state()
+    log.add(state, Run("a", 1), 1)
+    log.add(log.state()._replace(seq=2), Run("c", 1), 1)
+    with pytest.raises(ValueError, match="without commit 1"):
+        log.state()
+    with open(f"{local(log.folder)}/000000000001.json", "w") as f:
+        f.write('{"seq": 1, "run')
+    with pytest.raises(ValueError, match="malformed"):
+        log.state()
+
+
+def test_a_commit_being_written_is_not_read(spark, log):
+    log.add(log.state(), Run("a", 1), 1)
+    open(f"{local(log.folder)}/000000000001.json", "w").close()
+    assert log.state().names == ["a"]
+    assert not log.add(log.state(), Run("b", 1), 1)
+
+
+def test_compaction_keeps_rows_and_earlier_readers(spark, silver_rows, scratch):
+    store = Store(spark, scratch.path("store"))
+    for i in range(4):
+        store.load(customer(silver_rows, i))
+    before = {t: rows(store.table(t)) for t in STORE}
+    reader = store.table("order_items")  # planned, not run
+    merged = store.compact()
+    assert store.committed_runs() == [merged]
+    assert {t: rows(store.table(t)) for t in STORE} == before
+    assert rows(reader) == before["order_items"]
+    assert store.compact() is None
+    # Loads continue the ids, find what is stored, and the check report holds.
+    store.load(customer(silver_rows, 2))
+    store.load(customer(silver_rows, 9))
+    assert max(r.id for r in store.table("order_items").collect()) == 5
+    assert store.check_report().filter("NOT passed").isEmpty()
+
+
+def test_many_loads_merge_by_themselves(spark, silver_rows, scratch):
+    store = Store(spark, scratch.path("store"), most_runs=2)
+    for i in range(5):
+        store.load(customer(silver_rows, i))
+    assert len(store.committed_runs()) <= 3
+    assert store.table("order_items").count() == 5
+
+
+def test_a_load_that_meets_a_compaction_starts_again(spark, silver_rows, scratch, monkeypatch):
+    store = Store(spark, scratch.path("store"))
+    for i in range(2):
+        store.load(customer(silver_rows, i))
+    commit = Store._commit
+
+    def overtaken(self, *line):
+        monkeypatch.setattr(Store, "_commit", commit)
+        assert Store(spark, store.root).compact()
+        return commit(self, *line)
+
+    monkeypatch.setattr(Store, "_commit", overtaken)
+    store.load(customer(silver_rows, 5))
+    assert len(store.committed_runs()) == 2
+    assert [r.id for r in store.table("order_items").orderBy("id").collect()] == [1, 2, 3]
+
+
+def test_a_compaction_that_meets_a_load_starts_again(spark, silver_rows, scratch, monkeypatch):
+    store = Store(spark, scratch.path("store"))
+    for i in range(2):
+        store.load(customer(silver_rows, i))
+    commit = Store._commit
+
+    def overtaken(self, *line):
+        monkeypatch.setattr(Store, "_commit", commit)
+        Store(spark, store.root).load(customer(silver_rows, 5))
+        return commit(self, *line)
+
+    monkeypatch.setattr(Store, "_commit", overtaken)
+    merged = store.compact()
+    assert store.committed_runs() == [merged]
+    assert store.table("order_items").count() == 3
+
+
+def test_clean_up_removes_what_no_commit_names(spark, silver_rows, scratch):
+    store = Store(spark, scratch.path("store"))
+    for i in range(3):
+        store.load(customer(silver_rows, i))
+    merged = store.compact()
+    spark.range(1).write.parquet(f"{store.root}/orders/run_id={uuid.uuid4().hex}")
+    store.clean_up(dt.timedelta(hours=1))
+    assert len(os.listdir(local(f"{store.root}/orders"))) > 1  # all of it is too young
+    store.clean_up(dt.timedelta(seconds=-60))
+    for table in STORE:
+        assert os.listdir(local(f"{store.root}/{table}")) == [f"run_id={merged}"]
+    assert store.table("order_items").count() == 3
+    store.load(customer(silver_rows, 1))
+    assert store.table("order_items").count() == 3

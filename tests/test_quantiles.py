@@ -1,0 +1,128 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from conftest import plan, rows
+from ledgerloom.operators import bucket_ends, place, quantiles
+from ledgerloom.plans import marts
+
+SCHEMA = "snapshot_month int, customer_id string, days int, orders long, spend double"
+MEASURES = ["days", "orders", "spend"]
+NAN, INF = float("nan"), float("inf")
+
+
+def by_window(base, buckets):
+    """The last place of each bucket but the highest, from NTILE over sorted groups."""
+    out = []
+    for i, m in enumerate(MEASURES):
+        order = Window.partitionBy("snapshot_month").orderBy(
+            F.col(m).asc_nulls_last(), "customer_id"
+        )
+        whole = Window.partitionBy("snapshot_month")
+        tiles = base.select(
+            "snapshot_month",
+            F.ntile(buckets).over(order).alias("tile"),
+            F.count("*").over(whole).alias("n"),
+            F.row_number().over(order).alias("r"),
+            place(F.col(m).cast("double"), F.col("customer_id")).alias("place"),
+        )
+        last = tiles.groupBy("snapshot_month", "tile", "n").agg(F.max_by("place", "r"), F.max("r"))
+        for month, _, n, p, r in last.collect():
+            if r < n:
+                out.append((month, i, str(p)))
+    return sorted(out)
+
+
+def found(base, buckets, scratch):
+    ends = bucket_ends(base, "snapshot_month", "customer_id", MEASURES, buckets, scratch)
+    return sorted((m, i, str(p)) for m, i, p in ends.collect())
+
+
+def made(seed, months=4, customers=400):
+    rng = random.Random(seed)
+    odd = [None, NAN, INF, 0.0, 1e-15, 1e-12, 9.99, 10.0, 99.99999, 100.0, 1e38, 5e39, 0.1 + 0.2]
+    out = []
+    for month in range(months):
+        for c in range(rng.choice([1, 3, 5, 6, customers])):
+            spend = rng.choice(odd) if rng.random() < 0.3 else round(rng.lognormvariate(4, 2), 2)
+            days = None if rng.random() < 0.05 else rng.randint(20110101, 20110128)
+            out.append((month, f"{rng.choice('ABéz')}{c}", days, rng.choice([1, 1, 1, 2, 3, 9]), spend))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("buckets", [2, 5])
+def test_ends_equal_those_of_sorted_groups(spark, scratch, seed, buckets):
+    base = scratch.keep(spark.createDataFrame(made(seed), SCHEMA), "base")
+    assert found(base, buckets, scratch) == by_window(base, buckets)
+
+
+def test_one_value_for_all_and_no_rows(spark, scratch):
+    same = scratch.keep(
+        spark.createDataFrame([(1, f"CUST{i:05}", 7, 1, 2.5) for i in range(333)], SCHEMA), "same"
+    )
+    assert found(same, 5, scratch) == by_window(same, 5)
+    assert found(scratch.keep(same.limit(0), "none"), 5, scratch) == []
+
+
+def test_brackets_keep_the_order_of_values(spark):
+    values = sorted(
+        {float(f"{m}e{p}") for p in range(-16, 42) for m in (1, 1.0000001, 2.5, 9.99, 9.999999999)}
+    ) + [INF, NAN, None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    pair = F.struct(
+        quantiles._bracket(F.col("v"), False), quantiles._finer(F.col("v"), F.lit(""), False)
+    )
+    order = Window.orderBy("i")
+    falls = df.select("i", pair.alias("b")).select(
+        (F.col("b") < F.lag("b").over(order)).alias("falls")
+    )
+    assert falls.filter("falls").isEmpty()
+    # Neither kind of bracket holds many of the values.
+    assert df.select(quantiles._bracket(F.col("v"), False)).distinct().count() > 140
+
+
+def test_few_rows_are_put_in_order(spark, scratch, monkeypatch):
+    rng = random.Random(1)
+    base = scratch.keep(
+        spark.createDataFrame(
+            [
+                (m, str(rng.randrange(10**8)), rng.randint(1, 300), rng.randint(1, 9), rng.random() * 500)
+                for m in range(2)
+                for _ in range(4000)
+            ],
+            SCHEMA,
+        ),
+        "base",
+    )
+    ordered = []
+
+    def counted(df, *args, real=quantiles.ranked, **kwargs):
+        ordered.append(df.count())
+        return real(df, *args, **kwargs)
+
+    monkeypatch.setattr(quantiles, "ranked", counted)
+    assert found(base, 5, scratch) == by_window(base, 5)
+    assert len(ordered) == 1 and ordered[0] < 0.01 * 3 * base.count()
+
+
+def test_scores_sort_no_customer_months(spark, scratch):
+    base = scratch.keep(
+        spark.createDataFrame(
+            [(f"C{i}", 1, i % 28, i % 7, float(i * i)) for i in range(200)],
+            "customer_id string, snapshot_month int, most_recent_order int, "
+            "number_of_orders long, total_spent double",
+        ),
+        "base",
+    )
+    scored = marts.score(base, scratch)
+    assert "Sort" not in plan(scored)
+    tiles = [
+        F.ntile(5).over(Window.partitionBy("snapshot_month").orderBy(m, "customer_id")).alias(c)
+        for c, m in marts.SCORED.items()
+    ]
+    assert rows(scored, *base.columns, *marts.SCORED) == rows(base.select("*", *tiles))

@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from conftest import plan, rows
 from ledgerloom.operators import absent_rows, first_per_key
-from ledgerloom.plans import gold, marts, normalised
+from ledgerloom.plans import checks, gold, marts, normalised
 from ledgerloom.scratch import Scratch, shared_folder
 from ledgerloom.session import shuffle_pieces
 from ledgerloom.sources import default_countries
+from ledgerloom.store import Store
 
 FOLDER = "/root/testdata/sf0.001"
 has_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no sample tables")
@@ -191,3 +192,34 @@ def test_only_keys_of_a_small_batch_leave_the_store(spark, scratch):
     assert "BroadcastHashJoin" in below and "LeftSemi" in below
     stored_scan = below[: below.rindex("LeftSemi")]
     assert "hashpartitioning" not in stored_scan
+
+
+def test_parents_meet_the_values_of_a_batch_at_their_scan(spark, scratch):
+    """Keys of a large parent that no child row names reach no shuffle."""
+    parent = scratch.keep(spark.range(5000).select(F.col("id").alias("k")), "parent")
+    child = scratch.keep(spark.range(4990, 5010).select(F.col("id").alias("k")), "child")
+    check = checks.stored_parent_check(child, "k", parent, "k", scratch.keep)
+    report = checks.check_table("child", child, [check])
+    assert rows(report, "violations") == [(10,)]
+    text = plan(report)
+    below = text[text.index("LeftAnti") :]
+    semi = below.index("LeftSemi")
+    assert "BroadcastHashJoin" in below[semi - 200 : semi]
+    assert "Exchange hashpartitioning" not in below[semi : below.index("BroadcastExchange", semi)]
+
+
+def test_a_load_broadcasts_its_foreign_keys(spark, four_lines, scratch, monkeypatch):
+    store = Store(spark, scratch.path("store"))
+    store.load(four_lines.filter("invoice_no = 'INV001'"))
+    plans = []
+
+    def seen(table, df, declared, real=checks.check_table):
+        plans.extend(plan(c.parent.join(c.values, c.parent[c.parent_key] == c.values["value"],
+                                        "left_semi"))
+                     for c in declared if isinstance(c, checks.ParentCheck))
+        return real(table, df, declared)
+
+    monkeypatch.setattr(checks, "check_table", seen)
+    store.load(four_lines)
+    assert len(plans) == 3
+    assert all("BroadcastHashJoin" in p and "hashpartitioning" not in p for p in plans)
