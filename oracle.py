@@ -237,7 +237,6 @@ _QUERIES = {
     "month_spine": "SELECT * FROM months",
     "rfm_base": "SELECT * FROM rfm_base",
     "rfm_snapshot": "SELECT * FROM rfm_snapshot",
-    "rfm_snapshot_split": "SELECT * FROM rfm_snapshot",
     "rfm_movement": "SELECT * FROM rfm_movement",
     "tnf_customers": "SELECT * FROM tnf_customers",
     "tnf_products": "SELECT * FROM tnf_products",
@@ -276,7 +275,10 @@ _QUERIES = {
         SELECT CASE WHEN UnitPrice IS NULL
             THEN {_fields("InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate")}
             ELSE {_fields("InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate",
-                          "UnitPrice", "CustomerID", "Country")} || ',extra' END AS line
+                          "UnitPrice", "CustomerID", "Country")} || ',extra' END AS line,
+            CASE WHEN UnitPrice IS NULL THEN 'short' ELSE 'long' END AS folder,
+            CAST(CASE WHEN UnitPrice IS NULL THEN 5 ELSE 9 END AS INTEGER) AS fields,
+            CASE WHEN UnitPrice IS NULL THEN 'too few fields' ELSE 'too many fields' END AS reason
         FROM bronze WHERE {BAD_CSV}""",
     "raw_csv_counts": f"""
         SELECT count(*) FILTER (WHERE NOT coalesce({BAD_CSV}, false)) AS loaded,

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 
 from conftest import rows
 from ledgerloom.schemas import RAW_COLUMNS
+from ledgerloom.sources import raw_csv
 from ledgerloom.sources import append_raw, default_countries, load_raw, read_countries, scan_raw
 
 HEADER = ",".join(RAW_COLUMNS)
@@ -95,3 +98,68 @@ def test_countries(spark, tmp_path):
     ]
     write(tmp_path / "in", "c.csv", "id,alpha2,en", '1,aa,"A, of"', "2,bb,B")
     assert rows(read_countries(spark, str(tmp_path / "in"))) == [(1, "aa", "A, of"), (2, "bb", "B")]
+
+
+def test_rejected_lines_say_where_they_come_from(spark, tmp_path, scratch):
+    folder = tmp_path / "in"
+    write(folder, "a.csv", HEADER, GOOD, "536366,short", GOOD + ",long")
+    write(folder, "b.csv", HEADER, '1,"a, ""b"", c",x', GOOD)
+    load = load_raw(spark, str(folder), scratch.path("bronze"))
+    found = load.rejections.collect()
+    assert sorted((r.file.rsplit("/", 1)[1], r.fields, r.reason, r.line) for r in found) == [
+        ("a.csv", 2, "too few fields", "536366,short"),
+        ("a.csv", 9, "too many fields", GOOD + ",long"),
+        ("b.csv", 3, "too few fields", '1,"a, ""b"", c",x'),
+    ]
+    assert {r.block_start for r in found} == {0}
+    by_file = load.rejections_by_file().collect()
+    assert sorted((r.file.rsplit("/", 1)[1], r.reason, r.lines) for r in by_file) == [
+        ("a.csv", "too few fields", 1), ("a.csv", "too many fields", 1),
+        ("b.csv", "too few fields", 1),
+    ]
+    appended = append_raw(spark, str(folder), scratch.path("other"))
+    assert rows(appended.rejections, "fields") == [(2,), (3,), (9,)]
+
+
+def test_of_two_appends_at_once_each_file_is_loaded_once(spark, tmp_path, scratch, monkeypatch):
+    target, folder = scratch.path("bronze"), tmp_path / "in"
+    write(folder, "a.csv", HEADER, GOOD)
+    write(folder, "b.csv", HEADER, GOOD, GOOD)
+    create = raw_csv.create_file
+    overtaken = []
+
+    def late(spark_, path, content):
+        """Just before the first load is listed, another one loads the same files, and a
+        third file appears."""
+        monkeypatch.setattr(raw_csv, "create_file", create)
+        overtaken.append(rows(append_raw(spark, str(folder), target).counts()))
+        write(folder, "c.csv", HEADER, GOOD, "536366,short")
+        return create(spark_, path, content)
+
+    monkeypatch.setattr(raw_csv, "create_file", late)
+    load = append_raw(spark, str(folder), target)
+    assert overtaken == [[(3, 0)]]
+    assert rows(load.counts()) == [(4, 1)]
+    lists = sorted(p.name for p in Path(target.removeprefix("file:"), "lists").glob("0*.json"))
+    assert lists == ["000000000000.json", "000000000001.json"]
+    loads = list(Path(target.removeprefix("file:"), "loads").glob("load=*"))
+    assert len(loads) == 2  # the overtaken load left nothing
+
+
+def test_an_append_whose_list_raised_but_is_there_stands(spark, tmp_path, scratch, monkeypatch):
+    target, folder = scratch.path("bronze"), tmp_path / "in"
+    write(folder, "a.csv", HEADER, GOOD)
+    create = raw_csv.create_file
+
+    def lost_answer(*line):
+        create(*line)
+        raise ConnectionError
+
+    monkeypatch.setattr(raw_csv, "create_file", lost_answer)
+    assert rows(append_raw(spark, str(folder), target).counts()) == [(1, 0)]
+    monkeypatch.setattr(raw_csv, "create_file", lambda *_: 1 / 0)
+    write(folder, "b.csv", HEADER, GOOD)
+    with pytest.raises(ZeroDivisionError):
+        append_raw(spark, str(folder), target)
+    monkeypatch.undo()
+    assert rows(append_raw(spark, str(folder), target).counts()) == [(2, 0)]
