@@ -13,7 +13,9 @@ broadcast while it has at most ``BROADCAST_ROWS`` rows; a larger one is joined b
 Null text has no words; a document without words is not contaminated. Copies of a text
 share one key until the end and each gets its own result row. Items that share an id count
 as one; an item without an id marks words but is not listed. An empty benchmark leaves
-every document clean. All columns of the documents are carried in ``row``.
+every document clean. All columns of the documents are carried in ``row``. Of equally rare
+shingles of a window the one with the smaller hash joins. Texts of any length are read
+whole. No documents give no rows.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@
 
 Sets are compared as 60-bit hashes. Null text, or text without words, has an empty set and
 no links. Repeated rows are copies, linked when not empty. Rows with a null id take part but
-cannot name a component. Only ``doc_id`` and ``text`` are read.
+cannot name a component. Only ``doc_id`` and ``text`` are read. A text of any length is
+hashed whole in one task. An empty table gives no rows.
 """
 
 from __future__ import annotations

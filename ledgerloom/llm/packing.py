@@ -8,7 +8,8 @@ the cut-off rest seeds the next window, by the ids it holds. A document longer t
 first fills whole windows by itself, whether or not another window is open. The window open at the end of a task is cut into powers of two, so
 nothing is padded.
 
-Every id lies in exactly one piece. Null text is an empty document of one closing id.
+Of pieces with equal BM25 scores the earlier one comes first; which of them make the last
+places of one search is left open, but the same at every run. Every id lies in exactly one piece. Null text is an empty document of one closing id.
 Sequence ids are unique across tasks and the same when a task runs again. Repeated rows are
 packed as often as they occur; only ``doc_id`` and ``text`` are read. Empty input gives no
 rows.

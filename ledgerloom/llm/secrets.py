@@ -8,7 +8,8 @@ scans every text. Texts meet their candidates by key, so copies share postings.
 
 Spans are code points, end exclusive, leftmost and non-overlapping per kind. Null text
 counts as empty. Every input row is kept with all its columns, repeated ones too. The key is
-a hash: two texts sharing one would only be searched for each other's rules.
+a hash: two texts sharing one would only be searched for each other's rules. Texts of any
+length are searched whole, each in one task. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ probabilities by an isotonic fit on the examples' own leave-one-out votes.
 Whole texts are read, long ones in slices. Null or empty text, or text without a known
 term, has no neighbours and gets the probability of no votes. Rows with a null label or id
 teach nothing; without both classes every score is 0. Repeated rows are scored alike. Only
-``doc_id`` and ``text`` (and ``toxic`` for learning) are read; ids are never scored.
+``doc_id`` and ``text`` (and ``toxic`` for learning) are read; ids are never scored. Of
+examples as close as the k-th the first in index order counts. No documents give no rows.
 """
 
 from __future__ import annotations

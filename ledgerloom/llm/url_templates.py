@@ -12,7 +12,8 @@ url they keep the corpus-wide share.
 Counting starts from distinct (host, path) pairs, combined before each shuffle, so a hot
 host costs one row per node. A null url, or one without ``://``, has empty host and path,
 fits no rule and is allowed. Repeated urls count as often as they occur. Paths deeper than
-``DEPTH`` segments share one tail wildcard: they are judged by their first segments.
+``DEPTH`` segments share one tail wildcard: they are judged by their first segments. Urls of
+any length are taken whole. Extra columns are not read. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ text, titles and outlinks are decoded, row by row in Python. Blocks get digests
 Null url: no target header. Null payload: empty text. A response whose HTTP type is not
 ``text/...`` has a metadata record only. Identifiers are computed from the response's, so
 runs agree and repeated responses give repeated records. Extra columns are not read. Each
-response is handled alone: no row moves.
+response is handled alone: no row moves. A page of any length is one row of a task, which
+holds it and its text whole. An empty table gives no records.
 """
 
 from __future__ import annotations
