@@ -132,7 +132,6 @@ def bucket_ends(
                         F.lit(i).alias("measure"),
                         F.col(m).cast("double").alias("value"),
                         _bracket(F.col(m), kinds[m]).alias("bracket"),
-                        _finer(F.col(m), name, kinds[m]).alias("finer"),
                     )
                     for i, m in enumerate(measures)
                 ]
@@ -148,9 +147,16 @@ def bucket_ends(
         _holding(long.groupBy(*coarse, "bracket").agg(count), coarse, "bracket", ends), "brackets"
     )
     fine = [*coarse, "bracket"]
-    found = long.join(wanted, fine).groupBy(*fine, "finer", "ends").agg(count)
+    # Finer brackets of the rows that are left only.
+    whole = F.lit(False)
+    for i, m in enumerate(measures):
+        whole = whole | ((F.col("measure") == i) & F.lit(kinds[m]))
+    value, text = F.col("value"), F.col("key")
+    finer = F.when(whole, _finer(value, text, True)).otherwise(_finer(value, text, False))
+    held = long.join(wanted, fine).withColumn("finer", finer)
+    found = held.groupBy(*fine, "finer", "ends").agg(count)
     wanted = scratch.keep(_holding(found, fine, "finer", F.col("ends")), "finer_brackets")
-    few = long.join(wanted.drop("ends"), [*fine, "finer"])
+    few = held.drop("ends").join(wanted.drop("ends"), [*fine, "finer"])
     placed = ranked(
         few.select(*fine, "finer", "value", "key"), ["value", "key"], scratch, within=[*fine, "finer"]
     )
