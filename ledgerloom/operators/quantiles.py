@@ -2,17 +2,21 @@
 
 Sorting every row to learn where four buckets end moves all rows to keep a handful. Here
 rows are counted per bracket of values first, combined on the map side: whole numbers are
-brackets of their own, other numbers share one with those of the same leading digits. The
+brackets of their own, other numbers share one with those of the same leading bits. The
 cumulated counts tell which bracket holds each end. Rows of those brackets are counted again
-by finer ones: further digits, or for tied whole numbers the first characters of the key that
+by finer ones: further bits, or for tied whole numbers the first characters of the key that
 breaks ties. Only rows of a finer bracket that holds an end are put in order, by ``ranked``,
 which spreads any number of them over tasks. Every step compares exactly, so ends are exact
 however values are spread; brackets only decide how many rows are ordered.
+
+Each measure is counted by itself, over plain columns: a scan then reads two of them, and no
+row is repeated or packed into a struct on its way into the counts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,10 +25,11 @@ from pyspark.sql import types as T
 from ledgerloom.operators.ranking import ranked
 from ledgerloom.scratch import Scratch
 
-# Brackets of numbers that are not whole: by power of ten, and within one by this many steps.
-POWERS = range(-12, 40)
-STEPS, FINER_STEPS = 1_000, 10_000_000
-PREFIX = 4
+# Leading bits that numbers of one bracket share, if they are not whole.
+BITS, FINER_BITS = 10, 24
+# Beyond this, cutting bits could overflow.
+_LARGEST = 1e290
+PREFIX = 3
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
@@ -37,72 +42,49 @@ def place(value: Column, key: Column) -> Column:
     )
 
 
-def _power(value: Column) -> Column:
-    """The number of the last power of ten not above the value, from 1; 0 below all.
+def _rounded(value: Column, bits: int) -> Column:
+    """The nearest number of so many bits (Veltkamp); rounding never changes an order.
 
-    The logarithm is a guess, put right by comparing: only comparisons keep the order.
+    Very large numbers share one bracket by sign, NaN stays NaN.
     """
-    powers = F.array(*[F.lit(float(f"1e{p}")) for p in POWERS])
-    last = len(POWERS)
-    logarithm = F.least(F.greatest(F.log10(value), F.lit(-400.0)), F.lit(400.0))
-    guess = F.floor(logarithm).cast("int") - POWERS[0] + 1
-    guess = F.least(F.greatest(guess, F.lit(1)), F.lit(last))
-    above = F.element_at(powers, F.least(guess + 1, F.lit(last)))
+    far = value * float(2 ** (53 - bits) + 1)
+    near = far - (far - value)
     return (
-        F.when(value < float(f"1e{POWERS[0]}"), 0)
-        .when(value >= float(f"1e{POWERS[-1]}"), last)
-        .when(value < F.element_at(powers, guess), guess - 1)
-        .when(value >= above, guess + 1)
-        .otherwise(guess)
+        F.when(F.isnan(value), value)
+        .when(value >= _LARGEST, _LARGEST)
+        .when(value <= -_LARGEST, -_LARGEST)
+        .otherwise(near)
     )
 
 
-def _step(value: Column, power: Column, steps: int) -> Column:
-    """Even steps within a power of ten; division rounds, but never changes an order."""
-    powers = F.array(*[F.lit(float(f"1e{p}") * 10 / steps) for p in POWERS])
-    inside = (power > 0) & (power < len(POWERS))
-    size = F.element_at(powers, F.least(F.greatest(power, F.lit(1)), F.lit(len(POWERS))))
-    return F.when(inside, F.floor(value / size)).otherwise(0)
-
-
 def _bracket(value: Column, whole: bool) -> Column:
     """Ordered like the values, null and then NaN last."""
     number = value.cast("double")
-    if whole:
-        power, step = F.lit(0), F.coalesce(value.cast("long"), F.lit(0))
-    else:
-        plain = F.when(F.isnan(number) | value.isNull(), F.lit(0.0)).otherwise(number)
-        power = F.when(F.isnan(number), len(POWERS) + 1).otherwise(_power(plain))
-        step = _step(plain, power, STEPS)
-    return F.struct(
-        value.isNull().alias("missing"),
-        F.when(value.isNull(), 0).otherwise(power).cast("int").alias("power"),
-        F.when(value.isNull(), 0).otherwise(step).cast("long").alias("step"),
-    )
+    step = number if whole else _rounded(number, BITS)
+    return F.struct(value.isNull().alias("missing"), F.coalesce(step, F.lit(0.0)).alias("step"))
 
 
 def _finer(value: Column, key: Column, whole: bool) -> Column:
     """A finer bracket within a bracket, ordered like (value, key)."""
     if whole:
-        return F.struct(F.lit(0).cast("long").alias("step"), F.substring(key, 1, PREFIX).alias("key"))
-    number = F.when(F.isnan(value) | value.isNull(), F.lit(0.0)).otherwise(value.cast("double"))
-    step = _step(number, _power(number), FINER_STEPS).cast("long")
-    return F.struct(step.alias("step"), F.lit("").alias("key"))
+        return F.struct(F.lit(0.0).alias("part"), F.substring(key, 1, PREFIX).alias("prefix"))
+    part = F.coalesce(_rounded(value.cast("double"), FINER_BITS), F.lit(0.0))
+    return F.struct(part.alias("part"), F.lit("").alias("prefix"))
 
 
-def _holding(counts: DataFrame, within: list[str], by: str, ends: Column) -> DataFrame:
+def _holding(counts: DataFrame, within: list[str], by: list[str], ends: Column) -> DataFrame:
     """Brackets that hold one of the ``ends``, which become places within the bracket.
 
     ``ends`` may use ``group_rows``, the rows of the whole group.
     """
     group = Window.partitionBy(*within)
-    before = group.orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    before = group.orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
     here = counts.withColumn("before", F.coalesce(F.sum("rows").over(before), F.lit(0))).withColumn(
         "group_rows", F.sum("rows").over(group)
     )
     inside = F.transform(ends, lambda e: e - F.col("before"))
     inside = F.filter(inside, lambda e: (e > 0) & (e <= F.col("rows")))
-    return here.withColumn("ends", inside).filter(F.size("ends") > 0).select(*within, by, "ends")
+    return here.withColumn("ends", inside).filter(F.size("ends") > 0).select(*within, *by, "ends")
 
 
 def bucket_ends(
@@ -121,47 +103,57 @@ def bucket_ends(
     kinds: Mapping[str, bool] = {
         m: isinstance(rows.schema[m].dataType, _WHOLE) for m in measures
     }
+    coarse, brackets, finer = ["grp", "measure"], ["missing", "step"], ["part", "prefix"]
+    fine = [*coarse, *brackets]
+
+    def of(measure: str, *parts: Column) -> DataFrame:
+        """A measure's rows in flat columns, so that a scan reads no others."""
+        number = F.lit(measures.index(measure)).alias("measure")
+        return rows.select(F.col(group).alias("grp"), number, *parts)
+
+    def flat(struct: Column, names: list[str]) -> list[Column]:
+        return [struct.getField(n).alias(n) for n in names]
+
     name = F.col(key).cast("string")
-    long = rows.select(
-        F.col(group).alias("grp"),
-        name.alias("key"),
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("measure"),
-                        F.col(m).cast("double").alias("value"),
-                        _bracket(F.col(m), kinds[m]).alias("bracket"),
-                    )
-                    for i, m in enumerate(measures)
-                ]
-            )
-        ),
-    )
     count = F.count("*").alias("rows")
     size, extra = F.floor(F.col("group_rows") / buckets), F.col("group_rows") % buckets
     last = [F.lit(b) * size + F.least(F.lit(b), extra) for b in range(1, buckets)]
     ends = F.array_distinct(F.filter(F.array(*last), lambda e: (e > 0) & (e < F.col("group_rows"))))
-    coarse = ["grp", "measure"]
-    wanted = scratch.keep(
-        _holding(long.groupBy(*coarse, "bracket").agg(count), coarse, "bracket", ends), "brackets"
-    )
-    fine = [*coarse, "bracket"]
+    counts = [
+        of(m, *flat(_bracket(F.col(m), kinds[m]), brackets)).groupBy(*fine).agg(count)
+        for m in measures
+    ]
+    counts = reduce(DataFrame.unionByName, counts)
+    wanted = scratch.keep(_holding(counts, coarse, brackets, ends), "brackets")
+
     # Finer brackets of the rows that are left only.
-    whole = F.lit(False)
-    for i, m in enumerate(measures):
-        whole = whole | ((F.col("measure") == i) & F.lit(kinds[m]))
-    value, text = F.col("value"), F.col("key")
-    finer = F.when(whole, _finer(value, text, True)).otherwise(_finer(value, text, False))
-    held = long.join(wanted, fine).withColumn("finer", finer)
-    found = held.groupBy(*fine, "finer", "ends").agg(count)
-    wanted = scratch.keep(_holding(found, fine, "finer", F.col("ends")), "finer_brackets")
-    few = held.drop("ends").join(wanted.drop("ends"), [*fine, "finer"])
-    placed = ranked(
-        few.select(*fine, "finer", "value", "key"), ["value", "key"], scratch, within=[*fine, "finer"]
-    )
+    placed = [
+        of(
+            m,
+            *flat(_bracket(F.col(m), kinds[m]), brackets),
+            *flat(_finer(F.col(m), name, kinds[m]), finer),
+            F.col(m).cast("double").alias("value"),
+            name.alias("key"),
+        )
+        for m in measures
+    ]
+    found = [
+        p.join(wanted.filter(F.col("measure") == i).drop("ends"), fine)
+        .groupBy(*fine, *finer)
+        .agg(count)
+        for i, p in enumerate(placed)
+    ]
+    found = reduce(DataFrame.unionByName, found).join(wanted, fine)
+    wanted = scratch.keep(_holding(found, fine, finer, F.col("ends")), "finer_brackets")
+    few = [
+        p.join(wanted.filter(F.col("measure") == i).drop("ends"), [*fine, *finer])
+        for i, p in enumerate(placed)
+    ]
+    # Written: putting rows in order reads them more than once.
+    few = scratch.keep(reduce(DataFrame.unionByName, few), "few")
+    ordered = ranked(few, ["value", "key"], scratch, within=[*fine, *finer])
     return (
-        placed.join(wanted, [*fine, "finer"])
+        ordered.join(wanted, [*fine, *finer])
         .filter(F.array_contains("ends", F.col("rank")))
         .select(
             F.col("grp").alias(group),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -101,18 +103,26 @@ def score(base: DataFrame, scratch: Scratch) -> DataFrame:
     found = bucket_ends(
         base, "snapshot_month", "customer_id", list(SCORED.values()), BUCKETS, scratch
     )
-    ends = found.groupBy("snapshot_month").agg(
+    listed = found.groupBy("snapshot_month").agg(
         *[
-            F.collect_list(F.when(F.col("measure") == i, F.col("place"))).alias(f"{m}_ends")
+            F.collect_list(F.when(F.col("measure") == i, F.col("place"))).alias(m)
             for i, m in enumerate(SCORED.values())
         ]
     )
+    # One column an end: plain comparisons are compiled, functions over arrays are not.
+    ends = listed.select(
+        "snapshot_month",
+        *[F.get(m, F.lit(b)).alias(f"{m}_end{b}") for m in SCORED.values() for b in range(BUCKETS - 1)],
+    )
     # Written, so that its real size decides whether the join below broadcasts it.
     ends = scratch.keep(ends, "bucket_ends")
 
     def bucket(measure: str) -> Column:
         here = place(F.col(measure).cast("double"), F.col("customer_id"))
-        return F.coalesce(F.size(F.filter(f"{measure}_ends", lambda end: end < here)), F.lit(0)) + 1
+        passed = [
+            F.when(F.col(f"{measure}_end{b}") < here, 1).otherwise(0) for b in range(BUCKETS - 1)
+        ]
+        return reduce(Column.__add__, passed) + 1
 
     return base.join(ends, "snapshot_month", "left").select(
         *base.columns, *[bucket(m).alias(name) for name, m in SCORED.items()]

@@ -126,3 +126,49 @@ def test_scores_sort_no_customer_months(spark, scratch):
         for c, m in marts.SCORED.items()
     ]
     assert rows(scored, *base.columns, *marts.SCORED) == rows(base.select("*", *tiles))
+
+
+def test_rows_are_stored_before_they_are_put_in_order(spark, scratch, monkeypatch):
+    """Putting in order reads its rows more than once, to find ranges and to move them."""
+    base = scratch.keep(spark.createDataFrame(made(5), SCHEMA), "base")
+    plans = []
+
+    def seen(df, *args, real=quantiles.ranked, **kwargs):
+        plans.append(plan(df))
+        return real(df, *args, **kwargs)
+
+    monkeypatch.setattr(quantiles, "ranked", seen)
+    assert found(base, 5, scratch) == by_window(base, 5)
+    assert len(plans) == 1 and "Join" not in plans[0]
+
+
+def test_scores_compare_columns_and_call_no_function_over_arrays(spark, scratch):
+    base = scratch.keep(
+        spark.createDataFrame(
+            [(f"C{i}", 1, None if i % 9 == 0 else i % 28, i % 3, float(i % 5 - 2)) for i in range(203)]
+            + [("C1", 2, 5, 1, INF), ("C2", 2, 5, 1, None), ("C1", 3, 1, 1, -INF)],
+            "customer_id string, snapshot_month int, most_recent_order int, "
+            "number_of_orders long, total_spent double",
+        ),
+        "base",
+    )
+    scored = marts.score(base, scratch)
+    assert "lambda" not in plan(scored)
+    tiles = []
+    for c, m in marts.SCORED.items():
+        order = Window.partitionBy("snapshot_month").orderBy(F.col(m).asc_nulls_last(), "customer_id")
+        tiles.append(F.ntile(5).over(order).alias(c))
+    assert rows(scored, *base.columns, *marts.SCORED) == rows(base.select("*", *tiles))
+
+
+def test_brackets_of_negative_and_very_large_numbers_keep_their_order(spark):
+    values = [-INF, -1.7e308, -1e290, -1e289, -10.000001, -10.0, -1e-300, 0.0, 5e-324, 1e-300]
+    values += [1e289, 1e290, 1.7e308, INF, NAN, None]
+    df = spark.createDataFrame(list(enumerate(values)), "i int, v double")
+    pair = F.struct(
+        quantiles._bracket(F.col("v"), False), quantiles._finer(F.col("v"), F.lit(""), False)
+    )
+    falls = df.select("i", pair.alias("b")).select(
+        (F.col("b") < F.lag("b").over(Window.orderBy("i"))).alias("falls")
+    )
+    assert falls.filter("falls").isEmpty()
