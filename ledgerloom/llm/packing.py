@@ -38,7 +38,7 @@ COMMON = 4  # a term held by more than 1/COMMON of a shard's pieces has a full r
 NEIGHBOURS = 16  # taken from one search at least; a window that needs more searches again
 K1, B = 1.2, 0.75
 CACHED_WORDS = 300_000  # of each of two generations
-BLOCK = 1 << 21  # characters encoded at once
+BLOCK = 1 << 19  # characters encoded at once; a task holds some 50 bytes for each
 SEQUENCE_BITS = 40  # sequences a task may number
 
 _BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # the first n bytes

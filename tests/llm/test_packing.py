@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -239,3 +240,21 @@ def test_frequencies_of_the_tokenising_pass(spark, scratch, folder):
         expected[np.unique(ids)] += 1
     assert documents == len(rows) == docs.count()
     assert (found == expected).all() and np.isclose(mean, np.mean([len(i) for i in rows]))
+
+
+def test_many_texts_are_encoded_in_little_memory(tokenizer):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(200)]
+    texts = [" ".join(rng.choices(words, k=700)) for _ in range(800)]
+    encoder = packing.Encoder(PATH)
+    encoder.ids([" ".join(words)])
+    tracemalloc.start()
+    try:
+        ids, sizes = encoder.ids(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 50e6
+    ends = np.cumsum(sizes)
+    for i in (0, 399, 799):
+        assert ids[ends[i] - sizes[i] : ends[i]].tolist() == ids_of(tokenizer, texts[i])[:-1]
