@@ -41,6 +41,11 @@ CACHED_WORDS = 300_000  # of each of two generations
 BLOCK = 1 << 19  # characters encoded at once; a task holds some 50 bytes for each
 SEQUENCE_BITS = 40  # sequences a task may number
 
+_PUNCTUATION = string.punctuation.encode()
+_MARK, _LETTER = (
+    np.isin(np.arange(256), list(letters.encode()))
+    for letters in (string.punctuation, string.ascii_letters)
+)
 _BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # the first n bytes
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
@@ -73,13 +78,20 @@ def _plain(text: str) -> str:
     return text.replace("\n", " ")
 
 
+def _ends_in_letter(stem: bytes) -> bool:
+    """Some letters end in a mark when normalised, which joins what follows."""
+    if stem[-1:].isascii():
+        return stem[-1:].isalpha()
+    return normalize("NFC", stem.decode()[-1:]).lower().isalpha()
+
+
 class Encoder(dict):
     """Token ids of texts, word by word; as a dict, those of the words met so far.
 
     The vocabulary's own splitting never joins characters across a blank or line break, so
     ids of a text are those of its blank-separated words. In a block of texts equal words are
-    found in numpy, by their first 16 bytes and length, and looked up once; longer words one
-    by one. Words met again move on when the memory is full, the others are forgotten.
+    found in numpy, by their first 16 bytes and length, and looked up once by their UTF-8
+    bytes; longer words one by one. Words met again move on when the memory is full, the others are forgotten.
     """
 
     def __init__(self, path: str):
@@ -90,41 +102,53 @@ class Encoder(dict):
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.model = self.tokenizer.model
         self.letters = _ByteLetters()
-        self.earlier: dict[str, bytes] = {}
+        self.earlier: dict[bytes, bytes] = {}
 
     def _spelt(self, word: str) -> str | None:
         """How the model spells a word of letters alone, which is one part to it.
 
-        Only of scripts whose letters all versions of the character tables agree on. A
+        For words beyond ASCII, and only of scripts whose letters all versions of the character tables agree on. A
         capital sigma is lower-cased by its place in Python, but not by the vocabulary.
         """
         if not word.isalpha():
             return None
-        if word.isascii():
-            return word.lower()
         if max(word) > "\u052f" or "\u03a3" in word:
             return None
         low = normalize("NFC", word).lower()
         return low.translate(self.letters) if low.isalpha() else None
 
-    def __missing__(self, word: str) -> bytes:
-        """Words of letters alone go straight to the model, others through normalisation and
-        splitting, too. Closing ASCII punctuation after a letter is a part of its own."""
+    def __missing__(self, word: bytes) -> bytes:
+        """Words, in UTF-8, of letters alone go straight to the model, others through
+        normalisation and splitting, too. Closing ASCII punctuation after a letter is a part
+        of its own."""
         found = self.earlier.get(word)
         if found is None:
-            spelt = self._spelt(word)
-            stem = word if spelt else word.rstrip(string.punctuation)
-            if spelt:
-                found = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
-            # Some letters end in a mark when normalised, which joins the punctuation.
-            elif stem != word and normalize("NFC", stem[-1:]).lower().isalpha():
-                found = self[stem] + self[word[len(stem) :]]
+            if word.isalpha():  # ASCII letters alone
+                found = self._direct(word.lower().decode())
             else:
-                e = self.tokenizer.encode(word, add_special_tokens=False)
-                found = array("I", e.ids).tobytes()
+                stem = word.rstrip(_PUNCTUATION)
+                if len(stem) < len(word) and _ends_in_letter(stem):
+                    found = self[stem] + self[word[len(stem) :]]
+                else:
+                    text = word.decode()
+                    spelt = self._spelt(text)
+                    found = self._direct(spelt) if spelt else self._split(text)
         self[word] = found
         return found
 
+    def __contains__(self, word: object) -> bool:
+        """Whether a word's ids are known, by itself or by the parts it is cut into."""
+        word = word.encode() if isinstance(word, str) else word
+        stem = word.rstrip(_PUNCTUATION)
+        known = super().__contains__
+        return known(word) or stem != word and known(stem) and known(word[len(stem) :])
+
+    def _direct(self, spelt: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
+
+    def _split(self, word: str) -> bytes:
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
     def ids(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Unsigned 32-bit ids of all texts in a row, and how many each text has."""
         out, sizes = [np.zeros(0, "<u4")], np.zeros(len(texts), np.int64)
@@ -147,6 +171,11 @@ class Encoder(dict):
         blank = np.frombuffer(data, np.uint8) == 32
         edges = np.diff(blank.view(np.int8), prepend=1)
         starts, ends = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
+        # One closing mark after an ASCII letter is a part of its own: the word is cut there,
+        # and is looked up as the same word with or without it.
+        codes = np.frombuffer(data, np.uint8)
+        cut = ends[_MARK[codes[ends - 1]] & _LETTER[codes[ends - 2]] & (ends - starts > 1)] - 1
+        starts, ends = np.sort(np.concatenate([starts, cut])), np.sort(np.concatenate([ends, cut]))
         lengths = ends - starts
         eights = np.ndarray((len(data) - 7,), "<u8", data, strides=(1,))
         low = eights[starts] & _BYTES[np.minimum(lengths, 8)]
@@ -161,7 +190,7 @@ class Encoder(dict):
         word[alone] = len(first) + np.arange(len(alone))
         at = np.concatenate([first, alone])
         spans = zip(starts[at].tolist(), ends[at].tolist())
-        found = [self[data[i:j].decode()] for i, j in spans]
+        found = [self[data[i:j]] for i, j in spans]
         size = np.fromiter(map(len, found), np.int64, len(found)) // 4
         flat = np.frombuffer(b"".join(found), "<u4")
         each = size[word]

@@ -258,3 +258,21 @@ def test_many_texts_are_encoded_in_little_memory(tokenizer):
     ends = np.cumsum(sizes)
     for i in (0, 399, 799):
         assert ids[ends[i] - sizes[i] : ends[i]].tolist() == ids_of(tokenizer, texts[i])[:-1]
+
+
+def test_a_closing_mark_makes_no_new_word(tokenizer):
+    """A word is looked up once, whether or not a mark closes it; the ids stay the same."""
+    encoder = packing.Encoder(PATH)
+    words = ["plain", "Grüße", "a", "x-y", "1a", "ab1", "étoile", "a.b", "sixteen-bytes-abc"]
+    plain = " ".join(words)
+    encoder.ids([plain + " , . ; ) "])
+    known = len(encoder)
+    marked = " ".join(w + mark for w in words if w[-1].isalpha() for mark in ",.;)")
+    texts = [marked, "a,b, c.. d! ,, e?! é, É. \u00e9t\u00e9\u0301, (x) ,a", "x,", ",", "x ,"]
+    got = encoder.ids([marked])[0].tolist()
+    assert got == tokenizer.encode(marked, add_special_tokens=False).ids
+    assert len(encoder) == known and "plain," in encoder and "other," not in encoder
+    ids, sizes = encoder.ids(texts)
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sizes.tolist() == [len(w) for w in want]
+    assert ids.tolist() == [i for w in want for i in w]
