@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from ledgerloom import release
 from ledgerloom.plans import checks, gold, marts
 from ledgerloom.plans.silver import silver
-from ledgerloom.scratch import Scratch, delete_folder, list_folder
+from ledgerloom.scratch import STORED, Scratch, delete_folder, list_folder
 
 LAYERS = {
     "silver": ("silver_ecommerce",),
@@ -71,9 +71,10 @@ class Warehouse:
         path, seen = self._path(layer, name), Observation(f"{name} {self.version}")
         counts = checks.row_counts(checks.row_checks(df, self._checks()[name]))
         if by is None:
-            df.observe(seen, *counts).write.parquet(path)
+            df.observe(seen, *counts).write.options(**STORED).parquet(path)
         else:
-            marts.by_folder(df, by).observe(seen, *counts).write.partitionBy(by).parquet(path)
+            writer = marts.by_folder(df, by).observe(seen, *counts).write.options(**STORED)
+            writer.partitionBy(by).parquet(path)
         self._seen[name] = seen.get
         return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.schemas import RAW, RAW_COLUMNS
-from ledgerloom.scratch import create_file, delete_folder, list_folder, read_file
+from ledgerloom.scratch import STORED, create_file, delete_folder, list_folder, read_file
 
 BAD_LINE = "_bad_line"
 # Where a rejected line comes from and what is wrong with it; null for good rows.
@@ -107,9 +107,9 @@ def load_raw(
     Good rows and rejects are then separate folders of a columnar table, so counting or
     reading either one does not parse the text again.
     """
-    _split(scan_raw(spark, folder, header, encoding)).write.mode("overwrite").partitionBy(
-        "rejected"
-    ).parquet(target)
+    parsed = _split(scan_raw(spark, folder, header, encoding))
+    writer = parsed.write.options(**STORED).mode("overwrite")
+    writer.partitionBy("rejected").parquet(target)
     return _stored(spark, [target])
 
 
@@ -156,7 +156,8 @@ def _add(
     lines = [json.dumps(f.asDict() | {"load": load}) for f in files]
     try:
         parsed = scan_raw(spark, [f.path for f in files], header, encoding)
-        _split(parsed).write.partitionBy("rejected").parquet(place)
+        writer = _split(parsed).write.options(**STORED)
+        writer.partitionBy("rejected").parquet(place)
         if create_file(spark, listed, "\n".join(lines) + "\n"):
             return True
     except Exception:

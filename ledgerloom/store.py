@@ -26,7 +26,7 @@ from ledgerloom.commit_log import CommitLog, Run, State
 from ledgerloom.operators import absent_rows, with_row_ids, with_values
 from ledgerloom.plans import checks, normalised
 from ledgerloom.schemas import STORE
-from ledgerloom.scratch import Scratch, delete_folder, list_folder
+from ledgerloom.scratch import STORED, Scratch, delete_folder, list_folder
 
 # Loads started again because others committed meanwhile.
 ATTEMPTS = 5
@@ -143,7 +143,7 @@ class Store:
         What is counted of the new rows is counted while they are written.
         """
         runs, seen = state.names, {}
-        with Scratch(self.spark) as scratch:
+        with Scratch(self.spark, STORED) as scratch:
             customers = scratch.keep(normalised.customers(source), "customers")
             products = scratch.keep(normalised.products(source), "products")
             orders = scratch.keep(normalised.orders(source, customers), "orders")
@@ -181,7 +181,8 @@ class Store:
         if name == "order_items":
             counts.append(F.max("id").alias("last_id"))
         seen = Observation(f"{name} {run_id}")
-        typed.observe(seen, *counts).write.parquet(self._folder(name, run_id))
+        writer = typed.observe(seen, *counts).write.options(**STORED)
+        writer.parquet(self._folder(name, run_id))
         return seen.get
 
     def _check_run(self, runs: list[str], run_id: str, seen: dict, scratch: Scratch) -> None:
@@ -219,7 +220,8 @@ class Store:
             return None
         names = [r.run_id for r in chosen]
         for name in STORE:
-            self._read(name, names).write.parquet(self._folder(name, run_id))
+            merged = self._read(name, names).write.options(**STORED)
+            merged.parquet(self._folder(name, run_id))
         return sum(r.rows for r in chosen), state.last_id, names
 
     def clean_up(self, older_than: timedelta = timedelta(days=7)) -> None:

@@ -8,11 +8,15 @@ import re
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
 import __spark_entry__ as entry
 from conftest import plan, rows
 from ledgerloom.operators import absent_rows, first_per_key
 from ledgerloom.plans import checks, gold, marts, normalised
+from ledgerloom.plans.silver import silver
+from ledgerloom.plans.warehouse import Warehouse
+from ledgerloom.schemas import RAW
 from ledgerloom.scratch import Scratch, shared_folder
 from ledgerloom.session import shuffle_pieces
 from ledgerloom.sources import default_countries
@@ -223,3 +227,35 @@ def test_a_load_broadcasts_its_foreign_keys(spark, four_lines, scratch, monkeypa
     store.load(four_lines)
     assert len(plans) == 3
     assert all("BroadcastHashJoin" in p and "hashpartitioning" not in p for p in plans)
+
+
+def test_totals_take_no_part_in_silvers_shuffle(spark):
+    text = plan(silver(spark.createDataFrame([], RAW)))
+    assert text.rindex("total_price") < text.index("Exchange")
+
+
+def test_stored_tables_are_packed_tightly(spark, four_lines, scratch):
+    """Hashed keys and codes take half the bytes that the default compression leaves."""
+    store = Store(spark, scratch.path("store"))
+    store.load(four_lines)
+    shop = Warehouse(scratch.keep(spark.createDataFrame([], RAW), "raw"), default_countries(spark))
+    with shop:
+        stored = [store.table("order_items"), shop.fact_sales, shop.mart_rfm_snapshot]
+        names = [n for df in stored for n in df.inputFiles()]
+        assert len(names) > 1 and all(n.endswith(".zstd.parquet") for n in names)
+
+
+@has_tables
+def test_raw_rows_are_joined_once_for_their_csv_copy(spark, monkeypatch):
+    plans = []
+
+    def seen(writer, path, *args, real=DataFrameWriter.csv, **options):
+        plans.append(plan(writer._df))
+        return real(writer, path, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "csv", seen)
+    copy = entry.Sample(spark, FOLDER)
+    with copy.scratch:
+        loaded = copy.csv_load
+        assert loaded.rows.count() + loaded.rejects.count() == copy.raw.count()
+    assert len(plans) == 3 and not any("Join" in p for p in plans)
