@@ -29,8 +29,10 @@ WINDOW = 13
 SHINGLE = 5
 BROADCAST_ROWS = 1_000_000  # of 12 bytes each
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # of lower-cased text
-ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# Java looks listed characters up in a table, while it tries ranges one after the other at
+# every character: the same classes written by ranges take eight to twelve times as long.
+WORD = rf"[0123456789{LOWER}\x{{80}}-\x{{10FFFF}}]+"  # of lower-cased text
+ANY_CASE_WORD = rf"[0123456789{LOWER}{UPPER}\x{{80}}-\x{{10FFFF}}]+"
 
 
 def words_of(text: Column) -> Column:
