@@ -18,31 +18,29 @@ def to_date_by_month(lines: DataFrame) -> DataFrame:
     one entry per calendar month that has any line.
 
     Distinct orders to date become a sum by counting each invoice in its first month
-    only. Both groupings, by invoice and by month, come from one scan and one shuffle,
-    combined on the map side: no step gathers raw lines by customer alone.
+    only. Lines combine per customer, invoice and month on the map side, each once; what is
+    left of an invoice, mostly one row, meets to find that month, and shrinks to
+    customer-months. No step gathers raw lines by customer alone.
     """
     lines = with_values(lines, "customer_id", "order_month")
 
     spent = F.when(F.col("total_price") > 0, F.col("total_price"))
-    by_invoice, by_month = ["customer_id", "invoice_no"], ["customer_id", "order_month"]
-    grouped = lines.groupingSets(
-        [[F.col(c) for c in by_invoice], [F.col(c) for c in by_month]],
-        "customer_id",
-        "invoice_no",
-        "order_month",
-    ).agg(
-        F.grouping("invoice_no").alias("is_month"),
-        F.min(lines["order_month"]).alias("first_month"),
+    per_invoice = lines.groupBy("customer_id", "invoice_no", "order_month").agg(
         F.max("date_id").alias("last_order"),
         F.sum(exact_part(spent)).alias("spend"),
         F.sum(other_part(spent)).alias("other_spend"),
     )
-    is_month = F.col("is_month") == 1
-    monthly = {c: F.sum(F.when(is_month, F.col(c))).alias(c) for c in ("spend", "other_spend")}
-    per_month = grouped.groupBy("customer_id", F.col("first_month").alias("order_month")).agg(
-        F.max(F.when(is_month, F.col("last_order"))).alias("last_order"),
-        F.count(F.when(~is_month, F.col("invoice_no"))).alias("new_orders"),
-        *monthly.values(),
+    invoice = Window.partitionBy("customer_id", "invoice_no")
+    is_first = F.col("order_month") == F.min("order_month").over(invoice)
+    per_month = (
+        per_invoice.withColumn("is_first", is_first)
+        .groupBy("customer_id", "order_month")
+        .agg(
+            F.max("last_order").alias("last_order"),
+            F.count(F.when(F.col("is_first"), F.col("invoice_no"))).alias("new_orders"),
+            F.sum("spend").alias("spend"),
+            F.sum("other_spend").alias("other_spend"),
+        )
     )
 
     by_customer = Window.partitionBy("customer_id").orderBy("order_month")

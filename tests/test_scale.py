@@ -12,7 +12,7 @@ from pyspark.sql.readwriter import DataFrameWriter
 
 import __spark_entry__ as entry
 from conftest import plan, rows
-from ledgerloom.operators import absent_rows, first_per_key
+from ledgerloom.operators import absent_rows, first_per_key, to_date_by_month
 from ledgerloom.plans import checks, gold, marts, normalised
 from ledgerloom.plans.silver import silver
 from ledgerloom.plans.warehouse import Warehouse
@@ -130,6 +130,16 @@ def by_ntile(base):
     return base.select("*", *[bucket(m).alias(c) for c, m in marts.SCORED.items()])
 
 
+def test_history_moves_each_line_once(spark, hot_silver):
+    """Lines are not repeated, one row by invoice and one by month, before they move; and
+    they combine before that."""
+    lines = marts.order_months(gold.fact_sales(hot_silver), gold.dim_date(spark))
+    text = plan(to_date_by_month(lines))
+    assert "Expand" not in text
+    # Partly summed per invoice and month, and again per month.
+    assert text.count("partial_max(date_id") == 1 and text.count("partial_max(last_order") == 1
+
+
 def test_no_month_is_sorted_in_one_task(spark, hot_silver, scratch):
     base = scratch.keep(marts.rfm_base(gold.fact_sales(hot_silver), gold.dim_date(spark)), "base")
     assert "Window" not in plan(marts.score(base, scratch))
