@@ -68,6 +68,23 @@ class _ByteLetters(dict):
         return spelt
 
 
+def _alike(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The place of one of each value, and for every value which of them it equals.
+
+    Any place will do, so the sort need not be stable, as that of ``np.unique`` is.
+    """
+    order = np.argsort(values)
+    new = np.diff(values[order], prepend=values[order[:1]] + np.uint64(1)) != 0
+    kind = np.empty(len(values), np.int64)
+    kind[order] = np.cumsum(new) - 1
+    return order[new], kind
+
+
+def _by_token(token: np.ndarray, terms: int) -> np.ndarray:
+    """Stable order by token; 16-bit numbers are put in order without comparisons."""
+    return np.argsort(token.astype(np.uint16) if terms <= 1 << 16 else token, kind="stable")
+
+
 def _plain(text: str) -> str:
     """Blanks for line breaks; lower case where that changes no ids."""
     try:
@@ -182,7 +199,7 @@ class Encoder(dict):
         high = eights[starts + 8] & _BYTES[np.clip(lengths - 8, 0, 8)]
         mark = (low * _ODD ^ (high + lengths.astype(np.uint64))) * _MIX
         mark ^= mark >> np.uint64(29)
-        _, first, word = np.unique(mark, return_index=True, return_inverse=True)
+        first, word = _alike(mark)
         # Equal marks are words only if all they stand for is equal.
         same = first[word]
         own = (lengths > 16) | (low != low[same]) | (high != high[same]) | (lengths != lengths[same])
@@ -212,6 +229,7 @@ def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
         encoder = Encoder(tokenizer_path)
         terms = max(encoder.tokenizer.get_vocab_size(), end_id + 1)
         found = np.zeros(terms, np.int64)
+        small = np.uint32 if 500 * terms < 1 << 32 else np.uint64
         kind = None
         names = ["doc_id", "ids", "found"]
         for batch in batches:
@@ -223,9 +241,11 @@ def tokenise(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
                 ends = np.concatenate([[0], np.cumsum(sizes + 1)])
                 for a, b in blocks((sizes + 1).tolist(), 1 << 22):
                     own = ids[ends[a] : ends[b]]
-                    held = np.repeat(np.arange(b - a), sizes[a:b] + 1) * terms + own
+                    # At most 500 documents: 32 bits hold place and token.
+                    held = np.repeat(np.arange(b - a, dtype=small), sizes[a:b] + 1) * small(terms)
+                    held += own
                     held.sort()
-                    held = held[np.diff(held, prepend=-1) > 0] % terms
+                    held = held[np.diff(held, prepend=np.iinfo(small).max) != 0] % small(terms)
                     found += np.bincount(held, minlength=terms)
                     offsets = ((ends[a : b + 1] - ends[a]) * 4).astype(np.int32)
                     rows = pa.Array.from_buffers(
@@ -289,7 +309,7 @@ class ShardIndex:
         self.rows = np.searchsorted(piece, np.arange(n + 1))
         self.row_token = token
         # By token: the postings.
-        order = np.argsort(token, kind="stable")
+        order = _by_token(token, terms)
         self.post_piece, self.post_weight = piece[order], weight[order]
         found = np.bincount(token, minlength=terms)
         self.post_at = np.concatenate([[0], np.cumsum(found)])

@@ -276,3 +276,21 @@ def test_a_closing_mark_makes_no_new_word(tokenizer):
     want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
     assert sizes.tolist() == [len(w) for w in want]
     assert ids.tolist() == [i for w in want for i in w]
+
+
+def test_equal_words_and_tokens_are_grouped_as_by_stable_sorts():
+    rng = np.random.default_rng(3)
+    top = np.iinfo(np.uint64).max
+    for values in (
+        rng.integers(0, 50, 400).astype(np.uint64),
+        np.array([top, 0, top, 7], np.uint64),
+        np.zeros(3, np.uint64),
+        np.zeros(0, np.uint64),
+    ):
+        first, kind = packing._alike(values)
+        assert len(first) == len(set(values.tolist()))
+        assert (values[first][kind] == values).all()
+    for terms in (1 << 16, 1 << 17):
+        token = rng.integers(0, terms, 5000)
+        token[:100] = terms - 1
+        assert (packing._by_token(token, terms) == np.argsort(token, kind="stable")).all()
