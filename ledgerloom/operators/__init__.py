@@ -2,7 +2,7 @@
 
 from ledgerloom.operators.calendar import calendar, date_spine
 from ledgerloom.operators.first import first_per_key, with_values
-from ledgerloom.operators.history import to_date_by_month
+from ledgerloom.operators.history import each_month, months_of, spells, to_date_by_month
 from ledgerloom.operators.incremental import (
     absent_rows,
     child_values,
@@ -19,11 +19,14 @@ __all__ = [
     "calendar",
     "child_values",
     "date_spine",
+    "each_month",
     "first_per_key",
     "insert_if_absent",
+    "months_of",
     "orphans",
     "place",
     "ranked",
+    "spells",
     "tile",
     "to_date_by_month",
     "with_row_ids",

@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.money import exact_part, other_part, total
 from ledgerloom.operators.first import with_values
+from ledgerloom.operators.quantiles import within
 
 
-def to_date_by_month(lines: DataFrame) -> DataFrame:
-    """Each customer's history up to each month, from ``lines`` with an ``order_month``.
+def spells(lines: DataFrame) -> DataFrame:
+    """Each customer's history from one active month up to the next, from ``lines`` with an
+    ``order_month``: what holds from ``order_month`` until before ``next_month`` (null: for good).
 
-    The plain form joins every line to every later month. Here lines shrink to one row
-    per customer and active month, running windows go over those, and each row is then
-    repeated for the months until the customer's next active one. The month list holds
-    one entry per calendar month that has any line.
+    Lines shrink to one row per customer and active month, and running windows go over those.
 
     Distinct orders to date become a sum by counting each invoice in its first month
     only. Lines combine per customer, invoice and month on the map side, each once; what is
@@ -45,7 +44,7 @@ def to_date_by_month(lines: DataFrame) -> DataFrame:
 
     by_customer = Window.partitionBy("customer_id").orderBy("order_month")
     so_far = by_customer.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = per_month.select(
+    return per_month.select(
         "customer_id",
         "order_month",
         F.lead("order_month").over(by_customer).alias("next_month"),
@@ -54,16 +53,28 @@ def to_date_by_month(lines: DataFrame) -> DataFrame:
         total(F.sum("spend").over(so_far), F.sum("other_spend").over(so_far)).alias("total_spent"),
     )
 
-    months = lines.agg(F.sort_array(F.collect_set("order_month"))).scalar()
-    until_next = F.filter(
-        "months",
-        lambda m: (m >= F.col("order_month"))
-        & (F.col("next_month").isNull() | (m < F.col("next_month"))),
-    )
-    return running.withColumn("months", months).select(
+
+def months_of(lines: DataFrame) -> Column:
+    """The sorted list of order months: one entry per calendar month that has any line."""
+    return lines.agg(F.sort_array(F.collect_set("order_month"))).scalar()
+
+
+def each_month(spells: DataFrame, months: Column) -> DataFrame:
+    """A row for each of the ``months`` that a spell covers."""
+    covered = within("months", F.col("order_month"), F.col("next_month"))
+    return spells.withColumn("months", months).select(
         "customer_id",
-        F.explode(until_next).alias("snapshot_month"),
+        F.explode(covered).alias("snapshot_month"),
         "most_recent_order",
         "number_of_orders",
         "total_spent",
     )
+
+
+def to_date_by_month(lines: DataFrame) -> DataFrame:
+    """Each customer's history up to each month, from ``lines`` with an ``order_month``.
+
+    The plain form joins every line to every later month. Here each spell is repeated for
+    the months until the customer's next active one.
+    """
+    return each_month(spells(lines), months_of(with_values(lines, "customer_id", "order_month")))

@@ -11,6 +11,10 @@ however values are spread; brackets only decide how many rows are ordered.
 
 Each measure is counted by itself, over plain columns: a scan then reads two of them, and no
 row is repeated or packed into a struct on its way into the counts.
+
+A row may stand for a run of groups, such as the months in which a customer's totals stay as
+they are. It is then counted where its run begins and taken off where it ends, and sums over the
+groups give the counts of each; it is repeated only for groups that need it put in order.
 """
 
 from __future__ import annotations
@@ -72,6 +76,25 @@ def _finer(value: Column, key: Column, whole: bool) -> Column:
     return F.struct(part.alias("part"), F.lit("").alias("prefix"))
 
 
+def within(groups: Column | str, first: Column, until: Column) -> Column:
+    """Those of the listed ``groups`` from ``first`` on and before ``until`` (null: all later)."""
+    return F.filter(groups, lambda g: (g >= first) & (until.isNull() | (g < until)))
+
+
+def _each_group(changes: DataFrame, by: list[str], groups: Column) -> DataFrame:
+    """Rows per bracket and group, from what is added and taken off at some groups."""
+    bracket = Window.partitionBy(*by).orderBy("grp")
+    so_far = bracket.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    runs = changes.select(
+        *by,
+        "grp",
+        F.lead("grp").over(bracket).alias("until"),
+        F.sum("rows").over(so_far).alias("rows"),
+    ).filter(F.col("rows") > 0)
+    covered = within("groups", F.col("grp"), F.col("until"))
+    return runs.withColumn("groups", groups).select(F.explode(covered).alias("grp"), *by, "rows")
+
+
 def _holding(counts: DataFrame, within: list[str], by: list[str], ends: Column) -> DataFrame:
     """Brackets that hold one of the ``ends``, which become places within the bracket.
 
@@ -94,11 +117,15 @@ def bucket_ends(
     measures: list[str],
     buckets: int,
     scratch: Scratch,
+    until: str | None = None,
+    groups: Column | None = None,
 ) -> DataFrame:
     """Per value of ``group`` and measure (by number, from 0) the last place of every bucket
     but the highest: (group, measure, place), a place as ``place`` makes it.
 
-    ``rows`` is a stored table, read three times; ``key`` is unique within a group.
+    ``rows`` is a stored table, read three times; ``key`` is unique within a group. With
+    ``until``, the name of a column, a row is one of each of the listed ``groups`` from its
+    ``group`` on and before its ``until`` (null: all later).
     """
     kinds: Mapping[str, bool] = {
         m: isinstance(rows.schema[m].dataType, _WHOLE) for m in measures
@@ -109,7 +136,28 @@ def bucket_ends(
     def of(measure: str, *parts: Column) -> DataFrame:
         """A measure's rows in flat columns, so that a scan reads no others."""
         number = F.lit(measures.index(measure)).alias("measure")
-        return rows.select(F.col(group).alias("grp"), number, *parts)
+        run = [] if until is None else [F.col(until).alias("until")]
+        return rows.select(F.col(group).alias("grp"), *run, number, *parts)
+
+    def counted(measure: str) -> DataFrame:
+        here = of(measure, *flat(_bracket(F.col(measure), kinds[measure]), brackets))
+        if until is None:
+            return here.groupBy(*fine).agg(count)
+        added = here.groupBy(*fine).agg(count)
+        over = here.withColumn("grp", F.col("until")).filter(F.col("grp").isNotNull())
+        taken = over.groupBy(*fine).agg((-F.count("*")).alias("rows"))
+        changes = added.unionByName(taken).groupBy(*fine).agg(F.sum("rows").alias("rows"))
+        return _each_group(changes, fine[1:], groups)
+
+    def meeting(placed: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
+        """Rows of the ``wanted`` brackets, once for each group that wants them."""
+        if until is None:
+            return placed.join(wanted, on)
+        runs = placed.withColumnRenamed("grp", "first")
+        covers = (F.col("grp") >= F.col("first")) & (
+            F.col("until").isNull() | (F.col("grp") < F.col("until"))
+        )
+        return runs.join(wanted, on[1:]).filter(covers).drop("first", "until")
 
     def flat(struct: Column, names: list[str]) -> list[Column]:
         return [struct.getField(n).alias(n) for n in names]
@@ -119,11 +167,7 @@ def bucket_ends(
     size, extra = F.floor(F.col("group_rows") / buckets), F.col("group_rows") % buckets
     last = [F.lit(b) * size + F.least(F.lit(b), extra) for b in range(1, buckets)]
     ends = F.array_distinct(F.filter(F.array(*last), lambda e: (e > 0) & (e < F.col("group_rows"))))
-    counts = [
-        of(m, *flat(_bracket(F.col(m), kinds[m]), brackets)).groupBy(*fine).agg(count)
-        for m in measures
-    ]
-    counts = reduce(DataFrame.unionByName, counts)
+    counts = reduce(DataFrame.unionByName, [counted(m) for m in measures])
     wanted = scratch.keep(_holding(counts, coarse, brackets, ends), "brackets")
 
     # Finer brackets of the rows that are left only.
@@ -138,7 +182,7 @@ def bucket_ends(
         for m in measures
     ]
     found = [
-        p.join(wanted.filter(F.col("measure") == i).drop("ends"), fine)
+        meeting(p, wanted.filter(F.col("measure") == i).drop("ends"), fine)
         .groupBy(*fine, *finer)
         .agg(count)
         for i, p in enumerate(placed)
@@ -146,7 +190,7 @@ def bucket_ends(
     found = reduce(DataFrame.unionByName, found).join(wanted, fine)
     wanted = scratch.keep(_holding(found, fine, finer, F.col("ends")), "finer_brackets")
     few = [
-        p.join(wanted.filter(F.col("measure") == i).drop("ends"), [*fine, *finer])
+        meeting(p, wanted.filter(F.col("measure") == i).drop("ends"), [*fine, *finer])
         for i, p in enumerate(placed)
     ]
     # Written: putting rows in order reads them more than once.

@@ -13,7 +13,15 @@ from ledgerloom.functions import (
     segment_movement,
     segment_transition,
 )
-from ledgerloom.operators import bucket_ends, place, to_date_by_month, with_values
+from ledgerloom.operators import (
+    bucket_ends,
+    each_month,
+    months_of,
+    place,
+    spells,
+    to_date_by_month,
+    with_values,
+)
 from ledgerloom.scratch import Scratch, list_folder
 
 BUCKETS = 5
@@ -95,14 +103,17 @@ def rfm_base(fact: DataFrame, dates: DataFrame) -> DataFrame:
 
 
 def score(base: DataFrame, scratch: Scratch) -> DataFrame:
-    """NTILE scores of each month: one more than the bucket ends before a row's place.
-
-    ``base`` is a stored table: it is counted for the ends and read again for the scores,
-    which need no more than a join with the dozen ends of each month.
-    """
+    """NTILE scores of each month, from a stored table that is counted for the ends of the
+    buckets and read again for the scores."""
     found = bucket_ends(
         base, "snapshot_month", "customer_id", list(SCORED.values()), BUCKETS, scratch
     )
+    return score_by(base, found, scratch)
+
+
+def score_by(base: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
+    """One more than the bucket ends ``found`` before a row's place: no more than a join with
+    the dozen ends of each month."""
     listed = found.groupBy("snapshot_month").agg(
         *[
             F.collect_list(F.when(F.col("measure") == i, F.col("place"))).alias(m)
@@ -150,10 +161,24 @@ def mart_rfm_snapshot(
 
     With ``since`` (a first of a month) only from that month on: a month is scored by itself.
     """
-    base = rfm_base(fact, dates)
+    # Stored as spells: months without a sale of a customer are counted, and scored, from those.
+    held = scratch.keep(spells(order_months(fact, dates)), "rfm_spells")
+    months = months_of(held)
     if since is not None:
-        base = base.filter(F.col(MONTH) >= F.lit(since).cast("date"))
-    return label_scores(score(scratch.keep(base, "rfm_base"), scratch))
+        first = F.lit(since).cast("date")
+        months = months_of(held.filter(F.col("order_month") >= first))
+        held = held.filter(F.col("next_month").isNull() | (F.col("next_month") > first))
+    found = bucket_ends(
+        held,
+        "order_month",
+        "customer_id",
+        list(SCORED.values()),
+        BUCKETS,
+        scratch,
+        until="next_month",
+        groups=months,
+    ).withColumnRenamed("order_month", MONTH)
+    return label_scores(score_by(each_month(held, months), found, scratch))
 
 
 def by_folder(df: DataFrame, column: str) -> DataFrame:

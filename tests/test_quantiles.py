@@ -172,3 +172,30 @@ def test_brackets_of_negative_and_very_large_numbers_keep_their_order(spark):
         (F.col("b") < F.lag("b").over(Window.orderBy("i"))).alias("falls")
     )
     assert falls.filter("falls").isEmpty()
+
+
+def runs(seed, months=6, customers=150):
+    """Customers whose values hold for runs of the listed months, each run of its own."""
+    rng = random.Random(seed)
+    odd = [None, NAN, INF, -INF, 0.0, -3.5, 99.99999, 100.0, 5e39]
+    out = []
+    for c in range(customers):
+        starts = sorted(rng.sample(range(months), rng.choice([0, 1, 1, 2, 3, months])))
+        for first, until in zip(starts, [*starts[1:], None]):
+            spend = rng.choice(odd) if rng.random() < 0.3 else round(rng.lognormvariate(4, 2), 2)
+            days = None if rng.random() < 0.05 else rng.randint(1, 28)
+            out.append((first, until, f"{rng.choice('ABéz')}{c}", days, rng.choice([1, 1, 2, 9]), spend))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_runs_of_groups_count_like_a_row_for_each_group(spark, scratch, seed):
+    schema = SCHEMA.replace("snapshot_month int", "snapshot_month int, until int")
+    held = scratch.keep(spark.createDataFrame(runs(seed), schema), "held")
+    months = F.array(*[F.lit(m) for m in range(6) if seed < 3 or m > 2])
+    covered = quantiles.within(months, F.col("snapshot_month"), F.col("until"))
+    each = held.withColumn("snapshot_month", F.explode(covered)).drop("until")
+    ends = bucket_ends(
+        held, "snapshot_month", "customer_id", MEASURES, 5, scratch, until="until", groups=months
+    )
+    assert sorted((m, i, str(p)) for m, i, p in ends.collect()) == by_window(each, 5)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import re
 
@@ -269,3 +270,30 @@ def test_raw_rows_are_joined_once_for_their_csv_copy(spark, monkeypatch):
         loaded = copy.csv_load
         assert loaded.rows.count() + loaded.rejects.count() == copy.raw.count()
     assert len(plans) == 3 and not any("Join" in p for p in plans)
+
+
+def test_quiet_months_of_customers_are_not_stored_for_the_scores(spark, silver_rows, scratch, monkeypatch):
+    """Scoring stores and counts a row per customer and active month, not one per month."""
+    day = dt.datetime
+    lines = silver_rows(
+        *[
+            dict(invoice_no=f"I{i}", customer_id=f"C{i:03}", invoice_date=day(2011, 1 + i % 10, 3),
+                 total_price=float(i * i))
+            for i in range(200)
+        ]
+    )
+    fact, dates = scratch.keep(gold.fact_sales(lines), "fact"), gold.dim_date(spark)
+    base = scratch.keep(marts.rfm_base(fact, dates), "base")
+    kept = []
+
+    def seen(self, df, name, real=Scratch.keep):
+        out = real(self, df, name)
+        kept.append(out.count())
+        return out
+
+    monkeypatch.setattr(Scratch, "keep", seen)
+    snapshot = marts.mart_rfm_snapshot(fact, dates, scratch)
+    assert rows(snapshot, *base.columns, *marts.SCORED) == rows(by_ntile(base))
+    assert max(kept) < base.count() / 2
+    late = marts.mart_rfm_snapshot(fact, dates, scratch, since="2011-06-01")
+    assert rows(late) == rows(snapshot.filter("snapshot_month >= '2011-06-01'"))
