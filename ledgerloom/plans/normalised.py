@@ -5,11 +5,14 @@ These keep product codes as written and keep administrative codes, unlike the go
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import first_per_key, with_values
 from ledgerloom.schemas import SILVER
+from ledgerloom.scratch import Scratch
 
 
 def silver_columns(silver: DataFrame) -> DataFrame:
@@ -48,14 +51,37 @@ def orders(silver: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def order_items(silver: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
-    """Lines with a quantity whose invoice and product are both loaded."""
+def unknown_values(
+    silver: DataFrame, parents: Mapping[str, DataFrame], scratch: Scratch
+) -> dict[str, DataFrame]:
+    """Per key column the stored values that its parent table lacks: mostly few."""
+    return {
+        key: scratch.keep(
+            with_values(silver, key).select(key).distinct().join(parent.select(key), key, "left_anti"),
+            f"unknown_{key}",
+        )
+        for key, parent in parents.items()
+    }
+
+
+def order_items(
+    silver: DataFrame,
+    orders: DataFrame,
+    products: DataFrame,
+    unknown: Mapping[str, DataFrame] | None = None,
+) -> DataFrame:
+    """Lines with a quantity whose invoice and product are both loaded.
+
+    With ``unknown_values`` of both keys, taken from the same lines or more, those are left out
+    instead: where they are few they are broadcast, and no line moves to its order or product.
+    """
     rows = with_values(silver, "quantity")
-    return (
-        rows.join(orders.select("invoice_no"), "invoice_no", "left_semi")
-        .join(products.select("stock_code"), "stock_code", "left_semi")
-        .select("invoice_no", "stock_code", "quantity", "unit_price", "total_price")
-    )
+    for key, parent in (("invoice_no", orders), ("stock_code", products)):
+        if unknown is None:
+            rows = rows.join(parent.select(key), key, "left_semi")
+        else:
+            rows = with_values(rows, key).join(unknown[key], key, "left_anti")
+    return rows.select("invoice_no", "stock_code", "quantity", "unit_price", "total_price")
 
 
 def row_counts(tables: dict[str, DataFrame]) -> DataFrame:

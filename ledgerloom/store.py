@@ -152,8 +152,8 @@ class Store:
                 new = absent_rows(batch, self._read(name, runs), STORE[name].key)
                 seen[name] = self._append(name, new, run_id)
 
-            # Lines already stored go first: a rerun looks up few invoices and products. What
-            # follows each lookup is a shuffle on something else, so a hot invoice can be split.
+            # Lines already stored go first. Keys are looked up once each, not line by line. What
+            # follows a lookup is a shuffle on something else, so a hot invoice can be split.
             key = STORE["order_items"].key
             lines = absent_rows(
                 with_values(source, "quantity"),
@@ -161,7 +161,9 @@ class Store:
                 key,
                 ("quantity", "unit_price", "total_price"),
             )
-            items = normalised.order_items(lines, orders, products)
+            parents = {"invoice_no": orders, "stock_code": products}
+            unknown = normalised.unknown_values(source, parents, scratch)
+            items = normalised.order_items(lines, orders, products, unknown)
             items = with_row_ids(items, key, scratch, after=state.last_id)
             seen["order_items"] = self._append("order_items", items, run_id)
             self._check_run(runs, run_id, seen, scratch)

@@ -297,3 +297,35 @@ def test_quiet_months_of_customers_are_not_stored_for_the_scores(spark, silver_r
     assert max(kept) < base.count() / 2
     late = marts.mart_rfm_snapshot(fact, dates, scratch, since="2011-06-01")
     assert rows(late) == rows(snapshot.filter("snapshot_month >= '2011-06-01'"))
+
+
+def test_lines_do_not_move_to_their_order_or_product_when_loading(
+    spark, four_lines, silver_rows, scratch, monkeypatch
+):
+    """Keys without a parent are few: they go to the lines. The same lines are loaded."""
+    odd = silver_rows(
+        dict(invoice_no=None, quantity=3),
+        dict(stock_code=None, quantity=4),
+        dict(invoice_no="INV003", stock_code="SKU009", quantity=5, customer_id=None),
+        dict(invoice_no="INV002", stock_code="SKU009", customer_id="67890", quantity=None),
+    )
+    lines = scratch.keep(four_lines.unionByName(odd), "lines")
+    customers = normalised.customers(lines)
+    orders, products = normalised.orders(lines, customers), normalised.products(lines)
+    want = rows(normalised.order_items(lines, orders, products))
+    seen = []
+
+    def made(*args, real=normalised.order_items):
+        seen.append(real(*args))
+        return seen[-1]
+
+    monkeypatch.setattr(normalised, "order_items", made)
+    store = Store(spark, scratch.path("store"))
+    store.load(lines)
+    stored = store.table("order_items").select(
+        "invoice_no", "stock_code", "quantity", "unit_price", "total_price"
+    )
+    assert [r[:3] for r in rows(stored)] == [r[:3] for r in want]
+    # One exchange of the lines, by their key; none by invoice or product alone.
+    text = plan(seen[0])
+    assert not re.search(r"hashpartitioning\((invoice_no|stock_code)#\d+, \d+\)", text)
