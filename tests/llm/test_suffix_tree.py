@@ -4,6 +4,7 @@ import math
 import os
 import random
 import re
+import zlib
 from collections import Counter, defaultdict
 from functools import cache
 
@@ -207,3 +208,53 @@ def test_scores_do_not_depend_on_which_words_are_joined(spark, scratch, monkeypa
     for a, b in zip(*got, strict=True):
         assert (a.row, a.n_tokens, a.n_known) == (b.row, b.n_tokens, b.n_known)
         assert math.isclose(a.base_score, b.base_score, rel_tol=1e-12, abs_tol=1e-12)
+
+
+class WholeTree(Tree):
+    """Nothing left out: contexts and extensions that occur twice, no test of extensions, and a
+    divergence of occurrences that are not left out."""
+
+    def __init__(self, texts, depth, divergence):
+        super().__init__(texts, depth, 2, divergence)
+
+    @cache
+    def kept(self, s):
+        return {w for w, n in self.after[s].items() if n >= 2}
+
+    def divergence(self, s):
+        counts = self.after[s]
+        kept, gain = self.kept(s), 0.0
+        for w, n in counts.items():
+            ratio = self.under(s, w) / self.under(s[1:], w) if w in kept else self.freed(s)
+            gain += n * math.log(ratio)
+        return gain / sum(counts.values())
+
+
+@pytest.mark.parametrize("share,hot,divergence", [(10**9, 1000, 0.02), (50, 10**6, 0.3)])
+def test_whole_model_against_brute_force(spark, scratch, monkeypatch, share, hot, divergence):
+    """All n-grams at hand and uncut stripes; most of them dealt to buckets and cut stripes."""
+    monkeypatch.setattr(suffix_tree, "SHARE", share)
+    monkeypatch.setattr(suffix_tree, "BUCKET", 300)
+    monkeypatch.setattr(suffix_tree, "RUN", 400)
+    monkeypatch.setattr(stripes, "HOT", hot)
+    rng = random.Random(21)
+    twice = " ".join(f"w{rng.randint(0, 10**9)}" for _ in range(12))
+    learn = made(22) + [twice, twice, None, "", "rare ones rare"]
+    ask = made(23, 20) + learn[:10] + [twice, None, "", "never seen new york words"]
+    options = {"bounded": False, "divergence": divergence, "block": 500}
+    rows, model = scores(spark, scratch, learn, ask, **options)
+    check(rows, WholeTree(learn, 2, divergence), ask)
+
+
+def test_query_learns_from_what_occurs_twice(spark, tmp_path):
+    """Texts of words met nowhere else, some of them twice: only those are foreseen."""
+    rng = random.Random(31)
+    texts = [" ".join(f"w{rng.randint(0, 10**9)}" for _ in range(20)) for _ in range(40)]
+    learned = [i for i in range(400) if zlib.crc32(str(i).encode()) % 5 != 1][: 60]
+    rows = [(i, texts[k % 40], "en", "web", 1) for k, i in enumerate(learned)]
+    kind = "doc_id long, text string, lang string, source string, n_chars int"
+    spark.createDataFrame(rows, kind).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in registry.op13_suffix_tree_scores(spark, str(tmp_path)).collect()}
+    for k, i in enumerate(learned):
+        per_token = (got[i].score - got[i].base_score) / got[i].n_tokens
+        assert (per_token > 1) == (k % 40 < 20)
