@@ -4,6 +4,8 @@ from ledgerloom.functions.dates import date_key, month_of, parse_invoice_time
 from ledgerloom.functions.labels import customer_segment, segment_movement, segment_transition
 from ledgerloom.functions.text import (
     ADMIN_CODES,
+    hex_bytes,
+    hex_text,
     is_sellable,
     normal_code,
     surrogate_key,
@@ -15,6 +17,8 @@ __all__ = [
     "ADMIN_CODES",
     "customer_segment",
     "date_key",
+    "hex_bytes",
+    "hex_text",
     "is_sellable",
     "month_of",
     "normal_code",

@@ -46,3 +46,13 @@ def surrogate_key(*columns: str) -> Column:
     """MD5 over the columns as text, joined by '-'."""
     parts = [F.coalesce(F.col(c).cast("string"), F.lit(NULL_KEY_PART)) for c in columns]
     return F.md5(F.concat_ws("-", *parts))
+
+
+def hex_bytes(text: Column) -> Column:
+    """What lower-case hexadecimal digits stand for, in half the space; null for other text."""
+    found = F.unhex(text)
+    return F.when(F.lower(F.hex(found)) == text, found)
+
+
+def hex_text(found: Column) -> Column:
+    return F.lower(F.hex(found))

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import (
     customer_segment,
+    hex_bytes,
+    hex_text,
     month_of,
     segment_movement,
     segment_transition,
@@ -53,16 +55,21 @@ def mart_invoices(
 
     Each side is joined as it is stored, so Spark knows its size when it plans: it
     broadcasts those under its threshold, and then lines do not move at all. It merges
-    the others, where the adaptive skew join splits hot customers and products.
+    the others, where the adaptive skew join splits hot customers and products. What a line
+    takes along is kept small: days and countries are joined last, and of a key in hexadecimal
+    digits move the bytes.
     """
+    lines = fact.drop("unit_price").withColumn("_bytes", hex_bytes(F.col("sales_id")))
+    lines = lines.withColumn("_other", F.when(F.col("_bytes").isNull(), F.col("sales_id")))
     days = dates.select(
         "date_id", F.col("date").alias("invoice_date"), "month_name", "year", "quarter"
     )
     joined = (
-        fact.drop("unit_price")
-        .join(days, "date_id", "left")
+        lines.drop("sales_id")
         .join(customers, "customer_id", "left")
         .join(products, "stock_code", "left")
+        .join(days, "date_id", "left")
+        .withColumn("sales_id", F.coalesce(hex_text(F.col("_bytes")), "_other"))
     )
     status = F.when(F.col("customer_id").isNull(), "Cancelled").otherwise("Shipped")
     return with_country_code(joined, countries).select(

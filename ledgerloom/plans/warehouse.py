@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from ledgerloom import release
 from ledgerloom.plans import checks, gold, marts
 from ledgerloom.plans.silver import silver
-from ledgerloom.scratch import STORED, Scratch, delete_folder, list_folder
+from ledgerloom.scratch import STORED, Scratch, delete_folder, list_folder, shuffles_removed
 
 LAYERS = {
     "silver": ("silver_ecommerce",),
@@ -70,11 +70,12 @@ class Warehouse:
         """
         path, seen = self._path(layer, name), Observation(f"{name} {self.version}")
         counts = checks.row_counts(checks.row_checks(df, self._checks()[name]))
-        if by is None:
-            df.observe(seen, *counts).write.options(**STORED).parquet(path)
-        else:
-            writer = marts.by_folder(df, by).observe(seen, *counts).write.options(**STORED)
-            writer.partitionBy(by).parquet(path)
+        with shuffles_removed(self.spark):
+            if by is None:
+                df.observe(seen, *counts).write.options(**STORED).parquet(path)
+            else:
+                writer = marts.by_folder(df, by).observe(seen, *counts).write.options(**STORED)
+                writer.partitionBy(by).parquet(path)
         self._seen[name] = seen.get
         return self.spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
@@ -213,11 +214,20 @@ class Warehouse:
             parts.append(checks.check_table(name, df, rest))
         return reduce(DataFrame.unionByName, parts)
 
+    def _reports(self) -> Iterator[DataFrame]:
+        yield checks.check_table("raw_ecommerce", self.raw, checks.raw_checks())
+        for name, declared in self._checks().items():
+            yield self._report(name, declared)
+
     def check_report(self) -> DataFrame:
         """One row per declared check."""
-        parts = [checks.check_table("raw_ecommerce", self.raw, checks.raw_checks())]
-        parts += [self._report(name, declared) for name, declared in self._checks().items()]
-        return reduce(DataFrame.unionByName, parts)
+        return reduce(DataFrame.unionByName, self._reports())
+
+    def counted_report(self, scratch: Scratch) -> DataFrame:
+        """The same, counted and stored table by table: all counts at once would hold the shuffles
+        of all."""
+        found = [scratch.keep(report, "report") for report in self._reports()]
+        return reduce(DataFrame.unionByName, found)
 
     def build(self, tolerated: Iterable[tuple[str, str]] = ()) -> None:
         """Build layer by layer; a layer with a failed check raises ``ChecksFailed`` before

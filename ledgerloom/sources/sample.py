@@ -25,13 +25,14 @@ def sample_raw(spark: SparkSession, folder: str) -> DataFrame:
     nation_key = (F.col("c_nationkey") + (F.col("o_orderstatus") == "P").cast("int")) % 25
     headers = (
         orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nations, nation_key == F.col("n_nationkey"))
-        .select("o_orderkey", "o_custkey", "o_orderdate", "n_name")
+        .select("o_orderkey", "o_custkey", "o_orderdate", nation_key.alias("nation_key"))
     )
     # Both sides grow with the data: merged, which also spreads a one-piece file over tasks.
     joined = lines.join(headers.hint("merge"), key == F.col("o_orderkey")).join(
         parts, part == F.col("p_partkey")
     )
+    # The few nations last: names would move with the lines.
+    joined = joined.join(nations, F.col("nation_key") == F.col("n_nationkey"))
 
     code = F.concat(F.lit("SKU"), part.cast("string"))
     # Line 7 is stamped with its ship date: invoices that span months.

@@ -329,3 +329,56 @@ def test_lines_do_not_move_to_their_order_or_product_when_loading(
     # One exchange of the lines, by their key; none by invoice or product alone.
     text = plan(seen[0])
     assert not re.search(r"hashpartitioning\((invoice_no|stock_code)#\d+, \d+\)", text)
+
+
+def local_files(spark) -> int:
+    """Shuffle files of this session; a local one keeps them in temporary folders."""
+    folders = spark._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+    return sum(
+        f.startswith("shuffle_") for d in folders for _, _, names in os.walk(d) for f in names
+    )
+
+
+def test_stored_tables_leave_no_shuffle_files(spark, hot_silver, scratch):
+    """They would stay until the driver collects garbage. A kept frame can still run again."""
+    before = local_files(spark)
+    counted = hot_silver.groupBy("stock_code").count()
+    kept = scratch.keep(counted, "counted")
+    assert local_files(spark) <= before
+    assert rows(kept) == rows(counted)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_invoice_lines_move_with_little(spark, hot_silver, scratch, small_pieces):
+    """Neither hexadecimal keys nor attributes of days move; odd keys come through."""
+    silver = scratch.keep(hot_silver, "silver")
+    fact = gold.fact_sales(silver)
+    odd = F.when(F.col("invoice_no") == "INV1", "zz").when(F.col("invoice_no") == "INV2", "0A")
+    fact = scratch.keep(fact.withColumn("sales_id", F.coalesce(odd, "sales_id")), "fact")
+    dates = scratch.keep(gold.dim_date(spark), "dates")
+    customers, products = gold.dim_customers(silver), gold.dim_products(silver)
+    df = marts.mart_invoices(fact, customers, products, dates, default_countries(spark))
+    assert rows(df, "sales_id") == rows(fact, "sales_id")
+    text = plan(df)
+    joins = re.findall(r"SortMergeJoin \[(\w+)#", text)
+    assert joins == ["country", "date_id", "stock_code", "customer_id"]  # the last one first
+    moved = re.search(r"SortMergeJoin \[stock_code#.*?Exchange[^\n]*\n[^\n]*Project \[(.*?)\]\n", text, re.S)
+    assert "_bytes" in moved[1] and "sales_id" not in moved[1]
+
+
+def test_hashed_keys_are_counted_by_their_bytes(spark):
+    kind = "k string, n int"
+    keys = ["0a", "0A", "0a", "a", "a", "0a0", "", "", None, None, "zz", "zz", "zz", "ff"]
+    df = spark.createDataFrame([(k, 1) for k in keys], kind)
+    for check, want in ((checks.unique("k"), 4), (checks.UniqueCheck("u", ("k",), False), 5)):
+        assert checks.repeated_keys(df, check).count() == want
+        assert checks.duplicates(df, ("k",), check.ignore_nulls).count() == want
+
+
+@has_tables
+def test_the_check_report_counts_table_by_table(spark):
+    """Its rows are those of the report that counts all at once."""
+    sample = entry.Sample(spark, FOLDER)
+    report = sample.counted_report(sample.scratch)
+    assert "Exchange" not in plan(report)
+    assert rows(report) == rows(sample.check_report())
