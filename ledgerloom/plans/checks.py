@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.functions import hex_bytes
 from ledgerloom.functions.labels import MOVEMENTS, SEGMENTS
 from ledgerloom.operators import child_values, with_values, without_parent
 from ledgerloom.schemas import RAW, SILVER, StoredTable
@@ -122,6 +123,17 @@ def duplicates(df: DataFrame, columns: tuple[str, ...], ignore_nulls: bool = Fal
     )
 
 
+def repeated_keys(df: DataFrame, check: UniqueCheck) -> DataFrame:
+    """One row per key held by more than one row. Hashed keys are compared by their bytes."""
+    if len(check.columns) > 1 or not isinstance(df.schema[check.columns[0]].dataType, T.StringType):
+        return duplicates(df, check.columns, check.ignore_nulls)
+    (key,) = (F.col(c) for c in check.columns)
+    keys = (with_values(df, *check.columns) if check.ignore_nulls else df).select(
+        hex_bytes(key).alias("bytes"), F.when(hex_bytes(key).isNull(), key).alias("other")
+    )
+    return duplicates(keys, ("bytes", "other"))
+
+
 def violating_rows(df: DataFrame, check: RowCheck) -> DataFrame:
     return df.filter(check.violates)
 
@@ -218,7 +230,7 @@ def check_table(table: str, df: DataFrame, checks: list[Check]) -> DataFrame:
         parts.append(_fixed(df.sparkSession, table, fixed))
 
     for c in grouped:
-        found = duplicates(df, c.columns, c.ignore_nulls).agg(F.count("*").alias("n"))
+        found = repeated_keys(df, c).agg(F.count("*").alias("n"))
         line = _line(table, c.name, ", ".join(c.columns), F.col("n"))
         parts.append(found.select(line.alias("s")).select("s.*"))
     for c in checks:
